@@ -648,7 +648,7 @@ SCORED = {
         for c in "mean_dist std_dist mean_fare std_fare mean_speed std_speed".split()
     )
     + " FROM base",
-    "anomaly_scores": "SELECT * EXCLUDE (PULocationID, DOLocationID) REPLACE ("
+    "anomaly_scores": "SELECT * REPLACE ("
     + ", ".join(
         f"{r(c)} AS {c}"
         for c in (

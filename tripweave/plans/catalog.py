@@ -38,19 +38,11 @@ class Tables:
 
     @property
     def raw(self) -> DataFrame:
-        return driver_tables.trips(self.spark, self.sf_dir, zones=False)
-
-    @property
-    def raw_located(self) -> DataFrame:
-        return driver_tables.trips(self.spark, self.sf_dir)
+        return driver_tables.raw_trips(self.spark, self.sf_dir)
 
     @property
     def trips(self) -> DataFrame:
-        return cleaning.prepare(self.raw)
-
-    @property
-    def located(self) -> DataFrame:
-        return cleaning.prepare(self.raw_located)
+        return driver_tables.prepared_trips(self.spark, self.sf_dir)
 
     @property
     def zones(self) -> DataFrame:
@@ -58,7 +50,7 @@ class Tables:
 
     @property
     def all_groups(self) -> DataFrame:
-        return sharing.trip_groups(sharing.candidates(self.located))
+        return sharing.trip_groups(sharing.candidates(self.trips))
 
     @property
     def groups(self) -> DataFrame:
@@ -68,12 +60,6 @@ class Tables:
         return writers.shared_folder(self.spark)
 
 
-def _scan_trips(t: Tables) -> DataFrame:
-    path = t.folder()
-    writers.write_parquet(t.raw_located, path)
-    return readers.read_trips(t.spark, path)
-
-
 def _scan_zones(t: Tables) -> DataFrame:
     path = t.folder()
     writers.write_csv(t.zones, path)
@@ -88,18 +74,11 @@ def _parquet_roundtrip(t: Tables) -> DataFrame:
     return batch.save(t.groups, t.folder(), "share_groups")
 
 
-def _cleaned_roundtrip(t: Tables) -> DataFrame:
-    return batch.prepare_table(t.raw_located, t.folder())
-
-
 def _export_results(t: Tables) -> DataFrame:
     """Rows of each exported file, read back."""
     out = t.folder()
-    trips = batch.prepare_table(t.raw_located, out)
-    groups = batch.save(sharing.share_groups(trips), out, "share_groups")
-    written = batch.store_exports(
-        trips, groups, t.zones, f"{out}/exports", FIRST_DAY, LAST_DAY
-    )
+    groups = batch.save(t.groups, out, "share_groups")
+    written = batch.store_exports(t.trips, groups, t.zones, out, FIRST_DAY, LAST_DAY)
     counts = [
         df.agg(F.lit(name).alias("result"), F.count(F.lit(1)).alias("n_rows"))
         for name, df in written.items()
@@ -120,29 +99,29 @@ def _exported(make: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFra
 
 # Row-level results: values are compared as they are.
 ROW_LEVEL: dict[str, Callable[[Tables], DataFrame]] = {
-    "scan_trips": _scan_trips,
+    "scan_trips": lambda t: t.raw,
     "scan_zones": _scan_zones,
-    "cleaned_roundtrip": _cleaned_roundtrip,
-    "sample_trips": lambda t: readers.hash_sample(t.located, SAMPLE),
-    "sample_export_cols": lambda t: readers.sample_export(t.located, 0.01),
+    "cleaned_roundtrip": lambda t: t.trips,
+    "sample_trips": lambda t: readers.hash_sample(t.trips, SAMPLE),
+    "sample_export_cols": lambda t: readers.sample_export(t.trips, 0.01),
     "preview_enriched": lambda t: readers.preview(t.trips),
-    "clean_trips": lambda t: cleaning.clean(t.raw_located),
-    "enrich_trips": lambda t: enrich(cleaning.clean(t.raw_located)),
-    "plausible_trips": lambda t: t.located,
-    "join_pickup_zone": lambda t: zones.join_zone(t.located, t.zones, "pickup"),
-    "join_both_zones": lambda t: zones.join_zones(t.located, t.zones),
-    "share_candidates": lambda t: sharing.candidates(t.located),
-    "share_time_buckets": lambda t: sharing.time_buckets(sharing.candidates(t.located)),
-    "categorized_trips": lambda t: segments.categorize(t.located),
-    "efficiency_trips": lambda t: segments.efficiency(t.located),
+    "clean_trips": lambda t: cleaning.clean(t.raw),
+    "enrich_trips": lambda t: enrich(cleaning.clean(t.raw)),
+    "plausible_trips": lambda t: cleaning.prepare(t.raw),
+    "join_pickup_zone": lambda t: zones.join_zone(t.trips, t.zones, "pickup"),
+    "join_both_zones": lambda t: zones.join_zones(t.trips, t.zones),
+    "share_candidates": lambda t: sharing.candidates(t.trips),
+    "share_time_buckets": lambda t: sharing.time_buckets(sharing.candidates(t.trips)),
+    "categorized_trips": lambda t: segments.categorize(t.trips),
+    "efficiency_trips": lambda t: segments.efficiency(t.trips),
 }
 
 # Aggregated or scored results: doubles are settled to fixed digits before comparison.
 AGGREGATED: dict[str, Callable[[Tables], DataFrame]] = {
     "profile_row_count": lambda t: profiling.row_count(t.raw),
-    "profile_schema": lambda t: profiling.schema_listing(t.raw_located),
+    "profile_schema": lambda t: profiling.schema_listing(t.raw),
     "profile_period": lambda t: profiling.period(t.raw),
-    "profile_missing": lambda t: profiling.missing_values(t.raw_located),
+    "profile_missing": lambda t: profiling.missing_values(t.raw),
     "profile_outliers": lambda t: profiling.outliers(t.raw),
     "profile_describe_raw": lambda t: profiling.describe_raw(t.raw),
     "profile_payment_type": lambda t: profiling.code_distribution(t.raw, "payment_type"),
@@ -153,18 +132,18 @@ AGGREGATED: dict[str, Callable[[Tables], DataFrame]] = {
     "clean_report": lambda t: cleaning.clean_report(t.raw),
     "describe_distance": lambda t: describe(t.trips, ["trip_distance_km"]),
     "describe_duration": lambda t: describe(t.trips, ["trip_duration_minutes"]),
-    "zone_match_rate": lambda t: zones.match_rate(t.located, t.zones),
-    "top_pickup_zones": lambda t: zones.top_zones(t.located, t.zones, "pickup"),
-    "top_dropoff_zones": lambda t: zones.top_zones(t.located, t.zones, "dropoff"),
-    "pickup_borough_stats": lambda t: zones.borough_stats(t.located, t.zones, "pickup"),
-    "dropoff_borough_stats": lambda t: zones.borough_stats(t.located, t.zones, "dropoff"),
+    "zone_match_rate": lambda t: zones.match_rate(t.trips, t.zones),
+    "top_pickup_zones": lambda t: zones.top_zones(t.trips, t.zones, "pickup"),
+    "top_dropoff_zones": lambda t: zones.top_zones(t.trips, t.zones, "dropoff"),
+    "pickup_borough_stats": lambda t: zones.borough_stats(t.trips, t.zones, "pickup"),
+    "dropoff_borough_stats": lambda t: zones.borough_stats(t.trips, t.zones, "dropoff"),
     "peak_hours": lambda t: charts.peak_hours(report(t.trips, "hourly_distribution")),
-    "short_top_pickup": lambda t: zones.top_zones_by_length(t.located, t.zones, "pickup", True),
-    "short_top_dropoff": lambda t: zones.top_zones_by_length(t.located, t.zones, "dropoff", True),
-    "long_top_pickup": lambda t: zones.top_zones_by_length(t.located, t.zones, "pickup", False),
-    "long_top_dropoff": lambda t: zones.top_zones_by_length(t.located, t.zones, "dropoff", False),
-    "borough_flows": lambda t: zones.borough_flows(t.located, t.zones),
-    "share_candidate_rate": lambda t: sharing.candidate_rate(t.located),
+    "short_top_pickup": lambda t: zones.top_zones_by_length(t.trips, t.zones, "pickup", True),
+    "short_top_dropoff": lambda t: zones.top_zones_by_length(t.trips, t.zones, "dropoff", True),
+    "long_top_pickup": lambda t: zones.top_zones_by_length(t.trips, t.zones, "pickup", False),
+    "long_top_dropoff": lambda t: zones.top_zones_by_length(t.trips, t.zones, "dropoff", False),
+    "borough_flows": lambda t: zones.borough_flows(t.trips, t.zones),
+    "share_candidate_rate": lambda t: sharing.candidate_rate(t.trips),
     "share_groups": lambda t: t.groups,
     "share_group_stats": lambda t: sharing.group_stats(t.groups),
     "share_top_groups": lambda t: sharing.top_groups(t.groups),
@@ -183,15 +162,15 @@ AGGREGATED: dict[str, Callable[[Tables], DataFrame]] = {
     "correlation_matrix": lambda t: segments.correlation_matrix(t.trips),
     "efficiency_stats": lambda t: segments.efficiency_stats(t.trips),
     "efficiency_top": lambda t: segments.efficiency_top(t.trips),
-    "export_top15_zones": lambda t: charts.top15_zones(t.located, t.zones),
+    "export_top15_zones": lambda t: charts.top15_zones(t.trips, t.zones),
     "payment_by_date_range": lambda t: charts.payment_by_date_range(t.trips, FIRST_DAY, LAST_DAY),
     "export_top20_savings": lambda t: batch.top20_savings(sharing.savings(t.groups)),
     "top3_hours": lambda t: charts.peak_hours(report(t.trips, "hourly_distribution"), 3),
     "payment_pivot": lambda t: charts.payment_pivot(t.trips),
-    "hourly_peak_zone": lambda t: charts.hourly_peak_zone(t.located),
-    "kpi_dashboard": lambda t: charts.kpi_dashboard(t.located),
-    "sample_hourly": lambda t: report(readers.hash_sample(t.located, SAMPLE), "hourly_distribution"),
-    "sample_payment": lambda t: charts.payment_counts(readers.hash_sample(t.located, SAMPLE)),
+    "hourly_peak_zone": lambda t: charts.hourly_peak_zone(t.trips),
+    "kpi_dashboard": lambda t: charts.kpi_dashboard(t.trips),
+    "sample_hourly": lambda t: report(readers.hash_sample(t.trips, SAMPLE), "hourly_distribution"),
+    "sample_payment": lambda t: charts.payment_counts(readers.hash_sample(t.trips, SAMPLE)),
     "category_ordered": lambda t: charts.category_ordered(t.trips),
     "sink_csv_roundtrip": _csv_roundtrip,
     "sink_parquet_roundtrip": _parquet_roundtrip,
