@@ -23,7 +23,7 @@ WITH lines AS (
   SELECT *,
     CAST(l_linenumber % 2 + 1 AS INTEGER) AS VendorID,
     TIMESTAMP '2024-01-01 00:00:00' + to_seconds(
-      ((l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 2976) * 900
+      ((l_orderkey * 7919 + CAST(l_linenumber AS BIGINT) * 104729 + l_partkey * 31) % 2976) * 900
       + (l_orderkey * 13 + l_linenumber * 17) % 300) AS tpep_pickup_datetime,
     CAST(CASE WHEN l_partkey % 21 = 0 THEN NULL
          ELSE (l_partkey + l_linenumber) % 8 END AS BIGINT) AS passenger_count,
@@ -420,6 +420,8 @@ PLAIN = {
         "SELECT trip_distance_km, trip_duration_minutes, average_speed_kmh, hour, day_name, "
         f"fare_amount, tip_percentage, payment_type_label, trip_category, time_period FROM {sampled(0.01)}"
     ),
+    "preview_raw": f"SELECT {RAW_COLUMNS} FROM raw ORDER BY ALL NULLS FIRST LIMIT 10",
+    "preview_zones": "SELECT * FROM zones ORDER BY ALL LIMIT 10",
     "preview_enriched": (
         "SELECT tpep_pickup_datetime, trip_distance_km, trip_duration_minutes, average_speed_kmh, "
         "hour, day_name, time_period, trip_category, fare_amount, tip_percentage FROM trips "

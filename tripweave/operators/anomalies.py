@@ -93,5 +93,5 @@ def types(
             "avg_fare": F.avg("fare_amount"),
             "avg_speed": F.avg("average_speed_kmh"),
         },
-        order=[F.desc("n")],
+        order=[F.desc("n"), F.asc("anomaly_type")],
     )

@@ -7,22 +7,9 @@ from pyspark.sql import functions as F
 
 from tripweave.functions import labels as L
 from tripweave.functions.columns import banded, labelled, minutes_between
+from tripweave.sources.schemas import PREPARED, TRIPS
 
-DERIVED = (
-    "trip_duration_minutes",
-    "trip_distance_km",
-    "average_speed_kmh",
-    "hour",
-    "day_of_week",
-    "day_name",
-    "trip_date",
-    "time_period",
-    "tip_percentage",
-    "trip_category",
-    "is_short_trip",
-    "payment_type_label",
-    "is_weekend",
-)
+DERIVED = tuple(f.name for f in PREPARED.fields if f.name not in TRIPS.names)
 
 
 def enrich(trips: DataFrame, wording: L.Wording = L.ENGLISH) -> DataFrame:

@@ -15,20 +15,17 @@ def grouped(
     keys: Sequence[str],
     measures: Mapping[str, Column],
     share: str | None = None,
-    order: Iterable[Column | str] = (),
-    top: int | None = None,
+    order: Iterable[Column] = (),
 ) -> DataFrame:
     """Row count ``n`` and named measures per key; ``share`` adds a percentage of
-    all rows; ``top`` keeps the first rows of ``order`` with the keys as tie-break."""
+    all rows; ``order`` sorts the groups."""
     out = df.groupBy(*keys).agg(
         rows().alias("n"), *(c.alias(name) for name, c in measures.items())
     )
     if share:
         out = with_share(out, share)
     order = list(order)
-    if top is not None:
-        return out.orderBy(*order, *keys).limit(top)
-    return out.orderBy(*order, *keys) if order else out
+    return out.orderBy(*order) if order else out
 
 
 def with_share(groups: DataFrame, name: str = "pct", count: str = "n") -> DataFrame:

@@ -112,7 +112,7 @@ def describe_raw(trips: DataFrame) -> DataFrame:
 
 def code_distribution(trips: DataFrame, code: str) -> DataFrame:
     """Trips and percentage per code, null included, most frequent first."""
-    return grouped(trips, [code], {}, share="pct", order=[F.desc("n")])
+    return grouped(trips, [code], {}, share="pct", order=[F.desc("n"), F.asc(code)])
 
 
 def ratecode_labelled(trips: DataFrame) -> DataFrame:

@@ -73,11 +73,21 @@ def efficiency_top(trips: DataFrame, n: int = 10) -> DataFrame:
 
 def correlation_matrix(trips: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Pearson matrix in long form (var_a, var_b, r) over rows with all features.
-    All pairs come from one aggregate that leaves one row per partition to merge."""
+
+    All pairs come from one aggregate that leaves one row per partition to merge. A
+    feature that never varies has no correlation: its pairs are null, where
+    ``F.corr`` would stop on a division by zero.
+    """
     known = trips.select(*(F.col(f).cast("double").alias(f) for f in features)).dropna()
     pairs = list(combinations(features, 2))
-    r = known.agg(*(F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs))
-    cells = {p: F.col(f"`{p[0]}|{p[1]}`") for p in pairs}
+    r = known.agg(
+        *(F.stddev_samp(f).alias(f"std {f}") for f in features),
+        *(F.covar_samp(a, b).alias(f"{a} {b}") for a, b in pairs),
+    )
+    cells = {
+        (a, b): F.try_divide(F.col(f"`{a} {b}`"), F.col(f"`std {a}`") * F.col(f"`std {b}`"))
+        for a, b in pairs
+    }
     cells |= {(b, a): c for (a, b), c in cells.items()}
     cells |= {(f, f): F.lit(1.0) for f in features}
     entries = [

@@ -104,7 +104,9 @@ ROW_LEVEL: dict[str, Callable[[Tables], DataFrame]] = {
     "cleaned_roundtrip": lambda t: t.trips,
     "sample_trips": lambda t: readers.hash_sample(t.trips, SAMPLE),
     "sample_export_cols": lambda t: readers.sample_export(t.trips, 0.01),
-    "preview_enriched": lambda t: readers.preview(t.trips),
+    "preview_raw": lambda t: readers.preview(t.raw),
+    "preview_zones": lambda t: readers.preview(t.zones),
+    "preview_enriched": lambda t: readers.preview(t.trips, columns=readers.PREVIEW_COLUMNS),
     "clean_trips": lambda t: cleaning.clean(t.raw),
     "enrich_trips": lambda t: enrich(cleaning.clean(t.raw)),
     "plausible_trips": lambda t: cleaning.prepare(t.raw),

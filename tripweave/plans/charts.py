@@ -76,10 +76,11 @@ def payment_counts(trips: DataFrame) -> DataFrame:
 def category_ordered(trips: DataFrame, wording: L.Wording = L.ENGLISH) -> DataFrame:
     """Distance categories in order of length; a category without trips stays, with
     count zero."""
-    spark = trips.sparkSession
-    bands = spark.createDataFrame(
-        list(enumerate(wording.categories)), "band_order int, trip_category string"
-    )
+    entries = [
+        F.struct(F.lit(i).alias("band_order"), F.lit(label).alias("trip_category"))
+        for i, label in enumerate(wording.categories)
+    ]
+    bands = trips.sparkSession.range(1).select(F.inline(F.array(*entries)))
     found = trips.groupBy("trip_category").agg(
         rows().alias("n"),
         F.avg("fare_amount").alias("avg_fare"),

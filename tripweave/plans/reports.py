@@ -54,7 +54,7 @@ class Report:
     measures: str = ""
     where: Callable[[], Column] | None = None
     share: bool = False
-    by: str = ""  # "+name" ascending, "-name" descending
+    by: str = ""  # "+name" ascending, "-name" descending; other keys break ties
     derive: Callable[[DataFrame], DataFrame] | None = field(default=None)
 
 
@@ -191,13 +191,15 @@ def run_report(trips: DataFrame, report: Report) -> DataFrame:
         trips = trips.filter(report.where())
     if report.derive is not None:
         trips = report.derive(trips)
-    order = [F.desc(o[1:]) if o[0] == "-" else F.asc(o[1:]) for o in report.by.split()]
+    keys, by = report.keys.split(), report.by.split()
+    ties = [k for k in keys if "+" + k not in by] if by else []
+    order = [F.desc(o[1:]) if o[0] == "-" else F.asc(o[1:]) for o in by]
     return grouped(
         trips,
-        report.keys.split(),
+        keys,
         {m: _measure(m) for m in report.measures.split()},
         share="pct" if report.share else None,
-        order=order,
+        order=order + [F.asc(k) for k in ties],
     )
 
 

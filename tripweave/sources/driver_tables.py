@@ -37,10 +37,14 @@ def _every(column: str, n: int) -> Column:
     return F.col(column) % n == 0
 
 
+def _null_every(n: int, value: Column) -> Column:
+    return F.when(_every("l_partkey", n), F.lit(None)).otherwise(value)
+
+
 def _line_trips(lines: DataFrame) -> DataFrame:
     """All trip columns that the line itself determines."""
     order, part, supp, line = (
-        F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+        F.col(c).cast("long") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     )
     pickup_s = (order * 7919 + line * 104729 + part * 31) % QUARTER_HOURS * 900 + (
         order * 13 + line * 17
@@ -55,12 +59,12 @@ def _line_trips(lines: DataFrame) -> DataFrame:
         F.timestamp_add("SECOND", pickup_s, F.lit(START).cast("timestamp_ntz")).alias(
             "tpep_pickup_datetime"
         ),
-        F.when(~_every("l_partkey", 21), (part + line) % 8).alias("passenger_count"),
+        _null_every(21, (part + line) % 8).alias("passenger_count"),
         (
             F.when(_every("l_partkey", 103), 10.0).otherwise(1.0)
             * (F.col("l_quantity") * F.col("l_quantity") / 50.0 - 0.02)
         ).alias("trip_distance"),
-        F.when(~_every("l_partkey", 29), part % 6 + 1).alias("RatecodeID"),
+        _null_every(29, part % 6 + 1).alias("RatecodeID"),
         F.when(_every("l_partkey", 33), "")
         .when(_every("l_partkey", 34), F.lit(None))
         .when(F.col("l_returnflag") == "R", "Y")
@@ -76,8 +80,8 @@ def _line_trips(lines: DataFrame) -> DataFrame:
         ).alias("fare_amount"),
         F.when(F.col("l_linestatus") == "O", 1.0).otherwise(0.0).alias("extra"),
         "l_tax",
-        F.when(~_every("l_partkey", 31), 2.5).alias("congestion_surcharge"),
-        F.when(~_every("l_partkey", 28), 0.0).alias("Airport_fee"),
+        _null_every(31, F.lit(2.5)).alias("congestion_surcharge"),
+        _null_every(28, F.lit(0.0)).alias("Airport_fee"),
     )
     duration_s = (
         F.floor(F.col("trip_distance") * 150)

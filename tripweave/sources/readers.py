@@ -56,9 +56,11 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.ZONES).option("header", True).csv(path)
 
 
-def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
+def read_cleaned(
+    spark: SparkSession, path: str, schema: StructType | None = schemas.PREPARED
+) -> DataFrame:
     """Prepared trips, stored by ``trip_date``; filters on it skip whole folders."""
-    return spark.read.parquet(path)
+    return read_trips(spark, path, schema)
 
 
 def sample_trips(trips: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -87,6 +89,8 @@ def sample_export(trips: DataFrame, fraction: float = 0.001) -> DataFrame:
     return hash_sample(trips, fraction).select(*SAMPLE_COLUMNS)
 
 
-def preview(trips: DataFrame, n: int = 10) -> DataFrame:
-    """First rows by pickup time, in a stable order."""
-    return trips.select(*PREVIEW_COLUMNS).orderBy(*PREVIEW_COLUMNS).limit(n)
+def preview(df: DataFrame, n: int = 10, columns: Sequence[str] | None = None) -> DataFrame:
+    """First rows by the shown columns, in a stable order. Spark keeps ``n`` rows per
+    partition; the table is not sorted."""
+    shown = list(columns or df.columns)
+    return df.select(*shown).orderBy(*shown).limit(n)

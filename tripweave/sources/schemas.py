@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -36,6 +38,25 @@ _TRIP_FIELDS = (
 )
 TRIPS = StructType([StructField(name, kind) for name, kind in _TRIP_FIELDS])
 
+_DERIVED_FIELDS = (
+    ("trip_duration_minutes", DoubleType()),
+    ("trip_distance_km", DoubleType()),
+    ("average_speed_kmh", DoubleType()),
+    ("hour", IntegerType()),
+    ("day_of_week", IntegerType()),
+    ("day_name", StringType()),
+    ("trip_date", DateType()),
+    ("time_period", StringType()),
+    ("tip_percentage", DoubleType()),
+    ("trip_category", StringType()),
+    ("is_short_trip", BooleanType()),
+    ("payment_type_label", StringType()),
+    ("is_weekend", BooleanType()),
+)
+PREPARED = StructType(
+    TRIPS.fields + [StructField(name, kind) for name, kind in _DERIVED_FIELDS]
+)
+
 ZONES = StructType(
     [
         StructField("LocationID", IntegerType()),
