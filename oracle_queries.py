@@ -298,11 +298,17 @@ SAVING_COLUMNS = (
     f"{r('money_saved_pct')} AS money_saved_pct, {r('minutes_saved', 2)} AS minutes_saved"
 )
 SAVED = "CAST(sum(saved_trips) AS BIGINT)"
-BY_HOUR = (
-    "SELECT CAST(hour(first_pickup) AS INTEGER) AS hour, count(*) AS n_groups, "
-    f"CAST(sum(n_trips) AS BIGINT) AS n_trips, {r('avg(n_trips)')} AS avg_trips "
-    "FROM groups GROUP BY 1"
-)
+def shared_by(name: str, value: str, average: str = "") -> str:
+    """Groups formed with the hour or day as a further key, then counted by it."""
+    return (
+        f"SELECT {name}, count(*) AS n_groups, CAST(sum(n) AS BIGINT) AS n_trips{average} FROM ("
+        f"SELECT CAST({value} AS INTEGER) AS {name}, {N} FROM bucketed "
+        "GROUP BY 1, time_window, PULocationID, DOLocationID HAVING count(*) >= 2) GROUP BY 1"
+    )
+
+
+BY_HOUR = shared_by("hour", "hour(tpep_pickup_datetime)", f", {r('avg(n)')} AS avg_trips")
+BY_DAY = shared_by("day_of_week", "dayofweek(tpep_pickup_datetime) + 1")
 HOURLY = by("hour", "avg_fare avg_speed")
 DATE_RANGE = "trip_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'"
 PAYMENT = by("payment_type, payment_type_label", "avg_total avg_tip", share="trips")
@@ -627,10 +633,7 @@ SHARED = {
     ),
     "share_by_hour": BY_HOUR,
     "export_share_hourly": BY_HOUR,
-    "share_by_day": (
-        "SELECT CAST(dayofweek(first_pickup) + 1 AS INTEGER) AS day_of_week, "
-        "count(*) AS n_groups, CAST(sum(n_trips) AS BIGINT) AS n_trips FROM groups GROUP BY 1"
-    ),
+    "share_by_day": BY_DAY,
     "share_scenarios": f"{scenario(2)} UNION ALL {scenario(3)}",
     "kpi_dashboard": (
         "SELECT (SELECT count(*) FROM trips) AS n_trips, count(*) AS n_share_groups, "

@@ -245,6 +245,21 @@ def test_batch_in_french(spark, raw_files, tmp_path):
     assert "Carte de crédit" in text and "Credit card" not in text
 
 
+def test_batch_with_other_column_types(spark, raw_files, raw, tmp_path):
+    other = raw.withColumns(
+        {
+            "passenger_count": F.col("passenger_count").cast("double"),
+            "tpep_pickup_datetime": F.col("tpep_pickup_datetime").cast("timestamp"),
+            "tpep_dropoff_datetime": F.col("tpep_dropoff_datetime").cast("timestamp"),
+        }
+    )
+    writers.write_parquet(other, str(tmp_path / "other"))
+    out, days = str(tmp_path / "out"), (date(2024, 1, 1), date(2024, 1, 31))
+    batch.run(spark, str(tmp_path / "other"), raw_files[1], out, *days, schema=None)
+    groups = spark.read.parquet(f"{out}/share_groups")
+    assert groups.count() == sharing.share_groups(prepare(raw)).count()
+
+
 def test_raw_files_have_the_declared_columns(spark, raw_files):
     assert readers.read_trips(spark, raw_files[0]).schema == TRIPS
 

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from tripweave.functions.labels import ENGLISH, FRENCH
 from tripweave.plans.batch import run
+from tripweave.sources.schemas import TRIPS
 
 
 def main() -> None:
@@ -19,6 +20,11 @@ def main() -> None:
     args.add_argument("--first", type=date.fromisoformat, default=date(2024, 1, 1))
     args.add_argument("--last", type=date.fromisoformat, default=date(2024, 1, 31))
     args.add_argument("--language", choices=["en", "fr"], default="en")
+    args.add_argument(
+        "--file-schema",
+        action="store_true",
+        help="take column types from the trip files, where they differ from the declared ones",
+    )
     given = args.parse_args()
     spark = (
         SparkSession.builder.appName("tripweave")
@@ -26,7 +32,8 @@ def main() -> None:
         .getOrCreate()
     )
     wording = FRENCH if given.language == "fr" else ENGLISH
-    run(spark, given.trips, given.zones, given.out, given.first, given.last, wording)
+    schema = None if given.file_schema else TRIPS
+    run(spark, given.trips, given.zones, given.out, given.first, given.last, wording, schema)
 
 
 if __name__ == "__main__":

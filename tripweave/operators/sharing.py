@@ -191,16 +191,11 @@ def top_savings(group_savings: DataFrame, n: int = 10) -> DataFrame:
     return top_rows(shown, [F.desc("money_saved")], n)
 
 
-def _start(minutes: int) -> Column:
-    _check_width(minutes)
-    return bucket_start(F.col("time_window"), minutes)
-
-
-def by_hour(groups: DataFrame, minutes: int = L.BUCKET_MINUTES) -> DataFrame:
-    """Groups and trips per hour. Buckets nest in hours, so the bucket tells the hour
-    and the groups need not be formed again."""
+def by_hour(groups: DataFrame) -> DataFrame:
+    """Groups and trips per hour. Buckets nest in hours, so any pickup of a group
+    tells its hour and the groups need not be formed again."""
     return (
-        groups.groupBy(F.hour(_start(minutes)).alias("hour"))
+        groups.groupBy(F.hour("first_pickup").alias("hour"))
         .agg(
             rows().alias("n_groups"),
             F.sum("n_trips").alias("n_trips"),
@@ -210,9 +205,9 @@ def by_hour(groups: DataFrame, minutes: int = L.BUCKET_MINUTES) -> DataFrame:
     )
 
 
-def by_day(groups: DataFrame, minutes: int = L.BUCKET_MINUTES) -> DataFrame:
+def by_day(groups: DataFrame) -> DataFrame:
     return (
-        groups.groupBy(F.dayofweek(_start(minutes)).alias("day_of_week"))
+        groups.groupBy(F.dayofweek("first_pickup").alias("day_of_week"))
         .agg(rows().alias("n_groups"), F.sum("n_trips").alias("n_trips"))
         .orderBy("day_of_week")
     )

@@ -11,12 +11,13 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripweave.functions import labels as L
 from tripweave.operators import anomalies, cleaning, profiling, segments, sharing, zones
 from tripweave.plans import charts
 from tripweave.plans.reports import report
-from tripweave.sources import readers, writers
+from tripweave.sources import readers, schemas, writers
 
 CLEANED = "cleaned_trips"
 
@@ -55,9 +56,9 @@ def save(df: DataFrame, out: str, name: str) -> DataFrame:
 
 def prepare_table(trips: DataFrame, out: str, wording: L.Wording = L.ENGLISH) -> DataFrame:
     """Write prepared trips by date and return the written table."""
-    path = f"{out}/{CLEANED}"
-    writers.write_by_date(cleaning.prepare(trips, wording), path)
-    return readers.read_cleaned(trips.sparkSession, path)
+    path, prepared = f"{out}/{CLEANED}", cleaning.prepare(trips, wording)
+    writers.write_by_date(prepared, path)
+    return readers.read_cleaned(trips.sparkSession, path, prepared.schema)
 
 
 def store_results(
@@ -127,9 +128,10 @@ def run(
     first: date,
     last: date,
     wording: L.Wording = L.ENGLISH,
+    schema: StructType | None = schemas.TRIPS,
 ) -> None:
     """Everything, from files to files."""
-    raw = readers.read_trips(spark, trips_path)
+    raw = readers.read_trips(spark, trips_path, schema)
     zone_table = readers.read_zones(spark, zones_path)
     trips = prepare_table(raw, out, wording)
     stored = store_results(raw, trips, zone_table, out, wording)
