@@ -12,7 +12,7 @@ from tripweave.operators import anomalies, profiling, segments, sharing, zones
 from tripweave.operators.cleaning import clean_report, prepare
 from tripweave.operators.grouping import describe, top_rows
 from tripweave.plans import charts
-from tripweave.plans.reports import REPORTS, report
+from tripweave.plans.reports import REPORTS, ROW_REPORTS, all_reports, report, time_totals
 from tripweave.sources import driver_tables
 
 
@@ -142,6 +142,45 @@ def test_report_groups_of_the_same_size_keep_their_order(trips_of):
     assert labels == ["Credit card", "Cash", "No charge"]
 
 
+# totals
+
+
+def close(a, b) -> bool:
+    if isinstance(a, float) and isinstance(b, float):
+        return a == pytest.approx(b, rel=1e-9)
+    return a == b
+
+
+def assert_same(direct, merged, name):
+    assert direct.dtypes == merged.dtypes, name
+    ours, theirs = direct.collect(), merged.collect()
+    assert len(ours) == len(theirs), name
+    for a, b in zip(ours, theirs):
+        assert all(map(close, a, b)), (name, a, b)
+
+
+def test_reports_from_totals_equal_reports_from_trips(spark, trips, tmp_path):
+    trips.transform(time_totals).write.parquet(str(tmp_path / "totals"))
+    merged = all_reports(trips, spark.read.parquet(str(tmp_path / "totals")))
+    assert set(merged) == set(REPORTS) and ROW_REPORTS < set(REPORTS)
+    for name, df in merged.items():
+        assert_same(report(trips, name), df, name)
+
+
+def test_rankings_from_totals_equal_rankings_from_trips(spark, trips, zone_table, tmp_path):
+    zones.zone_totals(trips).write.parquet(str(tmp_path / "totals"))
+    merged = zones.all_rankings(spark.read.parquet(str(tmp_path / "totals")), zone_table)
+    assert len(merged) == 10
+    assert_same(zones.match_rate(trips, zone_table), merged["zone_match_rate"], "match")
+    assert_same(zones.borough_flows(trips, zone_table), merged["borough_flows"], "flows")
+    for end in ("pickup", "dropoff"):
+        assert_same(zones.top_zones(trips, zone_table, end), merged[f"top_{end}_zones"], end)
+        assert_same(zones.borough_stats(trips, zone_table, end), merged[f"{end}_borough_stats"], end)
+        for short, word in ((True, "short"), (False, "long")):
+            direct = zones.top_zones_by_length(trips, zone_table, end, short)
+            assert_same(direct, merged[f"{word}_top_{end}"], word + end)
+
+
 # anomalies
 
 

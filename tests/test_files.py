@@ -15,7 +15,7 @@ from tripweave.operators import sharing, zones
 from tripweave.operators.cleaning import clean, prepare
 from tripweave.plans import batch, charts
 from tripweave.plans.catalog import QUERIES
-from tripweave.plans.reports import report
+from tripweave.plans.reports import REPORTS, report
 from tripweave.sources import driver_tables, readers, writers
 from tripweave.sources.schemas import TRIPS
 
@@ -223,8 +223,11 @@ def raw_files(spark, sf_dir, raw, tmp_path_factory):
 def test_batch_writes_every_result(spark, raw_files, tmp_path, trips):
     out = str(tmp_path)
     batch.run(spark, *raw_files, out, date(2024, 1, 1), date(2024, 1, 31))
-    for name, kind in batch.FORMATS.items():
-        assert list(Path(out, name).glob(f"part-*.{'csv' if kind == 'csv' else '*parquet'}")), name
+    for name in {*batch.FORMATS, *REPORTS, "top_pickup_zones", "borough_flows", "zone_match_rate"}:
+        kind = "csv" if batch.FORMATS.get(name, "csv") == "csv" else "parquet"
+        assert list(Path(out, name).glob(f"part-*.{kind}")) or list(
+            Path(out, name).glob(f"part-*.snappy.{kind}")
+        ), name
     exports = {p.name for p in Path(out, "exports").iterdir()}
     assert exports == {
         "hourly_distribution",

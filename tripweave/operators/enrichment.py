@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions import labels as L
@@ -12,6 +12,17 @@ from tripweave.sources.schemas import PREPARED, TRIPS
 DERIVED = tuple(f.name for f in PREPARED.fields if f.name not in TRIPS.names)
 
 
+def calendar_labels(wording: L.Wording = L.ENGLISH) -> dict[str, Column]:
+    """Columns that follow from ``day_of_week``, ``hour`` and ``payment_type`` alone."""
+    day = F.col("day_of_week")
+    return {
+        "day_name": labelled(day, wording.days),
+        "time_period": banded(F.col("hour"), wording.period_bands),
+        "is_weekend": F.coalesce(day.isin(1, 7), F.lit(False)),
+        "payment_type_label": labelled(F.col("payment_type"), wording.payments),
+    }
+
+
 def enrich(trips: DataFrame, wording: L.Wording = L.ENGLISH) -> DataFrame:
     """Add duration, metric distance, speed, calendar, tip and label columns.
 
@@ -29,17 +40,14 @@ def enrich(trips: DataFrame, wording: L.Wording = L.ENGLISH) -> DataFrame:
             "day_of_week": F.dayofweek(pickup),
             "trip_date": F.to_date(pickup),
             "tip_percentage": F.when(fare > 0, F.col("tip_amount") / fare * 100).otherwise(0.0),
-            "payment_type_label": labelled(F.col("payment_type"), wording.payments),
         }
     )
     named = measured.withColumns(
         {
             "average_speed_kmh": F.when(minutes > 0, km / minutes * 60).otherwise(0.0),
-            "day_name": labelled(F.col("day_of_week"), wording.days),
-            "time_period": banded(F.col("hour"), wording.period_bands),
             "trip_category": banded(km, wording.category_bands),
             "is_short_trip": F.coalesce(km < L.SHORT_TRIP_KM, F.lit(False)),
-            "is_weekend": F.coalesce(F.col("day_of_week").isin(1, 7), F.lit(False)),
         }
+        | calendar_labels(wording)
     )
     return named.select(*trips.columns, *DERIVED)

@@ -16,12 +16,13 @@ def grouped(
     measures: Mapping[str, Column],
     share: str | None = None,
     order: Iterable[Column] = (),
+    count: Column | None = None,
 ) -> DataFrame:
     """Row count ``n`` and named measures per key; ``share`` adds a percentage of
-    all rows; ``order`` sorts the groups."""
-    out = df.groupBy(*keys).agg(
-        rows().alias("n"), *(c.alias(name) for name, c in measures.items())
-    )
+    all rows; ``order`` sorts the groups; ``count`` replaces the row count where the
+    rows are totals."""
+    n = rows() if count is None else count
+    out = df.groupBy(*keys).agg(n.alias("n"), *(c.alias(name) for name, c in measures.items()))
     if share:
         out = with_share(out, share)
     order = list(order)

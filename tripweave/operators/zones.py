@@ -7,15 +7,17 @@ partial aggregation, and no row-level join is left that could skew.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.functions.columns import percent, rows
+from tripweave.functions.columns import percent
 from tripweave.operators.grouping import with_share
+from tripweave.operators.totals import merged_count, merged_mean, totals
 
 ENDS = {"pickup": "PULocationID", "dropoff": "DOLocationID"}
+MEASURED = ("fare_amount", "trip_distance_km", "trip_duration_minutes")
 
 
 def _names(zones: DataFrame, end: str) -> DataFrame:
@@ -37,20 +39,12 @@ def join_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     return join_zone(join_zone(trips, zones, "pickup"), zones, "dropoff")
 
 
-def _totals(means: Mapping[str, str]) -> list[Column]:
-    parts = [rows().alias("n")]
-    for name, source in means.items():
-        parts += [F.sum(source).alias(f"_{name}_sum"), F.count(source).alias(f"_{name}_n")]
-    return parts
-
-
-def _merged(means: Mapping[str, str]) -> list[Column]:
-    merged = [F.sum("n").alias("n")]
-    for name in means:
-        merged.append(
-            F.try_divide(F.sum(f"_{name}_sum"), F.sum(f"_{name}_n")).alias(name)
-        )
-    return merged
+def zone_totals(
+    trips: DataFrame, ends: Iterable[str] = tuple(ENDS), columns: Iterable[str] = MEASURED
+) -> DataFrame:
+    """Mergeable totals per zone id of the given ends, apart for short and long trips.
+    With the defaults, one stored table that answers every ranking below."""
+    return totals(trips, [*(ENDS[e] for e in ends), "is_short_trip"], columns)
 
 
 def by_names(
@@ -61,16 +55,22 @@ def by_names(
     means: Mapping[str, str],
 ) -> DataFrame:
     """Count and means per zone names: totals per id first, then names, then a merge
-    (several ids may share one name)."""
-    out = trips.groupBy(*(ENDS[e] for e in ends)).agg(*_totals(means))
+    (several ids may share one name). ``trips`` may also be stored ``zone_totals``."""
+    out = trips if _is_totals(trips) else zone_totals(trips, ends, means.values())
     for end in ends:
         out = join_zone(out, zones, end)
-    return out.groupBy(*names).agg(*_merged(means))
+    return out.groupBy(*names).agg(
+        merged_count().alias("n"), *(merged_mean(c).alias(m) for m, c in means.items())
+    )
+
+
+def _is_totals(df: DataFrame) -> bool:
+    return "n" in df.columns
 
 
 def match_rate(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips whose both ends are in the zone table."""
-    pairs = trips.groupBy(*ENDS.values()).agg(rows().alias("n"))
+    pairs = trips if _is_totals(trips) else zone_totals(trips, columns=())
     found = F.col("pickup_zone").isNotNull() & F.col("dropoff_zone").isNotNull()
     return (
         join_zones(pairs, zones)
@@ -119,3 +119,14 @@ def borough_flows(trips: DataFrame, zones: DataFrame, n: int = 10) -> DataFrame:
         .orderBy(F.desc("n"), *names)
         .limit(n)
     )
+
+
+def all_rankings(folded: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
+    """Every zone table, from stored ``zone_totals``."""
+    out = {"zone_match_rate": match_rate(folded, zones), "borough_flows": borough_flows(folded, zones)}
+    for end in ENDS:
+        out[f"top_{end}_zones"] = top_zones(folded, zones, end)
+        out[f"{end}_borough_stats"] = borough_stats(folded, zones, end)
+        out[f"short_top_{end}"] = top_zones_by_length(folded, zones, end, True)
+        out[f"long_top_{end}"] = top_zones_by_length(folded, zones, end, False)
+    return out

@@ -1,22 +1,28 @@
 """Grouped reports as data: keys, measures and a filter per report.
 
-Some forty analyses differ in nothing else, so they are rows of one table and run
+Some thirty analyses differ in nothing else, so they are rows of one table and run
 through one function. ``run_report`` adds no action; Spark sees one aggregate per
 report and prunes the scan to the columns it names.
+
+A single report reads the trips. To produce them all, ``time_totals`` folds the trips
+once by day, hour, payment type and category; the reports whose keys follow from
+these (25 of 31) then merge that small table instead of scanning the trips again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions import labels as L
 from tripweave.functions.columns import band_order, banded, percent, rows
+from tripweave.operators.enrichment import calendar_labels
 from tripweave.operators.grouping import grouped
 from tripweave.operators.segments import categorize, with_rush_hour
+from tripweave.operators.totals import merged_count, merged_mean, merged_sum, totals
 
 # Measures by result column: what is averaged or summed under that name.
 AVERAGED = {
@@ -32,6 +38,31 @@ AVERAGED = {
 SUMMED = {"sum_fare": "fare_amount", "sum_total": "total_amount"}
 
 
+TIME_KEYS = ("trip_date", "hour", "payment_type", "trip_category", "is_short_trip")
+
+
+def time_totals(trips: DataFrame) -> DataFrame:
+    """Mergeable totals of every averaged or summed column."""
+    tipped = F.count_if(F.col("tip_amount") > 0).alias("n_tipped")
+    return totals(trips, TIME_KEYS, AVERAGED.values(), tipped)
+
+
+def _relabelled(folded: DataFrame, wording: L.Wording) -> DataFrame:
+    day = folded.withColumn("day_of_week", F.dayofweek("trip_date"))
+    return day.withColumns(calendar_labels(wording))
+
+
+def _merged_measure(name: str) -> Column:
+    if name in AVERAGED:
+        return merged_mean(AVERAGED[name])
+    if name in SUMMED:
+        return merged_sum(SUMMED[name])
+    return {
+        "n_tipped": lambda: F.sum("n_tipped"),
+        "pct_tipped": lambda: percent(F.sum("n_tipped"), merged_count()),
+    }[name]()
+
+
 def _measure(name: str) -> Column:
     if name in AVERAGED:
         return F.avg(AVERAGED[name])
@@ -55,11 +86,11 @@ class Report:
     where: Callable[[], Column] | None = None
     share: bool = False
     by: str = ""  # "+name" ascending, "-name" descending; other keys break ties
-    derive: Callable[[DataFrame], DataFrame] | None = field(default=None)
+    derive: Callable[[DataFrame, L.Wording], DataFrame] | None = None
 
 
-def _banded(source: str, name: str, bands: L.Bands) -> Callable[[DataFrame], DataFrame]:
-    def derive(trips: DataFrame) -> DataFrame:
+def _banded(source: str, name: str, bands: L.Bands):
+    def derive(trips: DataFrame, _: L.Wording) -> DataFrame:
         value = F.col(source)
         return trips.withColumns(
             {name: banded(value, bands), "band_order": band_order(value, bands)}
@@ -68,10 +99,14 @@ def _banded(source: str, name: str, bands: L.Bands) -> Callable[[DataFrame], Dat
     return derive
 
 
-def _week(trips: DataFrame) -> DataFrame:
+def _week(trips: DataFrame, _: L.Wording) -> DataFrame:
     return trips.withColumn("week", F.weekofyear("trip_date"))
 
 
+def _rush(trips: DataFrame, _: L.Wording) -> DataFrame:
+    return with_rush_hour(trips)
+
+
 def _short() -> Column:
     return F.col("is_short_trip")
 
@@ -116,7 +151,7 @@ REPORTS: dict[str, Report] = {
         "is_rush_hour",
         "avg_fare avg_minutes avg_speed sum_total",
         by="+is_rush_hour",
-        derive=with_rush_hour,
+        derive=_rush,
     ),
     "weekend_period": Report(
         "is_weekend time_period",
@@ -185,23 +220,54 @@ REPORTS: dict[str, Report] = {
 }
 
 
-def run_report(trips: DataFrame, report: Report) -> DataFrame:
-    """One report over prepared trips."""
+def run_report(
+    trips: DataFrame,
+    report: Report,
+    wording: L.Wording = L.ENGLISH,
+    measure: Callable[[str], Column] = _measure,
+    count: Column | None = None,
+) -> DataFrame:
+    """One report over prepared trips, or over totals with their own ``measure``."""
     if report.where is not None:
         trips = trips.filter(report.where())
     if report.derive is not None:
-        trips = report.derive(trips)
+        trips = report.derive(trips, wording)
     keys, by = report.keys.split(), report.by.split()
     ties = [k for k in keys if "+" + k not in by] if by else []
     order = [F.desc(o[1:]) if o[0] == "-" else F.asc(o[1:]) for o in by]
     return grouped(
         trips,
         keys,
-        {m: _measure(m) for m in report.measures.split()},
+        {m: measure(m) for m in report.measures.split()},
         share="pct" if report.share else None,
         order=order + [F.asc(k) for k in ties],
+        count=count,
     )
 
 
 def report(trips: DataFrame, name: str) -> DataFrame:
     return run_report(trips, REPORTS[name])
+
+
+# Reports on columns that the totals no longer hold.
+ROW_REPORTS = {
+    "amount_stats",
+    "amount_bands",
+    "tip_bands",
+    "tip_by_fare_band",
+    "profile_distribution",
+    "revenue_distribution",
+}
+
+
+def all_reports(
+    trips: DataFrame, folded: DataFrame, wording: L.Wording = L.ENGLISH
+) -> dict[str, DataFrame]:
+    """Every report, from stored ``time_totals`` wherever they suffice."""
+    labelled = _relabelled(folded, wording)
+    return {
+        name: run_report(trips, r, wording)
+        if name in ROW_REPORTS
+        else run_report(labelled, r, wording, _merged_measure, merged_count())
+        for name, r in REPORTS.items()
+    }
