@@ -9,16 +9,16 @@ recomputation, and nothing is cached.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripweave.functions import labels as L
 from tripweave.operators import anomalies, cleaning, profiling, segments, sharing, zones
 from tripweave.plans import charts
-from tripweave.plans.reports import all_reports, report, time_totals
+from tripweave.plans.reports import all_reports, time_totals
 from tripweave.sources import readers, schemas, writers
 
 CLEANED = "cleaned_trips"
@@ -90,23 +90,11 @@ def store_results(
 
 
 def store_exports(
-    trips: DataFrame,
-    groups: DataFrame,
-    zone_table: DataFrame,
-    out: str,
-    first: date,
-    last: date,
+    trips: DataFrame, results: Mapping[str, DataFrame], out: str, first: date, last: date
 ) -> dict[str, DataFrame]:
     """Write the seven chart inputs as CSV. Six hold a handful of rows and become one
     file each; the row sample grows with the trips and keeps Spark's own files."""
-    small = {
-        "hourly_distribution": report(trips, "hourly_distribution"),
-        "top_pickup_zones": charts.top15_zones(trips, zone_table),
-        "payment_distribution": report(trips, "payment_distribution"),
-        "payment_by_date": charts.payment_by_date_range(trips, first, last),
-        "ridesharing_hourly": sharing.by_hour(groups),
-        "savings_summary": top20_savings(sharing.savings(groups)),
-    }
+    small = charts.export_tables(results, first, last)
     sample = readers.sample_export(trips)
     for name, df in small.items():
         writers.write_single_csv(df, f"{out}/{name}")
@@ -117,10 +105,6 @@ def store_exports(
     }
 
 
-def top20_savings(group_savings: DataFrame) -> DataFrame:
-    return sharing.top_rows(group_savings, [F.desc("money_saved")], 20)
-
-
 def run(
     spark: SparkSession,
     trips_path: str,
@@ -136,4 +120,4 @@ def run(
     zone_table = readers.read_zones(spark, zones_path)
     trips = prepare_table(raw, out, wording)
     stored = store_results(raw, trips, zone_table, out, wording)
-    store_exports(trips, stored["share_groups"], zone_table, f"{out}/exports", first, last)
+    store_exports(trips, stored, f"{out}/exports", first, last)

@@ -22,7 +22,7 @@ from tripweave.operators import (
 from tripweave.operators.enrichment import enrich
 from tripweave.operators.grouping import describe
 from tripweave.plans import batch, charts
-from tripweave.plans.reports import REPORTS, report
+from tripweave.plans.reports import REPORTS, all_reports, report, time_totals
 from tripweave.sources import driver_tables, readers, writers
 
 FIRST_DAY, LAST_DAY = date(2024, 1, 8), date(2024, 1, 21)
@@ -76,9 +76,15 @@ def _parquet_roundtrip(t: Tables) -> DataFrame:
 
 def _export_results(t: Tables) -> DataFrame:
     """Rows of each exported file, read back."""
-    out = t.folder()
+    out, trips = t.folder(), t.trips
     groups = batch.save(t.groups, out, "share_groups")
-    written = batch.store_exports(t.trips, groups, t.zones, out, FIRST_DAY, LAST_DAY)
+    by_time = batch.save(time_totals(trips), out, "time_totals")
+    results = all_reports(trips, by_time) | {
+        "top_pickup_zones": zones.top_zones(trips, t.zones, "pickup"),
+        "share_by_hour": sharing.by_hour(groups),
+        "share_savings": sharing.savings(groups),
+    }
+    written = batch.store_exports(trips, results, f"{out}/exports", FIRST_DAY, LAST_DAY)
     counts = [
         df.agg(F.lit(name).alias("result"), F.count(F.lit(1)).alias("n_rows"))
         for name, df in written.items()
@@ -164,9 +170,9 @@ AGGREGATED: dict[str, Callable[[Tables], DataFrame]] = {
     "correlation_matrix": lambda t: segments.correlation_matrix(t.trips),
     "efficiency_stats": lambda t: segments.efficiency_stats(t.trips),
     "efficiency_top": lambda t: segments.efficiency_top(t.trips),
-    "export_top15_zones": lambda t: charts.top15_zones(t.trips, t.zones),
+    "export_top15_zones": lambda t: charts.top15_zones(zones.top_zones(t.trips, t.zones, "pickup")),
     "payment_by_date_range": lambda t: charts.payment_by_date_range(t.trips, FIRST_DAY, LAST_DAY),
-    "export_top20_savings": lambda t: batch.top20_savings(sharing.savings(t.groups)),
+    "export_top20_savings": lambda t: charts.top20_savings(sharing.savings(t.groups)),
     "top3_hours": lambda t: charts.peak_hours(report(t.trips, "hourly_distribution"), 3),
     "payment_pivot": lambda t: charts.payment_pivot(t.trips),
     "hourly_peak_zone": lambda t: charts.hourly_peak_zone(t.trips),

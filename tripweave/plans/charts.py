@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 from tripweave.functions import labels as L
 from tripweave.functions.columns import percent, rows
 from tripweave.operators import sharing
-from tripweave.operators.zones import top_zones
 from tripweave.plans.reports import report
 
 
@@ -19,18 +19,40 @@ def peak_hours(hourly: DataFrame, n: int = 5) -> DataFrame:
     return hourly.orderBy(F.desc("n"), "hour").limit(n)
 
 
-def top15_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
+def top15_zones(top20: DataFrame) -> DataFrame:
     """Fifteen busiest of the twenty stored pickup zones, ascending for bar charts."""
     names = ("pickup_borough", "pickup_zone")
-    best = top_zones(trips, zones, "pickup", 20).orderBy(F.desc("n"), *names).limit(15)
+    best = top20.orderBy(F.desc("n"), *names).limit(15)
     return best.orderBy(F.asc("n"), *(F.desc(c) for c in names))
 
 
+def between_days(df: DataFrame, first: date, last: date) -> DataFrame:
+    """Rows of a closed range of days. On a table stored by ``trip_date`` only the
+    folders of these days are read."""
+    return df.filter(F.col("trip_date").between(F.lit(first), F.lit(last)))
+
+
 def payment_by_date_range(trips: DataFrame, first: date, last: date) -> DataFrame:
-    """Payment counts for a closed range of days. The range is applied to the trips,
-    so a table partitioned by ``trip_date`` reads only the days asked for."""
-    inside = F.col("trip_date").between(F.lit(first), F.lit(last))
-    return report(trips.filter(inside), "payment_by_date")
+    return report(between_days(trips, first, last), "payment_by_date")
+
+
+def top20_savings(group_savings: DataFrame) -> DataFrame:
+    return sharing.top_rows(group_savings, [F.desc("money_saved")], 20)
+
+
+def export_tables(results: Mapping[str, DataFrame], first: date, last: date) -> dict[str, DataFrame]:
+    """The six small chart inputs, shaped from stored results and sorted anew, since
+    files keep no order."""
+    kinds = [F.desc("n"), F.asc("payment_type_label")]
+    by_date = between_days(results["payment_by_date"], first, last)
+    return {
+        "hourly_distribution": results["hourly_distribution"].orderBy("hour"),
+        "top_pickup_zones": top15_zones(results["top_pickup_zones"]),
+        "payment_distribution": results["payment_distribution"].orderBy(*kinds),
+        "payment_by_date": by_date.orderBy("trip_date", *kinds),
+        "ridesharing_hourly": results["share_by_hour"].orderBy("hour"),
+        "savings_summary": top20_savings(results["share_savings"]),
+    }
 
 
 def payment_pivot(trips: DataFrame, wording: L.Wording = L.ENGLISH) -> DataFrame:

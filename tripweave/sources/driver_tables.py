@@ -41,8 +41,8 @@ def _null_every(n: int, value: Column) -> Column:
     return F.when(_every("l_partkey", n), F.lit(None)).otherwise(value)
 
 
-def _line_trips(lines: DataFrame) -> DataFrame:
-    """All trip columns that the line itself determines."""
+def _trip_columns(lines: DataFrame) -> DataFrame:
+    """Lines with their nations to trips, by arithmetic."""
     order, part, supp, line = (
         F.col(c).cast("long") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     )
@@ -51,10 +51,7 @@ def _line_trips(lines: DataFrame) -> DataFrame:
     ) % 300
     code = (part * 7 + order) % 23
     base = lines.select(
-        "l_partkey",
-        "l_orderkey",
-        "l_suppkey",
-        "l_discount",
+        "*",
         (line % 2 + 1).cast("int").alias("VendorID"),
         F.timestamp_add("SECOND", pickup_s, F.lit(START).cast("timestamp_ntz")).alias(
             "tpep_pickup_datetime"
@@ -79,7 +76,6 @@ def _line_trips(lines: DataFrame) -> DataFrame:
             .otherwise(1.0)
         ).alias("fare_amount"),
         F.when(F.col("l_linestatus") == "O", 1.0).otherwise(0.0).alias("extra"),
-        "l_tax",
         _null_every(31, F.lit(2.5)).alias("congestion_surcharge"),
         _null_every(28, F.lit(0.0)).alias("Airport_fee"),
     )
@@ -101,6 +97,8 @@ def _line_trips(lines: DataFrame) -> DataFrame:
             "tolls_amount": F.lit(0.0),
             "improvement_surcharge": F.lit(1.0),
             "total_amount": fare * (1.0 + F.col("l_tax")) + 2.5 + tip,
+            "PULocationID": _zone_id("c_nationkey", 40),
+            "DOLocationID": _zone_id("s_nationkey", 41),
         }
     )
 
@@ -114,7 +112,8 @@ def _zone_id(nation: str, other_every: int) -> Column:
 
 
 def derive_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips with the declared columns. No join carries a hint: sides that are
+    """Raw trips with the declared columns. The lines are joined before they grow into
+    trips, so shuffles carry half the bytes. No join carries a hint: sides that are
     small when measured are broadcast, the rest is shuffled with hot keys split."""
     customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     order_nation = (
@@ -125,17 +124,13 @@ def derive_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     suppliers = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     located = (
-        _line_trips(_table(spark, sf_dir, "lineitem"))
+        _table(spark, sf_dir, "lineitem")
         .join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        .withColumns(
-            {
-                "PULocationID": _zone_id("c_nationkey", 40),
-                "DOLocationID": _zone_id("s_nationkey", 41),
-            }
-        )
     )
-    return located.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in TRIPS.fields))
+    return _trip_columns(located).select(
+        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in TRIPS.fields)
+    )
 
 
 _landed: dict[tuple[str, str, str], str] = {}

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
 from tripweave.sources import schemas
 
+# The columns that tell trips apart, of the exported sample, of the preview.
 SAMPLE_KEYS = (
     "tpep_pickup_datetime",
     "tpep_dropoff_datetime",
@@ -70,7 +71,7 @@ def sample_trips(trips: DataFrame, fraction: float, seed: int = 42) -> DataFrame
 
 def hash_sample(trips: DataFrame, fraction: float, keys: Sequence[str] = SAMPLE_KEYS) -> DataFrame:
     """Rows whose key hash falls in the lowest ``fraction``: the same rows on every
-    run and layout."""
+    run and layout. Copies of one trip are kept or left together."""
     if not 0 < fraction < 1:
         raise ValueError("fraction must lie between 0 and 1")
 
