@@ -22,7 +22,7 @@ from tripweave.operators import (
 from tripweave.operators.enrichment import enrich
 from tripweave.operators.grouping import describe
 from tripweave.plans import batch, charts
-from tripweave.plans.reports import REPORTS, all_reports, report, time_totals
+from tripweave.plans.reports import REPORTS, report, report_from_totals, time_totals
 from tripweave.sources import driver_tables, readers, writers
 
 FIRST_DAY, LAST_DAY = date(2024, 1, 8), date(2024, 1, 21)
@@ -79,7 +79,8 @@ def _export_results(t: Tables) -> DataFrame:
     out, trips = t.folder(), t.trips
     groups = batch.save(t.groups, out, "share_groups")
     by_time = batch.save(time_totals(trips), out, "time_totals")
-    results = all_reports(trips, by_time) | {
+    reported = ("hourly_distribution", "payment_distribution", "payment_by_date")
+    results = {name: report_from_totals(by_time, name) for name in reported} | {
         "top_pickup_zones": zones.top_zones(trips, t.zones, "pickup"),
         "share_by_hour": sharing.by_hour(groups),
         "share_savings": sharing.savings(groups),

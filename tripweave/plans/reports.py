@@ -260,14 +260,23 @@ ROW_REPORTS = {
 }
 
 
+def report_from_totals(
+    folded: DataFrame, name: str, wording: L.Wording = L.ENGLISH
+) -> DataFrame:
+    """One report merged from ``time_totals``."""
+    if name in ROW_REPORTS:
+        raise ValueError(f"{name} needs the trips themselves")
+    labelled = _relabelled(folded, wording)
+    return run_report(labelled, REPORTS[name], wording, _merged_measure, merged_count())
+
+
 def all_reports(
     trips: DataFrame, folded: DataFrame, wording: L.Wording = L.ENGLISH
 ) -> dict[str, DataFrame]:
     """Every report, from stored ``time_totals`` wherever they suffice."""
-    labelled = _relabelled(folded, wording)
     return {
         name: run_report(trips, r, wording)
         if name in ROW_REPORTS
-        else run_report(labelled, r, wording, _merged_measure, merged_count())
+        else report_from_totals(folded, name, wording)
         for name, r in REPORTS.items()
     }
