@@ -223,11 +223,11 @@ def raw_files(spark, sf_dir, raw, tmp_path_factory):
 def test_batch_writes_every_result(spark, raw_files, tmp_path, trips):
     out = str(tmp_path)
     batch.run(spark, *raw_files, out, date(2024, 1, 1), date(2024, 1, 31))
-    for name in {*batch.FORMATS, *REPORTS, "top_pickup_zones", "borough_flows", "zone_match_rate"}:
-        kind = "csv" if batch.FORMATS.get(name, "csv") == "csv" else "parquet"
-        assert list(Path(out, name).glob(f"part-*.{kind}")) or list(
-            Path(out, name).glob(f"part-*.snappy.{kind}")
-        ), name
+    names = {*batch.PARQUET, *REPORTS, "top_pickup_zones", "borough_flows", "profile_missing"}
+    names |= {"anomaly_top", "correlation_matrix", "share_savings_total", "kpi_dashboard"}
+    for name in names:
+        kind = "parquet" if name in batch.PARQUET else "csv"
+        assert [p for p in Path(out, name).glob("part-*") if p.name.endswith(kind)], name
     exports = {p.name for p in Path(out, "exports").iterdir()}
     assert exports == {
         "hourly_distribution",

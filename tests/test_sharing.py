@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tripweave.operators import sharing
 from tripweave.operators.cleaning import prepare
@@ -71,6 +72,22 @@ def test_no_groups_at_all(trips_of):
     assert (total.n_groups, total.n_candidates, total.saved_trips) == (0, 1, None)
 
 
+def test_a_crowded_group_is_folded_before_the_shuffle(spark, trips_of):
+    row = prepare(trips_of({})).first()
+    many = spark.range(0, 300_000, numPartitions=6).select(
+        "id",
+        *(F.lit(row[c]).alias(c) for c in sharing.CANDIDATE_COLUMNS if c != "DOLocationID"),
+        F.when(F.col("id") % 3 == 0, 2).otherwise(F.col("id")).cast("int").alias("DOLocationID"),
+    )
+    crowd = sharing.shareable(sharing.trip_groups(many))
+    rows = crowd.collect()
+    assert [(r.DOLocationID, r.n_trips, r.total_passengers) for r in rows] == [(2, 100_001, 100_001)]
+    plan = crowd._jdf.queryExecution().executedPlan().toString()
+    partial = [i for i, x in enumerate(plan.splitlines()) if "partial_count(1)" in x]
+    shuffle = [i for i, x in enumerate(plan.splitlines()) if "Exchange hashpartitioning" in x]
+    assert shuffle and partial and min(partial) > min(shuffle)
+
+
 one = st.tuples(
     st.integers(0, 3600), st.integers(1, 2), st.integers(1, 2), st.integers(1, 6), st.integers(5, 40)
 )

@@ -59,8 +59,9 @@ def rate(trips: DataFrame, limit: float = L.Z_LIMIT) -> DataFrame:
     )
 
 
-def top(trips: DataFrame, n: int = 10, limit: float = L.Z_LIMIT) -> DataFrame:
-    shown = anomalies(trips, limit).select(
+def top(flagged: DataFrame, n: int = 10) -> DataFrame:
+    """Anomalies farthest from the mean distance."""
+    shown = flagged.select(
         "tpep_pickup_datetime",
         "trip_distance_km",
         "fare_amount",
@@ -74,7 +75,7 @@ def top(trips: DataFrame, n: int = 10, limit: float = L.Z_LIMIT) -> DataFrame:
 
 
 def types(
-    trips: DataFrame, limit: float = L.Z_LIMIT, wording: L.Wording = L.ENGLISH
+    flagged: DataFrame, limit: float = L.Z_LIMIT, wording: L.Wording = L.ENGLISH
 ) -> DataFrame:
     """Anomalies by the first score beyond the limit: distance, then fare, then speed."""
     *named, other = wording.anomaly_types
@@ -86,7 +87,7 @@ def types(
         F.lit(other),
     )
     return grouped(
-        anomalies(trips, limit).withColumn("anomaly_type", kind),
+        flagged.withColumn("anomaly_type", kind),
         ["anomaly_type"],
         {
             "avg_km": F.avg("trip_distance_km"),

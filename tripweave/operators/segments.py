@@ -56,12 +56,13 @@ def efficiency(trips: DataFrame) -> DataFrame:
     return trips.withColumns({name: F.try_divide(fare, by) for name, by in effort.items()})
 
 
-def efficiency_stats(trips: DataFrame) -> DataFrame:
-    return describe(efficiency(trips), list(EFFICIENCY))
+def efficiency_stats(scored: DataFrame) -> DataFrame:
+    return describe(scored, list(EFFICIENCY))
 
 
-def efficiency_top(trips: DataFrame, n: int = 10) -> DataFrame:
-    shown = efficiency(trips).select(
+def efficiency_top(scored: DataFrame, n: int = 10) -> DataFrame:
+    """Trips that earn most for their distance and time."""
+    shown = scored.select(
         "tpep_pickup_datetime",
         "trip_distance_km",
         "trip_duration_minutes",

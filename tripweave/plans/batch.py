@@ -1,10 +1,10 @@
 """The whole batch: raw trips in, prepared table, stored results and exports out.
 
-Trips are prepared once and written by date. Three more tables are folded from them
-and written: totals by time, totals by zone pair, and share groups. Some forty results
-then come from these small tables, so the trips are scanned about fifteen times instead of
-sixty. Later steps read written tables: a lost executor costs a re-read and not a
-recomputation, and nothing is cached.
+Trips are prepared once and written by date. Results that others build on are written
+next: totals by time and by zone pair, share groups, savings, anomalies and trip scores.
+Some fifty results then come from these tables and scan no trips. Later steps read
+written tables: a lost executor costs a re-read and not a recomputation, and nothing is
+cached.
 """
 
 from __future__ import annotations
@@ -17,39 +17,33 @@ from pyspark.sql.types import StructType
 
 from tripweave.functions import labels as L
 from tripweave.operators import anomalies, cleaning, profiling, segments, sharing, zones
+from tripweave.operators.grouping import describe
 from tripweave.plans import charts
 from tripweave.plans.reports import all_reports, time_totals
 from tripweave.sources import readers, schemas, writers
 
 CLEANED = "cleaned_trips"
 
-# Stored results and their format. One place says how each is written and read.
-FORMATS = {
-    "time_totals": "parquet",
-    "zone_totals": "parquet",
-    "share_groups": "parquet",
-    "share_savings": "parquet",
-    "anomalies": "parquet",
-    "categorized_trips": "parquet",
-    "efficiency_trips": "parquet",
-    "profile_summary": "csv",
-    "cleaned_sample": "csv",
-    "share_top_groups": "csv",
-    "share_top_origins": "csv",
-    "share_by_hour": "csv",
-    "share_by_day": "csv",
-    "share_scenarios": "csv",
+# Results stored as Parquet, for other steps to build on; all others are CSV.
+PARQUET = {
+    "time_totals",
+    "zone_totals",
+    "share_groups",
+    "share_savings",
+    "anomalies",
+    "categorized_trips",
+    "efficiency_trips",
 }
 
 
 def save(df: DataFrame, out: str, name: str) -> DataFrame:
     """Store a named result and return it as read back."""
-    path = f"{out}/{name}"
-    if FORMATS.get(name, "csv") == "csv":
-        writers.write_csv(df, path)
-        return df.sparkSession.read.schema(df.schema).option("header", True).csv(path)
-    writers.write_parquet(df, path)
-    return df.sparkSession.read.parquet(path)
+    path, reader = f"{out}/{name}", df.sparkSession.read.schema(df.schema)
+    if name in PARQUET:
+        writers.write_parquet(df, path)
+        return reader.parquet(path)
+    writers.write_csv(df, path)
+    return reader.option("header", True).csv(path)
 
 
 def prepare_table(trips: DataFrame, out: str, wording: L.Wording = L.ENGLISH) -> DataFrame:
@@ -67,26 +61,72 @@ def store_results(
     wording: L.Wording = L.ENGLISH,
 ) -> dict[str, DataFrame]:
     """Store every named result; the values read what was written."""
-    by_time = save(time_totals(trips), out, "time_totals")
-    by_zone = save(zones.zone_totals(trips), out, "zone_totals")
-    groups = save(sharing.share_groups(trips), out, "share_groups")
-    results = {
+    base = {
+        "time_totals": time_totals(trips),
+        "zone_totals": zones.zone_totals(trips),
+        "share_groups": sharing.share_groups(trips),
+        "anomalies": anomalies.anomalies(trips),
+        "categorized_trips": segments.categorize(trips, wording),
+        "efficiency_trips": segments.efficiency(trips),
+    }
+    stored = {name: save(df, out, name) for name, df in base.items()}
+    stored["share_savings"] = save(
+        sharing.savings(stored["share_groups"]), out, "share_savings"
+    )
+    results = (
+        _profile(raw, wording)
+        | _trip_tables(trips)
+        | _from_stored(stored, wording)
+        | all_reports(trips, stored["time_totals"], wording)
+        | zones.all_rankings(stored["zone_totals"], zone_table)
+    )
+    return stored | {name: save(df, out, name) for name, df in results.items()}
+
+
+def _profile(raw: DataFrame, wording: L.Wording) -> dict[str, DataFrame]:
+    return {
         "profile_summary": profiling.summary(raw),
+        "profile_period": profiling.period(raw),
+        "profile_schema": profiling.schema_listing(raw),
+        "profile_missing": profiling.missing_values(raw),
+        "profile_outliers": profiling.outliers(raw),
+        "profile_describe_raw": profiling.describe_raw(raw),
+        "profile_payment_type": profiling.payment_type_labelled(raw, wording),
+        "profile_ratecode": profiling.ratecode_labelled(raw),
+        "clean_report": cleaning.clean_report(raw),
+    }
+
+
+def _trip_tables(trips: DataFrame) -> dict[str, DataFrame]:
+    all_groups = sharing.trip_groups(sharing.candidates(trips))
+    return {
         "cleaned_sample": readers.sample_trips(trips, 0.01),
-        "share_savings": sharing.savings(groups),
+        "describe_trips": describe(trips, ["trip_distance_km", "trip_duration_minutes"]),
+        "correlation_matrix": segments.correlation_matrix(trips),
+        "anomaly_rate": anomalies.rate(trips),
+        "share_candidate_rate": sharing.candidate_rate(trips),
+        "share_savings_total": sharing.savings_total(all_groups),
+        "hourly_peak_zone": charts.hourly_peak_zone(trips),
+        "kpi_dashboard": charts.kpi_dashboard(trips),
+    }
+
+
+def _from_stored(stored: Mapping[str, DataFrame], wording: L.Wording) -> dict[str, DataFrame]:
+    groups, flagged = stored["share_groups"], stored["anomalies"]
+    scored = stored["efficiency_trips"]
+    return {
+        "share_group_stats": sharing.group_stats(groups),
         "share_top_groups": sharing.top_groups(groups),
         "share_top_origins": sharing.top_origins(groups),
         "share_by_hour": sharing.by_hour(groups),
         "share_by_day": sharing.by_day(groups),
         "share_scenarios": sharing.scenarios(groups, wording=wording),
-        "anomalies": anomalies.anomalies(trips),
-        "categorized_trips": segments.categorize(trips, wording),
-        "efficiency_trips": segments.efficiency(trips),
+        "share_top_savings": sharing.top_savings(stored["share_savings"]),
+        "anomaly_top": anomalies.top(flagged),
+        "anomaly_types": anomalies.types(flagged, wording=wording),
+        "efficiency_stats": segments.efficiency_stats(scored),
+        "efficiency_top": segments.efficiency_top(scored),
     }
-    results |= all_reports(trips, by_time, wording)
-    results |= zones.all_rankings(by_zone, zone_table)
-    stored = {"time_totals": by_time, "zone_totals": by_zone, "share_groups": groups}
-    return stored | {name: save(df, out, name) for name, df in results.items()}
 
 
 def store_exports(

@@ -166,11 +166,11 @@ AGGREGATED: dict[str, Callable[[Tables], DataFrame]] = {
     "anomaly_baseline": lambda t: anomalies.baseline(t.trips),
     "anomaly_scores": lambda t: anomalies.scores(t.trips),
     "anomaly_rate": lambda t: anomalies.rate(t.trips),
-    "anomaly_top": lambda t: anomalies.top(t.trips),
-    "anomaly_types": lambda t: anomalies.types(t.trips),
+    "anomaly_top": lambda t: anomalies.top(anomalies.anomalies(t.trips)),
+    "anomaly_types": lambda t: anomalies.types(anomalies.anomalies(t.trips)),
     "correlation_matrix": lambda t: segments.correlation_matrix(t.trips),
-    "efficiency_stats": lambda t: segments.efficiency_stats(t.trips),
-    "efficiency_top": lambda t: segments.efficiency_top(t.trips),
+    "efficiency_stats": lambda t: segments.efficiency_stats(segments.efficiency(t.trips)),
+    "efficiency_top": lambda t: segments.efficiency_top(segments.efficiency(t.trips)),
     "export_top15_zones": lambda t: charts.top15_zones(zones.top_zones(t.trips, t.zones, "pickup")),
     "payment_by_date_range": lambda t: charts.payment_by_date_range(t.trips, FIRST_DAY, LAST_DAY),
     "export_top20_savings": lambda t: charts.top20_savings(sharing.savings(t.groups)),
