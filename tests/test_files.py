@@ -15,7 +15,7 @@ from tripweave.operators import sharing, zones
 from tripweave.operators.cleaning import clean, prepare
 from tripweave.plans import batch, charts
 from tripweave.plans.catalog import QUERIES
-from tripweave.plans.reports import REPORTS, report
+from tripweave.plans.reports import REPORTS, all_reports, report, run_report, time_totals
 from tripweave.sources import driver_tables, readers, writers
 from tripweave.sources.schemas import TRIPS
 
@@ -45,6 +45,14 @@ def test_parquet_round_trip_by_date(spark, raw, tmp_path):
     assert folders[0] == "trip_date=2024-01-01" and len(folders) == 31
 
 
+def test_ordered_trips_are_written_without_a_shuffle(spark, raw, tmp_path):
+    ordered = raw.orderBy("tpep_pickup_datetime").coalesce(3)
+    back = batch.prepare_table(ordered, str(tmp_path), ordered=True)
+    assert same_rows(prepare(raw), back)
+    files = [len(list(d.glob("*.parquet"))) for d in (tmp_path / batch.CLEANED).glob("trip_date=*")]
+    assert max(files) <= 2
+
+
 def test_csv_round_trip(trips, tmp_path):
     table = report(trips, "hourly_distribution")
     assert same_rows(table, batch.save(table, str(tmp_path), "hourly_distribution"))
@@ -242,13 +250,19 @@ def test_batch_writes_every_result(spark, raw_files, tmp_path, trips):
     assert groups.count() == sharing.share_groups(trips).count()
 
 
-def test_batch_in_french(spark, raw_files, tmp_path):
-    batch.run(spark, *raw_files, str(tmp_path), date(2024, 1, 1), date(2024, 1, 31), FRENCH)
-    text = "".join(p.read_text() for p in (tmp_path / "payment_distribution").glob("part-*.csv"))
-    assert "Carte de crédit" in text and "Credit card" not in text
+def test_french_labels_from_trips_and_from_totals(spark, raw, tmp_path):
+    french = batch.prepare_table(raw, str(tmp_path), FRENCH)
+    folded = batch.save(time_totals(french), str(tmp_path), "time_totals")
+    merged = all_reports(french, folded, FRENCH)
+    for name in ("payment_by_day", "weekend_period", "profile_distribution"):
+        direct = run_report(french, REPORTS[name], FRENCH)
+        keys = REPORTS[name].keys.split()
+        assert direct.select(keys).collect() == merged[name].select(keys).collect()
+    labels = {r.payment_type_label for r in merged["payment_by_day"].collect()}
+    assert labels == set(FRENCH.payments)
 
 
-def test_batch_with_other_column_types(spark, raw_files, raw, tmp_path):
+def test_files_with_other_column_types(spark, raw, tmp_path):
     other = raw.withColumns(
         {
             "passenger_count": F.col("passenger_count").cast("double"),
@@ -257,9 +271,9 @@ def test_batch_with_other_column_types(spark, raw_files, raw, tmp_path):
         }
     )
     writers.write_parquet(other, str(tmp_path / "other"))
-    out, days = str(tmp_path / "out"), (date(2024, 1, 1), date(2024, 1, 31))
-    batch.run(spark, str(tmp_path / "other"), raw_files[1], out, *days, schema=None)
-    groups = spark.read.parquet(f"{out}/share_groups")
+    read = readers.read_trips(spark, str(tmp_path / "other"), schema=None)
+    groups = sharing.share_groups(batch.prepare_table(read, str(tmp_path)))
+    assert dict(groups.dtypes)["total_passengers"] == "double"
     assert groups.count() == sharing.share_groups(prepare(raw)).count()
 
 

@@ -25,6 +25,11 @@ def main() -> None:
         action="store_true",
         help="take column types from the trip files, where they differ from the declared ones",
     )
+    args.add_argument(
+        "--ordered",
+        action="store_true",
+        help="trip files are roughly in order of time; write days without a shuffle",
+    )
     given = args.parse_args()
     spark = (
         SparkSession.builder.appName("tripweave")
@@ -33,7 +38,17 @@ def main() -> None:
     )
     wording = FRENCH if given.language == "fr" else ENGLISH
     schema = None if given.file_schema else TRIPS
-    run(spark, given.trips, given.zones, given.out, given.first, given.last, wording, schema)
+    run(
+        spark,
+        given.trips,
+        given.zones,
+        given.out,
+        given.first,
+        given.last,
+        wording,
+        schema,
+        given.ordered,
+    )
 
 
 if __name__ == "__main__":

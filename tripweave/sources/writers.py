@@ -17,11 +17,13 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_by_date(trips: DataFrame, path: str) -> None:
+def write_by_date(trips: DataFrame, path: str, ordered: bool = False) -> None:
     """Parquet by ``trip_date``. The rebalance hint lets Spark merge thin days into
     full-sized tasks and split a day that is too large for one, so neither many
-    small files nor one huge task comes of it."""
-    balanced = trips.hint("rebalance", F.col("trip_date"))
+    small files nor one huge task comes of it. Trips that already arrive roughly in
+    order of time (``ordered``) need no shuffle: each task meets a few days only.
+    """
+    balanced = trips if ordered else trips.hint("rebalance", F.col("trip_date"))
     balanced.write.mode("overwrite").partitionBy("trip_date").parquet(path)
 
 
