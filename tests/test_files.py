@@ -15,7 +15,7 @@ from tripweave.operators import sharing, zones
 from tripweave.operators.cleaning import clean, prepare
 from tripweave.plans import batch, charts
 from tripweave.plans.catalog import QUERIES
-from tripweave.plans.reports import REPORTS, all_reports, report, run_report, time_totals
+from tripweave.plans.reports import REPORTS, all_reports, report, time_totals
 from tripweave.sources import driver_tables, readers, writers
 from tripweave.sources.schemas import TRIPS
 
@@ -255,7 +255,7 @@ def test_french_labels_from_trips_and_from_totals(spark, raw, tmp_path):
     folded = batch.save(time_totals(french), str(tmp_path), "time_totals")
     merged = all_reports(french, folded, FRENCH)
     for name in ("payment_by_day", "weekend_period", "profile_distribution"):
-        direct = run_report(french, REPORTS[name], FRENCH)
+        direct = report(french, name, FRENCH)
         keys = REPORTS[name].keys.split()
         assert direct.select(keys).collect() == merged[name].select(keys).collect()
     labels = {r.payment_type_label for r in merged["payment_by_day"].collect()}

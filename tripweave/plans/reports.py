@@ -245,8 +245,9 @@ def run_report(
     )
 
 
-def report(trips: DataFrame, name: str) -> DataFrame:
-    return run_report(trips, REPORTS[name])
+def report(trips: DataFrame, name: str, wording: L.Wording = L.ENGLISH) -> DataFrame:
+    """A named report over prepared trips."""
+    return run_report(trips, REPORTS[name], wording)
 
 
 # Reports on columns that the totals no longer hold.
