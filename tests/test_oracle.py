@@ -5,9 +5,9 @@ from __future__ import annotations
 import pytest
 
 import oracle
-from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, SQL = queries(), oracle_sql()
+from __spark_entry__ import entry
+from oracle_queries import ORACLE as SQL
+from tripweave.plans.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
