@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tripweave.llm import spans
 from tripweave.llm.jaccard_join import jaccard_components
 
 
@@ -17,8 +19,25 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lose repeated passages: the ranges, where they stand first, and a
+    digest of what is left."""
+    docs = _table(spark, sf_dir, "documents")
+    left = spans.cut(docs.select("doc_id", "text"), spans.repeated_spans(docs))
+    span = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return left.select(
+        "doc_id",
+        F.size("spans").alias("n_spans"),
+        F.array_join(span, ",").alias("spans"),
+        "first_doc_ids",
+        F.length("text").alias("kept_chars"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op10_sentence_spans": op10_sentence_spans,
 }
 
 ORACLE: dict[str, str] = {}
