@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import spans
+from tripweave.llm import bpe, spans, wavelet
 from tripweave.llm.jaccard_join import jaccard_components
+from tripweave.sources.writers import shared_folder
+
+TOKENIZER = "word_bpe_49k.json"
+END_ID = 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +27,32 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark)
+    docs = _table(spark, sf_dir, "documents")
+    wavelet.write_shards(docs, folder, public_tokenizers.path(TOKENIZER), END_ID)
+    return wavelet.read_shards(spark, folder)
+
+
+def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, number and digest of the ids, and digest of the decoded text."""
+
+    def finish(ids: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+        little, edges = ids.astype("<u4"), offsets.tolist()
+        return [
+            pa.array(np.diff(offsets), pa.int64()),
+            pa.array([hashlib.sha256(little[a:b]).hexdigest() for a, b in zip(edges, edges[1:])]),
+            pa.array([hashlib.sha256(t).hexdigest() for t in bpe.decoded(path, ids, offsets)]),
+        ]
+
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return bpe.encoded(docs, path, finish, schema)
+
+
 def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that lose repeated passages: the ranges, where they stand first, and a
     digest of what is left."""
@@ -37,6 +71,8 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_wavelet_shards": op6_wavelet_shards,
+    "op9_bpe_tree": op9_bpe_tree,
     "op10_sentence_spans": op10_sentence_spans,
 }
 
