@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import bpe, spans, wavelet
+from tripweave.llm import bpe, sharding, spans, warc, wavelet
 from tripweave.llm.jaccard_join import jaccard_components
 from tripweave.sources.writers import shared_folder
 
@@ -34,6 +34,16 @@ def op6_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(spark, folder)
 
 
+def op7_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), shards=16)
+
+
+def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark)
+    files = warc.write_monolithic(_table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    return warc.read_files(spark, warc.normalise_files(files, folder), folder)
+
+
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -72,6 +82,8 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_wavelet_shards": op6_wavelet_shards,
+    "op7_lpt_sharding": op7_lpt_sharding,
+    "op8_warc_normaliser": op8_warc_normaliser,
     "op9_bpe_tree": op9_bpe_tree,
     "op10_sentence_spans": op10_sentence_spans,
 }
