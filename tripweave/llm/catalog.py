@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import bpe, sharding, spans, warc, wavelet
+from tripweave.llm import bpe, decontaminate, sharding, spans, warc, wavelet
 from tripweave.llm.jaccard_join import jaccard_components
 from tripweave.sources.writers import shared_folder
 
@@ -23,6 +23,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, items, similarity=0.8)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -80,6 +85,7 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_decontamination": op2_simhash_decontamination,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_wavelet_shards": op6_wavelet_shards,
     "op7_lpt_sharding": op7_lpt_sharding,
