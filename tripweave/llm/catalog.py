@@ -11,7 +11,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import bpe, decontaminate, sharding, spans, warc, wavelet
+from tripweave.llm import (
+    bpe,
+    decontaminate,
+    maxscore,
+    quality,
+    secrets,
+    sharding,
+    spans,
+    warc,
+    wavelet,
+)
 from tripweave.llm.jaccard_join import jaccard_components
 from tripweave.sources.writers import shared_folder
 
@@ -23,11 +33,37 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.scored(docs.select("doc_id", "text"), labels).drop("text")
+
+
 def op2_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.contaminated(docs, items, similarity=0.8)
 
 
+def op3_cnn_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.findings(_table(spark, sf_dir, "documents"))
+    each = F.filter(F.split("spans", ","), lambda s: s != "")
+    base = F.filter(each, lambda s: ~s.startswith("found:"))
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s.startswith(f"{kind}:"))).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
+def op4_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return maxscore.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -85,7 +121,10 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nbsvm_quality": op1_nbsvm_quality,
     "op2_simhash_decontamination": op2_simhash_decontamination,
+    "op3_cnn_secrets": op3_cnn_secrets,
+    "op4_maxscore_topk": op4_maxscore_topk,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_wavelet_shards": op6_wavelet_shards,
     "op7_lpt_sharding": op7_lpt_sharding,
