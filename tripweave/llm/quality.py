@@ -1,7 +1,8 @@
 """Quality classifier: Naive Bayes support vectors.
 
-Features are indicators of hashed n-grams: words and pairs of words (case aside), and
-strings of two to four bytes (case kept). Each is scaled by its class log-count ratio,
+Features are indicators of hashed n-grams: words and pairs of words (case aside),
+triples of marks that tell whether a word repeats one of the two before it, and strings
+of two to four bytes (case kept). Each is scaled by its class log-count ratio,
 rows are brought to length one, and a linear model with hinge loss is fitted by dual
 coordinate descent. A part of the sample that the model has not seen turns its margins
 into probabilities (Platt).
@@ -48,6 +49,10 @@ class Features:
         starts, ends, firsts = tx.words(data, offsets)
         h = tx.hash_spans(tx.LOWER[data], starts, ends)
         grams = [(self._slot(h, 1), firsts, 1), (self._slot(tx.combine(h, 2), 2), firsts, 2)]
+        again = np.zeros(len(h), tx.U64)
+        again[1:] += h[1:] == h[:-1]
+        again[2:] += tx.U64(2) * (h[2:] == h[:-2])
+        grams.append((self._slot(tx.combine(again, 3), 3), firsts, 3))
         code = data.astype(np.uint32)
         for n in (2, 3, 4):
             code = (code[:-1] << np.uint32(8)) | data[n - 1 :] if len(data) >= n else code[:0]
