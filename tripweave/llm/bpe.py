@@ -18,6 +18,7 @@ repeated rows and extra columns pass through: every row is its own document.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import unicodedata
@@ -402,3 +403,19 @@ def decoded(path: str, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     out = data[np.arange(total[-1]) - np.repeat(total[:-1] - begin[ids], size)].tobytes()
     ends = total[offsets].tolist()
     return [out[a : max(a, b - 1)] for a, b in zip(ends, ends[1:])]
+
+
+def digests(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, and SHA-256 of the ids (little-endian, 32 bits) and of the
+    decoded text."""
+
+    def finish(ids: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+        little, edges = ids.astype("<u4"), offsets.tolist()
+        return [
+            pa.array(np.diff(offsets), pa.int64()),
+            pa.array([hashlib.sha256(little[a:b]).hexdigest() for a, b in zip(edges, edges[1:])]),
+            pa.array([hashlib.sha256(t).hexdigest() for t in decoded(path, ids, offsets)]),
+        ]
+
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encoded(docs, path, finish, schema)

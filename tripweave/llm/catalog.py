@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
-import numpy as np
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tripweave.llm import (
     bpe,
     decontaminate,
@@ -86,22 +84,7 @@ def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
-
-
-def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, number and digest of the ids, and digest of the decoded text."""
-
-    def finish(ids: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
-        little, edges = ids.astype("<u4"), offsets.tolist()
-        return [
-            pa.array(np.diff(offsets), pa.int64()),
-            pa.array([hashlib.sha256(little[a:b]).hexdigest() for a, b in zip(edges, edges[1:])]),
-            pa.array([hashlib.sha256(t).hexdigest() for t in bpe.decoded(path, ids, offsets)]),
-        ]
-
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return bpe.encoded(docs, path, finish, schema)
+    return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_normaliser": op8_warc_normaliser,
     "op9_bpe_tree": op9_bpe_tree,
     "op10_sentence_spans": op10_sentence_spans,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}
