@@ -257,7 +257,8 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
         for r in left:
             own = np.zeros(width, np.int64)
             own[: len(r.words)] = r.words
-            apart = np.bitwise_count(matrix ^ own).sum(axis=1)
+            # Counted unsigned: numpy counts the bits of a number's absolute value.
+            apart = np.bitwise_count((matrix ^ own).view(np.uint64)).sum(axis=1)
             total = sizes + r.n_shingles
             near = (apart <= total * (100 - percent) // (100 + percent)) & (comps != r.component)
             if same:
