@@ -38,7 +38,7 @@ from tripweave.llm.runtime import over_slices, partitions, ship
 #: Words a worker remembers before it starts afresh.
 KNOWN_WORDS = 1_500_000
 #: Longest text encoded in one piece, in characters.
-LEAF_CHARS = 16_384
+LEAF_CHARS = 32_768
 #: Characters on either side of a join that are encoded first.
 WINDOW = 64
 
