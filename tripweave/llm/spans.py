@@ -116,9 +116,13 @@ def repeated_spans(
     """doc_id, spans (sorted, merged ranges of code points to remove, end exclusive) and
     first_doc_ids (where they stand first), for every document that loses some."""
     places = occurrences(docs, id_col, text_col, min_pieces, min_words)
-    repeated = places.groupBy("run").count().filter("count > 1").select("run")
+    # Written before they are joined: a join of two plain tables can split a hot run,
+    # one that an aggregation feeds in the same stage cannot.
+    repeated = land(places.groupBy("run").count().filter("count > 1").select("run"), "repeated")
     repeats = land(places.join(repeated, "run"), "repeats")
-    firsts = repeats.groupBy("run").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    firsts = land(
+        repeats.groupBy("run").agg(F.min(F.struct("doc_id", "start")).alias("first")), "firsts"
+    )
     later = (
         repeats.join(firsts, "run")
         .filter(F.struct("doc_id", "start") != F.col("first"))
