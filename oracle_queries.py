@@ -21,10 +21,10 @@ N = "count(*) AS n"
 TRIPS = """
 WITH lines AS (
   SELECT *,
-    CAST(l_linenumber % 2 + 1 AS INTEGER) AS VendorID,
+    CAST(CASE WHEN l_partkey % 37 = 0 THEN NULL ELSE l_linenumber % 2 + 1 END AS INTEGER) AS VendorID,
     TIMESTAMP '2024-01-01 00:00:00' + to_seconds(
       ((l_orderkey * 7919 + CAST(l_linenumber AS BIGINT) * 104729 + l_partkey * 31) % 2976) * 900
-      + (l_orderkey * 13 + l_linenumber * 17) % 300) AS tpep_pickup_datetime,
+      + (l_orderkey * 13 + l_linenumber * 17) % 900) AS tpep_pickup_datetime,
     CAST(CASE WHEN l_partkey % 21 = 0 THEN NULL
          ELSE (l_partkey + l_linenumber) % 8 END AS BIGINT) AS passenger_count,
     CASE WHEN l_partkey % 103 = 0 THEN 10e0 ELSE 1e0 END
@@ -51,8 +51,8 @@ WITH lines AS (
 ), raw AS (
   SELECT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count,
     trip_distance, RatecodeID, store_and_fwd_flag,
-    CAST(CASE WHEN l_partkey % 40 = 0 THEN 99 ELSE least(c_nationkey, 12) END AS INTEGER) AS PULocationID,
-    CAST(CASE WHEN l_partkey % 41 = 0 THEN 99 ELSE least(s_nationkey, 12) END AS INTEGER) AS DOLocationID,
+    CAST(CASE WHEN l_partkey % 43 = 0 THEN NULL WHEN l_partkey % 40 = 0 THEN 99 ELSE least(c_nationkey, 12) END AS INTEGER) AS PULocationID,
+    CAST(CASE WHEN l_partkey % 47 = 0 THEN NULL WHEN l_partkey % 41 = 0 THEN 99 ELSE least(s_nationkey, 12) END AS INTEGER) AS DOLocationID,
     payment_type, fare_amount, extra, fare_amount * l_tax AS mta_tax, tip_amount,
     0e0 AS tolls_amount, 1e0 AS improvement_surcharge,
     fare_amount * (1e0 + l_tax) + 2.5e0 + tip_amount AS total_amount,
@@ -294,8 +294,8 @@ GROUP_COLUMNS = (
 )
 SAVING_COLUMNS = (
     f"{GROUP_COLUMNS}, individual_trips, shared_trips, {r('current_cost')} AS current_cost, "
-    f"saved_trips, {r('shared_cost')} AS shared_cost, {r('money_saved', 2)} AS money_saved, "
-    f"{r('money_saved_pct')} AS money_saved_pct, {r('minutes_saved', 2)} AS minutes_saved"
+    f"saved_trips, {r('shared_cost')} AS shared_cost, {r('money_saved')} AS money_saved, "
+    f"{r('money_saved_pct')} AS money_saved_pct, {r('minutes_saved')} AS minutes_saved"
 )
 SAVED = "CAST(sum(saved_trips) AS BIGINT)"
 def shared_by(name: str, value: str, average: str = "") -> str:
@@ -387,9 +387,7 @@ def export_counts() -> str:
         "hourly_distribution": HOURLY,
         "top_pickup_zones": TOP15,
         "payment_distribution": PAYMENT,
-        "payment_by_date": by(
-            "trip_date, payment_type_label", source=f"(SELECT * FROM trips WHERE {DATE_RANGE})"
-        ),
+        "payment_by_date": by("trip_date, payment_type_label"),
         "ridesharing_hourly": BY_HOUR,
         "savings_summary": "SELECT * FROM savings LIMIT 20",
         "sample_data": f"SELECT * FROM {sampled(0.001)}",
@@ -410,7 +408,8 @@ CATEGORY_ORDERED = (
     "SELECT band_order, trip_category, coalesce(n, 0) AS n, avg_fare, avg_km FROM (VALUES "
     + ", ".join(f"(CAST({i} AS INTEGER), '{c}')" for i, c in enumerate(CATEGORIES))
     + ") b(band_order, trip_category) LEFT JOIN ("
-    + by("trip_category", "avg_fare avg_km")
+    + f"SELECT trip_category, count(VendorID) AS n{means('avg_fare avg_km')} "
+    + "FROM trips GROUP BY trip_category"
     + ") USING (trip_category)"
 )
 
@@ -426,6 +425,18 @@ PLAIN = {
         "SELECT trip_distance_km, trip_duration_minutes, average_speed_kmh, hour, day_name, "
         f"fare_amount, tip_percentage, payment_type_label, trip_category, time_period FROM {sampled(0.01)}"
     ),
+    "export_sample_data": (
+        "SELECT "
+        + ", ".join(
+            f"{r(c)} AS {c}"
+            for c in (
+                "trip_distance_km trip_duration_minutes average_speed_kmh fare_amount "
+                "tip_percentage"
+            ).split()
+        )
+        + ", hour, day_name, payment_type_label, trip_category, time_period "
+        f"FROM {sampled(0.01)}"
+    ),
     "preview_raw": f"SELECT {RAW_COLUMNS} FROM raw ORDER BY ALL NULLS FIRST LIMIT 10",
     "preview_zones": "SELECT * FROM zones ORDER BY ALL LIMIT 10",
     "preview_enriched": (
@@ -578,18 +589,28 @@ PLAIN = {
     ),
     # chart data
     "export_top15_zones": TOP15,
+    "export_top_pickup_zones": TOP15,
+    "export_payment_by_date": by("trip_date, payment_type_label"),
     "payment_by_date_range": by(
         "trip_date, payment_type_label", source=f"(SELECT * FROM trips WHERE {DATE_RANGE})"
     ),
     "top3_hours": f"{HOURLY} ORDER BY n DESC, hour LIMIT 3",
     "payment_pivot": pivot(),
     "hourly_peak_zone": (
-        f"SELECT hour, CAST(sum(n) AS BIGINT) AS n, max(n) AS max_zone_n, "
+        "SELECT hour, CAST(sum(stamped) AS BIGINT) AS n, "
+        "coalesce(max(n) FILTER (WHERE PULocationID IS NOT NULL), 0) AS max_zone_n, "
         f"{r('sum(km) / sum(n)')} AS avg_km FROM (SELECT hour, PULocationID, {N}, "
-        "sum(trip_distance_km) AS km FROM trips GROUP BY ALL) GROUP BY hour"
+        "count(VendorID) AS stamped, sum(trip_distance_km) AS km FROM trips GROUP BY ALL) "
+        "GROUP BY hour"
+    ),
+    "sample_hourly": (
+        f"SELECT hour, count(VendorID) AS n{means('avg_fare avg_speed')} "
+        f"FROM {sampled(0.05)} GROUP BY hour"
+    ),
+    "sample_payment": (
+        f"SELECT payment_type_label, count(VendorID) AS n{means('avg_total')} "
+        f"FROM {sampled(0.05)} GROUP BY payment_type_label"
     ),
-    "sample_hourly": by("hour", "avg_fare avg_speed", sampled(0.05)),
-    "sample_payment": by("payment_type_label", "avg_total", sampled(0.05)),
     "category_ordered": CATEGORY_ORDERED,
 }
 
@@ -602,6 +623,16 @@ SHARED = {
     ),
     "share_time_buckets": "SELECT * FROM bucketed",
     "share_groups": f"SELECT {GROUP_COLUMNS} FROM groups",
+    "share_groups_7_minutes": (
+        f"SELECT {GROUP_COLUMNS} FROM (SELECT CAST(floor(epoch(tpep_pickup_datetime) / 420) AS "
+        "BIGINT) AS time_window, PULocationID, DOLocationID, count(*) AS n_trips, "
+        "avg(trip_distance_km) AS avg_km, avg(fare_amount) AS avg_fare, "
+        "avg(trip_duration_minutes) AS avg_minutes, "
+        "CAST(sum(passenger_count) AS BIGINT) AS total_passengers, "
+        "min(tpep_pickup_datetime) AS first_pickup, max(tpep_pickup_datetime) AS last_pickup, "
+        "date_diff('second', min(tpep_pickup_datetime), max(tpep_pickup_datetime)) / 6e1 "
+        "AS spread_minutes FROM candidates GROUP BY 1, 2, 3 HAVING count(*) >= 2)"
+    ),
     "sink_parquet_roundtrip": f"SELECT {GROUP_COLUMNS} FROM groups",
     "share_group_stats": described("groups", "n_trips avg_km avg_fare avg_minutes spread_minutes"),
     "share_top_groups": (
@@ -623,14 +654,18 @@ SHARED = {
     ),
     "share_top_savings": (
         "SELECT PULocationID, DOLocationID, n_trips, shared_trips, saved_trips, "
-        f"{r('money_saved', 2)} AS money_saved, {r('money_saved_pct')} AS money_saved_pct, "
-        f"{r('minutes_saved', 2)} AS minutes_saved FROM (SELECT * FROM savings ORDER BY "
+        f"{r('money_saved')} AS money_saved, {r('money_saved_pct')} AS money_saved_pct, "
+        f"{r('minutes_saved')} AS minutes_saved FROM (SELECT * FROM savings ORDER BY "
         "money_saved DESC, PULocationID, DOLocationID, n_trips LIMIT 10)"
     ),
     "export_top20_savings": (
         f"SELECT {SAVING_COLUMNS} FROM (SELECT * FROM savings ORDER BY money_saved DESC, "
         "time_window, PULocationID, DOLocationID LIMIT 20)"
     ),
+    "export_savings_summary": (
+        f"SELECT {SAVING_COLUMNS} FROM (SELECT * FROM savings ORDER BY money_saved DESC, "
+        "time_window, PULocationID, DOLocationID LIMIT 20)"
+    ),
     "share_by_hour": BY_HOUR,
     "export_share_hourly": BY_HOUR,
     "share_by_day": BY_DAY,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 import pytest
@@ -12,7 +13,16 @@ from tripweave.operators import anomalies, profiling, segments, sharing, zones
 from tripweave.operators.cleaning import clean_report, prepare
 from tripweave.operators.grouping import describe, top_rows
 from tripweave.plans import charts
-from tripweave.plans.reports import REPORTS, ROW_REPORTS, all_reports, report, time_totals
+from tripweave.plans.reports import (
+    BAND_REPORTS,
+    REPORTS,
+    all_reports,
+    band_part,
+    fold,
+    report,
+    time_part,
+    time_totals,
+)
 from tripweave.sources import driver_tables
 
 
@@ -160,9 +170,12 @@ def assert_same(direct, merged, name):
 
 
 def test_reports_from_totals_equal_reports_from_trips(spark, trips, tmp_path):
-    trips.transform(time_totals).write.parquet(str(tmp_path / "totals"))
-    merged = all_reports(trips, spark.read.parquet(str(tmp_path / "totals")))
-    assert set(merged) == set(REPORTS) and ROW_REPORTS < set(REPORTS)
+    fold(trips).write.parquet(str(tmp_path / "totals"))
+    folded = spark.read.parquet(str(tmp_path / "totals"))
+    merged = all_reports(time_part(folded), band_part(folded))
+    assert set(merged) == set(REPORTS) and set(BAND_REPORTS) < set(REPORTS)
+    alone = time_totals(trips)
+    assert_same(alone.orderBy(*alone.columns), time_part(folded).select(alone.columns).orderBy(*alone.columns), "time")
     for name, df in merged.items():
         assert_same(report(trips, name), df, name)
 
@@ -202,12 +215,10 @@ def test_far_values_are_flagged_on_both_sides_by_type(trips_of):
 
 def test_baseline_is_computed_once(spark, trips):
     df = anomalies.anomalies(trips).agg(F.count(F.lit(1)))
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("scores", "scores")
     df.collect()
-    jobs = tracker.getJobIdsForGroup("scores")
-    spark.sparkContext.setJobGroup("", "")
-    assert 0 < len(jobs) <= 6
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text.split("\n+- == Initial Plan ==")[0]
+    assert len(set(re.findall(r"Subquery (subquery#\d+)", final))) == 1
 
 
 # segments

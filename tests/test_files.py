@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import subprocess
 import sys
 from datetime import date
@@ -11,11 +12,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripweave.functions.labels import FRENCH
-from tripweave.operators import sharing, zones
-from tripweave.operators.cleaning import clean, prepare
+from tripweave.operators import anomalies, profiling, segments, sharing, zones
+from tripweave.operators.cleaning import clean, clean_report, prepare
 from tripweave.plans import batch, charts
 from tripweave.plans.catalog import QUERIES
-from tripweave.plans.reports import REPORTS, all_reports, report, time_totals
+from tripweave.plans.reports import REPORTS, all_reports, band_part, fold, report, time_part
 from tripweave.sources import driver_tables, readers, writers
 from tripweave.sources.schemas import TRIPS
 
@@ -38,6 +39,26 @@ def same_rows(a, b) -> bool:
     return a.exceptAll(b.select(a.columns)).isEmpty() and b.select(a.columns).exceptAll(a).isEmpty()
 
 
+def close_rows(a, b) -> bool:
+    """The same rows, doubles up to the tail that the order of summation leaves."""
+    exact = [c for c, t in a.dtypes if t != "double"]
+    rest = [c for c in a.columns if c not in exact]
+
+    def rows(df):
+        return sorted(
+            (
+                tuple(str(r[c]) for c in exact),
+                tuple(float("nan") if r[c] is None else r[c] for c in rest),
+            )
+            for r in df.collect()
+        )
+
+    return all(
+        x[0] == y[0] and x[1] == pytest.approx(y[1], rel=1e-7, abs=1e-7, nan_ok=True)
+        for x, y in zip(rows(a), rows(b), strict=True)
+    )
+
+
 def test_parquet_round_trip_by_date(spark, raw, tmp_path):
     back = batch.prepare_table(raw, str(tmp_path))
     assert same_rows(prepare(raw), back)
@@ -107,9 +128,11 @@ def test_hash_sample_does_not_depend_on_layout(trips):
 
 
 def test_preview_is_sorted(trips):
-    rows = readers.preview(trips, 5, readers.PREVIEW_COLUMNS).collect()
+    rows = readers.preview(trips, 5, readers.PREVIEW_COLUMNS, ordered=True).collect()
     assert len(rows) == 5
     assert rows == sorted(rows, key=tuple)
+    quick = readers.preview(trips, 5)
+    assert quick.count() == 5 and "Sort" not in plan(quick) and "TakeOrdered" not in plan(quick)
 
 
 # landing
@@ -120,32 +143,42 @@ def test_landed_tables_are_written_once(spark, sf_dir, raw):
 
 
 def test_landing_again_after_the_folder_is_gone(spark, sf_dir, raw, monkeypatch):
-    key = (spark.sparkContext.applicationId, sf_dir, "trips")
+    files = tuple(writers.listing(spark, f"{sf_dir}/{t}.parquet") for t in driver_tables.INPUTS)
+    key = (spark.sparkContext.applicationId, sf_dir, "trips", files)
+    assert key in driver_tables._landed
     monkeypatch.setitem(driver_tables._landed, key, "/nonexistent/trips")
     again = driver_tables.raw_trips(spark, sf_dir)
     assert again.count() == raw.count()
 
 
-def test_shared_folder_needs_the_setting_on_a_cluster(monkeypatch):
-    class Conf:
-        value = None
+def test_appended_rows_are_landed_anew(spark, sf_dir, tmp_path):
+    for name in driver_tables.INPUTS:
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    n = driver_tables.raw_trips(spark, str(tmp_path)).count()
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines.write.mode("append").parquet(str(tmp_path / "lineitem.parquet"))
+    assert driver_tables.raw_trips(spark, str(tmp_path)).count() == 2 * n
 
-        def get(self, name, default=None):
-            assert name == "spark.checkpoint.dir"
-            return self.value or default
 
-    class Session:
-        conf = Conf()
+def test_shared_folder_follows_the_setting(spark, tmp_path):
+    base = spark.conf.get("spark.checkpoint.dir")
+    path = writers.shared_folder(spark)
+    assert path.startswith(base) and Path(path.removeprefix("file:")).is_dir()
 
-        class sparkContext:
-            master = "yarn"
+    class Unset:
+        _jvm, _jsc = spark._jvm, spark._jsc
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return str(tmp_path) if name == "spark.sql.warehouse.dir" else default
+
+    assert writers.shared_folder(Unset()).startswith(str(tmp_path))
 
-    with pytest.raises(ValueError):
-        writers.shared_folder(Session())
-    Session.sparkContext.master = "local[2]"
-    assert writers.shared_folder(Session()).startswith("/")
-    Session.conf.value = "hdfs://shared/run/"
-    assert writers.shared_folder(Session()).startswith("hdfs://shared/run/tripweave-")
+
+def test_no_machine_local_folder_in_the_package():
+    for path in Path(batch.__file__).parents[1].rglob("*.py"):
+        assert "mkdtemp" not in path.read_text(), path
 
 
 # plans
@@ -178,7 +211,8 @@ def test_rankings_join_after_aggregation(spark, sf_dir, trips):
 
 
 def test_no_query_multiplies_rows(spark, sf_dir):
-    written = {"scan_zones", "export_results"} | {n for n in QUERIES if n.startswith(("sink", "export"))}
+    kept = {"export_top15_zones", "export_top20_savings"}
+    written = {n for n in QUERIES if n.startswith(("sink", "export", "scan_zones"))} - kept
     for name in set(QUERIES) - written:
         text = plan(QUERIES[name](spark, sf_dir))
         assert "CartesianProduct" not in text and "NestedLoopJoin" not in text, name
@@ -208,7 +242,7 @@ def test_hot_keys_are_split_when_trips_are_derived(spark, tmp_path, sf_dir):
         for k, v in changed.items():
             spark.conf.set(k, v)
         df = driver_tables.derive_trips(spark, str(tmp_path)).agg(
-            F.count("PULocationID").alias("n"), F.max("fare_amount"), F.sum("DOLocationID")
+            F.count(F.lit(1)).alias("n"), F.max("fare_amount"), F.sum("DOLocationID")
         )
         assert df.collect()[0].n == lines.count() * 20
         assert "SortMergeJoin(skew=true)" in plan(df)
@@ -228,14 +262,84 @@ def raw_files(spark, sf_dir, raw, tmp_path_factory):
     return str(base / "trips"), str(base / "zones")
 
 
-def test_batch_writes_every_result(spark, raw_files, tmp_path, trips):
-    out = str(tmp_path)
-    batch.run(spark, *raw_files, out, date(2024, 1, 1), date(2024, 1, 31))
-    names = {*batch.PARQUET, *REPORTS, "top_pickup_zones", "borough_flows", "profile_missing"}
-    names |= {"anomaly_top", "correlation_matrix", "share_savings_total", "kpi_dashboard"}
-    for name in names:
-        kind = "parquet" if name in batch.PARQUET else "csv"
-        assert [p for p in Path(out, name).glob("part-*") if p.name.endswith(kind)], name
+@pytest.fixture(scope="module")
+def ran(spark, raw_files, tmp_path_factory):
+    """One batch, with the records that its scans of raw and prepared trips read."""
+    out = str(tmp_path_factory.mktemp("batch"))
+    trips = batch.prepare_table(readers.read_trips(spark, raw_files[0]), out)
+    raw = readers.read_trips(spark, raw_files[0])
+    log = Scans(spark)
+    stored = batch.store_results(raw, trips, readers.read_zones(spark, raw_files[1]), out)
+    sample = stored["samples"].filter("in_export").select(*readers.SAMPLE_COLUMNS)
+    batch.store_exports(stored, sample, f"{out}/exports")
+    return out, stored, log.counts({"raw": raw_files[0], "prepared": f"{out}/{batch.CLEANED}"})
+
+
+class Scans:
+    """How often the queries run from now on read a folder, by their executed plans."""
+
+    def __init__(self, spark):
+        self.store = spark._jsparkSession.sharedState().statusStore()
+        self.spark, self.before = spark, self.store.executionsCount()
+
+    def counts(self, folders: dict[str, str]) -> dict[str, int]:
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        found = dict.fromkeys(folders, 0)
+        runs = self.store.executionsList()
+        for i in range(self.before, runs.size()):
+            text = runs.apply(i).physicalPlanDescription()
+            ran = text.split("+- == Initial Plan ==")[0]
+            scans = set(re.findall(r"Scan parquet .*?(\(\d+\))", ran))
+            details = [d.strip() for d in text.split("\n\n")]
+            for name, folder in folders.items():
+                own = [d for d in details if "Scan parquet" in d and f"{folder}]" in d]
+                found[name] += sum(d.split(" ")[0] in scans for d in own)
+        return found
+
+
+def test_batch_reads_raw_twice_and_prepared_eight_times(ran):
+    assert ran[2] == {"raw": 2, "prepared": 8}
+
+
+@pytest.mark.parametrize("name", sorted(REPORTS))
+def test_stored_reports_equal_direct_ones(ran, trips, name):
+    assert close_rows(report(trips, name), ran[1][name])
+
+
+DIRECT = {
+    "profile_missing": lambda raw, trips: profiling.missing_values(raw),
+    "profile_ratecode": lambda raw, trips: profiling.ratecode_labelled(raw),
+    "profile_payment_type": lambda raw, trips: profiling.payment_type_labelled(raw),
+    "profile_describe_raw": lambda raw, trips: profiling.describe_raw(raw),
+    "clean_report": lambda raw, trips: clean_report(raw),
+    "anomaly_baseline": lambda raw, trips: anomalies.baseline(trips),
+    "anomaly_rate": lambda raw, trips: anomalies.rate(trips),
+    "anomalies": lambda raw, trips: anomalies.anomalies(trips),
+    "correlation_matrix": lambda raw, trips: segments.correlation_matrix(trips),
+    "share_candidate_rate": lambda raw, trips: sharing.candidate_rate(trips),
+    "share_savings_total": lambda raw, trips: sharing.savings_total(
+        sharing.trip_groups(sharing.candidates(trips))
+    ),
+    "kpi_dashboard": lambda raw, trips: charts.kpi_dashboard(trips),
+    "hourly_peak_zone": lambda raw, trips: charts.hourly_peak_zone(trips),
+    "payment_pivot": lambda raw, trips: charts.payment_pivot(trips),
+    "payment_counts": lambda raw, trips: charts.payment_counts(trips),
+    "category_ordered": lambda raw, trips: charts.category_ordered(trips),
+}
+
+
+@pytest.mark.parametrize("name", sorted(DIRECT))
+def test_stored_results_equal_direct_ones(ran, raw, trips, name):
+    assert close_rows(DIRECT[name](raw, trips), ran[1][name])
+
+
+def test_batch_writes_every_result(spark, ran, trips):
+    out, stored, _ = ran
+    for name in stored:
+        found = {p.suffix for p in Path(out, name).rglob("part-*")}
+        kind = ".parquet" if name in batch.PARQUET | batch.BY_DATE else ".csv"
+        assert kind in found, name
+    assert {*REPORTS, "peak_hours", "top3_hours", "payment_pivot", "payment_counts"} <= set(stored)
     exports = {p.name for p in Path(out, "exports").iterdir()}
     assert exports == {
         "hourly_distribution",
@@ -246,14 +350,49 @@ def test_batch_writes_every_result(spark, raw_files, tmp_path, trips):
         "savings_summary",
         "sample_data",
     }
-    groups = spark.read.parquet(f"{out}/share_groups")
-    assert groups.count() == sharing.share_groups(trips).count()
+    assert stored["share_groups"].count() == sharing.share_groups(trips).count()
+
+
+@pytest.mark.parametrize("name", sorted(batch.BY_DATE))
+def test_row_level_results_are_pruned_by_date(ran, name):
+    one_day = charts.between_days(ran[1][name], date(2024, 1, 8), date(2024, 1, 8))
+    assert "PartitionFilters: [isnotnull(trip_date" in plan(one_day)
+
+
+def test_exports_hold_every_month(spark, trips, tmp_path):
+    later = trips.withColumn("trip_date", F.date_add("trip_date", 60))
+    by_date = report(later, "payment_by_date")
+    kept = charts.between_days(by_date)
+    assert kept.count() == report(trips, "payment_by_date").count() > 100
+    assert charts.between_days(by_date, date(2024, 1, 1), date(2024, 1, 31)).count() == 0
+
+
+def test_a_column_named_n_changes_nothing(spark, sf_dir, trips):
+    table, odd = driver_tables.zones(spark, sf_dir), trips.withColumn("n", F.lit(5))
+    for rank in (
+        zones.match_rate,
+        zones.borough_flows,
+        lambda t, z: zones.top_zones(t, z, "pickup"),
+        lambda t, z: zones.borough_stats(t, z, "dropoff"),
+        lambda t, z: zones.top_zones_by_length(t, z, "pickup", True),
+    ):
+        assert rank(odd, table).collect() == rank(trips, table).collect()
+
+
+def test_missing_columns_are_an_error(spark, raw, tmp_path):
+    path = str(tmp_path / "renamed")
+    writers.write_parquet(raw.withColumnRenamed("passenger_count", "riders"), path)
+    for schema in (TRIPS, None):
+        with pytest.raises(ValueError, match="passenger_count"):
+            readers.read_trips(spark, path, schema)
+    read = readers.read_trips(spark, path, optional=["passenger_count"])
+    assert read.filter("passenger_count is not null").isEmpty()
 
 
 def test_french_labels_from_trips_and_from_totals(spark, raw, tmp_path):
     french = batch.prepare_table(raw, str(tmp_path), FRENCH)
-    folded = batch.save(time_totals(french), str(tmp_path), "time_totals")
-    merged = all_reports(french, folded, FRENCH)
+    folded = batch.save(fold(french, FRENCH), str(tmp_path), "folded")
+    merged = all_reports(time_part(folded), band_part(folded), FRENCH)
     for name in ("payment_by_day", "weekend_period", "profile_distribution"):
         direct = report(french, name, FRENCH)
         keys = REPORTS[name].keys.split()

@@ -26,7 +26,7 @@ def test_query_equals_sql(name, spark, sf_dir, con):
 
 def test_entry_is_the_share_groups(spark):
     df = entry(spark)
-    assert df.count() == 43
+    assert df.count() == 16
     assert "spread_minutes" in df.columns
 
 

@@ -60,12 +60,32 @@ def test_scenarios_charge_no_detour(trips_of):
     assert (three.scenario, three.saved_trips, three.money_saved) == ("3 passengers/taxi", 3, 30.0)
 
 
-@pytest.mark.parametrize("minutes", [0, 7, -5, 120])
-def test_width_must_divide_an_hour(trips_of, minutes):
+@pytest.mark.parametrize("minutes", [0, -5])
+def test_width_is_positive(trips_of, minutes):
     with pytest.raises(ValueError):
         sharing.share_groups(prepare(trips_of({})), minutes=minutes)
 
 
+@pytest.mark.parametrize("minutes", [7, 45, 120])
+def test_any_width_forms_groups(trips_of, minutes):
+    times = [datetime(2024, 1, 15, 8) + timedelta(minutes=11 * i) for i in range(30)]
+    trips = prepare(trips_of(*({"tpep_pickup_datetime": t} for t in times)))
+    want = defaultdict(int)
+    for t in times:
+        want[int((t - datetime(1970, 1, 1)).total_seconds()) // (60 * minutes)] += 1
+    got = {r.time_window: r.n_trips for r in sharing.share_groups(trips, minutes).collect()}
+    assert got == {k: n for k, n in want.items() if n > 1}
+
+
+def test_hours_and_days_need_nested_buckets(trips_of):
+    groups = sharing.share_groups(prepare(trips_of({}, {})), minutes=120)
+    with pytest.raises(ValueError):
+        sharing.by_hour(groups, minutes=120)
+    assert sharing.by_day(groups, minutes=120).first().n_trips == 2
+    with pytest.raises(ValueError):
+        sharing.by_day(groups, minutes=7)
+
+
 def test_no_groups_at_all(trips_of):
     trips = prepare(trips_of({}))
     total = sharing.savings_total(sharing.trip_groups(sharing.candidates(trips))).first()

@@ -17,8 +17,8 @@ def main() -> None:
     args.add_argument("--trips", required=True, help="raw trips, Parquet")
     args.add_argument("--zones", required=True, help="zone table, CSV with a header")
     args.add_argument("--out", required=True, help="folder for all results")
-    args.add_argument("--first", type=date.fromisoformat, default=date(2024, 1, 1))
-    args.add_argument("--last", type=date.fromisoformat, default=date(2024, 1, 31))
+    args.add_argument("--first", type=date.fromisoformat, help="first day of the exported payments")
+    args.add_argument("--last", type=date.fromisoformat, help="last day of the exported payments")
     args.add_argument("--language", choices=["en", "fr"], default="en")
     args.add_argument(
         "--file-schema",

@@ -7,31 +7,48 @@ from pyspark.sql import functions as F
 
 from tripweave.functions import labels as L
 from tripweave.functions.columns import percent, rows
-from tripweave.operators.grouping import grouped, top_rows
+from tripweave.operators.grouping import OneRow, grouped, top_rows
 
 SCORED = {
     "dist": "trip_distance_km",
     "fare": "fare_amount",
     "speed": "average_speed_kmh",
 }
+# The columns of the ranking.
+TOP_COLUMNS = (
+    "tpep_pickup_datetime",
+    "trip_distance_km",
+    "fare_amount",
+    "average_speed_kmh",
+    "trip_duration_minutes",
+    "z_dist",
+    "z_fare",
+    "z_speed",
+)
+
+
+def base_figures() -> OneRow:
+    """Mean and sample deviation of the scored columns, as one row."""
+    parts = {}
+    for short, source in SCORED.items():
+        parts |= {f"mean_{short}": F.avg(source), f"std_{short}": F.stddev_samp(source)}
+    return OneRow(parts)
 
 
 def baseline(trips: DataFrame) -> DataFrame:
-    """Mean and sample deviation of the scored columns, as one row."""
-    stats = []
-    for short, source in SCORED.items():
-        stats += [F.avg(source).alias(f"mean_{short}"), F.stddev_samp(source).alias(f"std_{short}")]
-    return trips.agg(*stats)
+    return base_figures().of(trips)
 
 
-def scores(trips: DataFrame, limit: float = L.Z_LIMIT) -> DataFrame:
+def scores(
+    trips: DataFrame, limit: float = L.Z_LIMIT, base: DataFrame | None = None
+) -> DataFrame:
     """Absolute z-scores and the anomaly flag.
 
     The baseline enters as a scalar subquery: one extra aggregate, no join, and its
     six figures are constants inside the generated code. A column that never varies
-    scores null rather than dividing by zero.
+    scores null rather than dividing by zero. A stored ``base`` saves the aggregate.
     """
-    base = baseline(trips)
+    base = baseline(trips) if base is None else base
     known = base.select(F.struct(*base.columns)).scalar()
     z = {
         f"z_{short}": F.abs(
@@ -47,31 +64,31 @@ def _beyond(limit: float) -> Column:
     return far[0] | far[1] | far[2]
 
 
-def anomalies(trips: DataFrame, limit: float = L.Z_LIMIT) -> DataFrame:
-    return scores(trips, limit).filter("is_anomaly")
+def anomalies(
+    trips: DataFrame, limit: float = L.Z_LIMIT, base: DataFrame | None = None
+) -> DataFrame:
+    return scores(trips, limit, base).filter("is_anomaly")
+
+
+def _with_rate(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("pct_anomalies", percent(F.col("n_anomalies"), F.col("n_trips")))
 
 
 def rate(trips: DataFrame, limit: float = L.Z_LIMIT) -> DataFrame:
-    return (
-        scores(trips, limit)
-        .agg(rows().alias("n_trips"), F.count_if("is_anomaly").alias("n_anomalies"))
-        .withColumn("pct_anomalies", percent(F.col("n_anomalies"), F.col("n_trips")))
-    )
+    flagged = F.count_if("is_anomaly").alias("n_anomalies")
+    return _with_rate(scores(trips, limit).agg(rows().alias("n_trips"), flagged))
+
+
+def rate_from_stored(flagged: DataFrame, by_time: DataFrame) -> DataFrame:
+    """The same from stored anomalies and time totals."""
+    n_trips = by_time.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    counts = flagged.agg(rows().alias("n_anomalies"))
+    return _with_rate(counts.select(n_trips.alias("n_trips"), "n_anomalies"))
 
 
 def top(flagged: DataFrame, n: int = 10) -> DataFrame:
     """Anomalies farthest from the mean distance."""
-    shown = flagged.select(
-        "tpep_pickup_datetime",
-        "trip_distance_km",
-        "fare_amount",
-        "average_speed_kmh",
-        "trip_duration_minutes",
-        "z_dist",
-        "z_fare",
-        "z_speed",
-    )
-    return top_rows(shown, [F.desc("z_dist")], n)
+    return top_rows(flagged.select(*TOP_COLUMNS), [F.desc("z_dist")], n)
 
 
 def types(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripweave.functions import labels as L
 from tripweave.functions.columns import percent, rows
 from tripweave.operators.enrichment import enrich
+from tripweave.operators.grouping import OneRow
 
 
 def is_valid() -> Column:
@@ -49,16 +50,22 @@ def prepare(trips: DataFrame, wording: L.Wording = L.ENGLISH) -> DataFrame:
     return plausible(enrich(clean(trips), wording))
 
 
-def clean_report(trips: DataFrame) -> DataFrame:
-    """Rows in, kept and removed by each rule, counted in one pass."""
-    final = is_valid() & is_plausible()
-    return (
-        enrich(trips)
-        .agg(
-            rows().alias("n_raw"),
-            F.count_if(is_valid()).alias("n_valid"),
-            F.count_if(final).alias("n_final"),
-        )
-        .withColumn("n_removed", F.col("n_raw") - F.col("n_valid"))
-        .withColumn("pct_removed", percent(F.col("n_removed"), F.col("n_raw")))
+def validity() -> OneRow:
+    """Rows in, kept and removed by each rule, over enriched trips."""
+    parts = {
+        "n_raw": rows(),
+        "n_valid": F.count_if(is_valid()),
+        "n_final": F.count_if(is_valid() & is_plausible()),
+    }
+    removed = F.col("n_raw") - F.col("n_valid")
+    return OneRow(
+        parts,
+        lambda one: one.withColumn("n_removed", removed).withColumn(
+            "pct_removed", percent(F.col("n_removed"), F.col("n_raw"))
+        ),
     )
+
+
+def clean_report(trips: DataFrame) -> DataFrame:
+    """The counts of ``validity`` in one pass over raw trips."""
+    return validity().of(enrich(trips))

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions import labels as L
 from tripweave.functions.columns import banded
-from tripweave.operators.grouping import describe, top_rows
+from tripweave.operators.grouping import OneRow, describe, top_rows
 
+# The correlated features, the efficiency figures and the ranking's columns.
 FEATURES = (
     "trip_distance_km",
     "fare_amount",
@@ -21,6 +24,13 @@ FEATURES = (
     "passenger_count",
 )
 EFFICIENCY = ("revenue_per_km", "revenue_per_minute", "efficiency_score")
+TOP_COLUMNS = (
+    "tpep_pickup_datetime",
+    "trip_distance_km",
+    "trip_duration_minutes",
+    "fare_amount",
+    *EFFICIENCY,
+)
 
 
 def categorize(trips: DataFrame, wording: L.Wording = L.ENGLISH) -> DataFrame:
@@ -62,29 +72,26 @@ def efficiency_stats(scored: DataFrame) -> DataFrame:
 
 def efficiency_top(scored: DataFrame, n: int = 10) -> DataFrame:
     """Trips that earn most for their distance and time."""
-    shown = scored.select(
-        "tpep_pickup_datetime",
-        "trip_distance_km",
-        "trip_duration_minutes",
-        "fare_amount",
-        *EFFICIENCY,
-    )
-    return top_rows(shown, [F.desc("efficiency_score")], n)
+    return top_rows(scored.select(*TOP_COLUMNS), [F.desc("efficiency_score")], n)
 
 
 def correlation_matrix(trips: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    return correlations(features).of(trips)
+
+
+def correlations(features: Sequence[str] = FEATURES) -> OneRow:
     """Pearson matrix in long form (var_a, var_b, r) over rows with all features.
 
     All pairs come from one aggregate that leaves one row per partition to merge. A
     feature that never varies has no correlation: its pairs are null, where
     ``F.corr`` would stop on a division by zero.
     """
-    known = trips.select(*(F.col(f).cast("double").alias(f) for f in features)).dropna()
+    value = {f: F.col(f).cast("double") for f in features}
+    whole = reduce(and_, (c.isNotNull() & ~F.isnan(c) for c in value.values()))
+    known = {f: F.when(whole, c) for f, c in value.items()}
     pairs = list(combinations(features, 2))
-    r = known.agg(
-        *(F.stddev_samp(f).alias(f"std {f}") for f in features),
-        *(F.covar_samp(a, b).alias(f"{a} {b}") for a, b in pairs),
-    )
+    parts = {f"std {f}": F.stddev_samp(known[f]) for f in features}
+    parts |= {f"{a} {b}": F.covar_samp(known[a], known[b]) for a, b in pairs}
     cells = {
         (a, b): F.try_divide(F.col(f"`{a} {b}`"), F.col(f"`std {a}`") * F.col(f"`std {b}`"))
         for a, b in pairs
@@ -98,7 +105,7 @@ def correlation_matrix(trips: DataFrame, features: Sequence[str] = FEATURES) ->
         for a in features
         for b in features
     ]
-    return r.select(F.inline(F.array(*entries)))
+    return OneRow(parts, lambda one: one.select(F.inline(F.array(*entries))))
 
 
 def feature_vectors(trips: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:

@@ -24,6 +24,7 @@ from tripweave.functions.columns import (
 from tripweave.operators.grouping import describe, stacked, top_rows
 
 GROUP_KEYS = ("time_window", "PULocationID", "DOLocationID")
+# The columns of a candidate.
 CANDIDATE_COLUMNS = (
     "tpep_pickup_datetime",
     "PULocationID",
@@ -35,9 +36,11 @@ CANDIDATE_COLUMNS = (
 )
 
 
-def _check_width(minutes: int) -> None:
-    if minutes <= 0 or 60 % minutes:
-        raise ValueError("bucket width must divide an hour, so buckets nest in hours and days")
+def _check_width(minutes: int, nested_in: int | None = None) -> None:
+    if minutes <= 0:
+        raise ValueError("a bucket is at least a minute wide")
+    if nested_in and nested_in % minutes:
+        raise ValueError(f"buckets of {minutes} minutes do not nest in {nested_in} minutes")
 
 
 def _is_candidate() -> Column:
@@ -54,9 +57,22 @@ def candidates(trips: DataFrame) -> DataFrame:
 
 
 def candidate_rate(trips: DataFrame) -> DataFrame:
-    return trips.agg(
-        rows().alias("n_trips"), F.count_if(_is_candidate()).alias("n_candidates")
-    ).withColumn("pct_candidates", percent(F.col("n_candidates"), F.col("n_trips")))
+    return _with_rate(
+        trips.agg(rows().alias("n_trips"), F.count_if(_is_candidate()).alias("n_candidates"))
+    )
+
+
+def _with_rate(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("pct_candidates", percent(F.col("n_candidates"), F.col("n_trips")))
+
+
+def candidate_rate_from_zones(zone_totals: DataFrame) -> DataFrame:
+    """The same from totals that keep both zone ids and the length flag."""
+    counts = zone_totals.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_trips"),
+        F.coalesce(F.sum(F.when(_is_candidate(), F.col("n"))), F.lit(0)).alias("n_candidates"),
+    )
+    return _with_rate(counts)
 
 
 def time_buckets(short_trips: DataFrame, minutes: int = L.BUCKET_MINUTES) -> DataFrame:
@@ -155,45 +171,52 @@ def savings_total(
     at_least: int = L.MIN_GROUP,
     riders: int = 2,
     detour: float = L.DETOUR_FACTOR,
+    n_candidates: Column | None = None,
 ) -> DataFrame:
     """Totals over shareable groups. Takes the groups of every size, so the number
-    of candidate trips comes from the same pass as the savings."""
+    of candidate trips comes from the same pass as the savings; with ``n_candidates``
+    known, the shareable groups suffice."""
     counted = F.col("n_trips") >= at_least
 
     def total(name: str) -> Column:
         return F.sum(F.when(counted, F.col(name)))
 
+    summed = savings(all_groups, riders, detour).agg(
+        F.count_if(counted).alias("n_groups"),
+        F.sum("n_trips").alias("n_candidates"),
+        total("saved_trips").alias("saved_trips"),
+        total("money_saved").alias("money_saved"),
+        total("minutes_saved").alias("minutes_saved"),
+    )
+    if n_candidates is not None:
+        summed = summed.withColumn("n_candidates", n_candidates)
     return (
-        savings(all_groups, riders, detour)
-        .agg(
-            F.count_if(counted).alias("n_groups"),
-            F.sum("n_trips").alias("n_candidates"),
-            total("saved_trips").alias("saved_trips"),
-            total("money_saved").alias("money_saved"),
-            total("minutes_saved").alias("minutes_saved"),
-        )
-        .withColumn("hours_saved", F.col("minutes_saved") / 60)
+        summed.withColumn("hours_saved", F.col("minutes_saved") / 60)
         .withColumn("reduction_pct", percent(F.col("saved_trips"), F.col("n_candidates")))
     )
 
 
+# The columns of the savings ranking.
+SAVINGS_COLUMNS = (
+    "PULocationID",
+    "DOLocationID",
+    "n_trips",
+    "shared_trips",
+    "saved_trips",
+    "money_saved",
+    "money_saved_pct",
+    "minutes_saved",
+)
+
+
 def top_savings(group_savings: DataFrame, n: int = 10) -> DataFrame:
-    shown = group_savings.select(
-        "PULocationID",
-        "DOLocationID",
-        "n_trips",
-        "shared_trips",
-        "saved_trips",
-        "money_saved",
-        "money_saved_pct",
-        "minutes_saved",
-    )
-    return top_rows(shown, [F.desc("money_saved")], n)
+    return top_rows(group_savings.select(*SAVINGS_COLUMNS), [F.desc("money_saved")], n)
 
 
-def by_hour(groups: DataFrame) -> DataFrame:
-    """Groups and trips per hour. Buckets nest in hours, so any pickup of a group
-    tells its hour and the groups need not be formed again."""
+def by_hour(groups: DataFrame, minutes: int = L.BUCKET_MINUTES) -> DataFrame:
+    """Groups and trips per hour. Buckets must nest in hours, so that any pickup of a
+    group tells its hour and the groups need not be formed again."""
+    _check_width(minutes, nested_in=60)
     return (
         groups.groupBy(F.hour("first_pickup").alias("hour"))
         .agg(
@@ -205,7 +228,9 @@ def by_hour(groups: DataFrame) -> DataFrame:
     )
 
 
-def by_day(groups: DataFrame) -> DataFrame:
+def by_day(groups: DataFrame, minutes: int = L.BUCKET_MINUTES) -> DataFrame:
+    """Groups and trips per day of the week; buckets must nest in days."""
+    _check_width(minutes, nested_in=1440)
     return (
         groups.groupBy(F.dayofweek("first_pickup").alias("day_of_week"))
         .agg(rows().alias("n_groups"), F.sum("n_trips").alias("n_trips"))

@@ -40,11 +40,19 @@ def join_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def zone_totals(
-    trips: DataFrame, ends: Iterable[str] = tuple(ENDS), columns: Iterable[str] = MEASURED
+    trips: DataFrame,
+    ends: Iterable[str] = tuple(ENDS),
+    columns: Iterable[str] = MEASURED,
+    by_hour: bool = False,
 ) -> DataFrame:
     """Mergeable totals per zone id of the given ends, apart for short and long trips.
-    With the defaults, one stored table that answers every ranking below."""
-    return totals(trips, [*(ENDS[e] for e in ends), "is_short_trip"], columns)
+    With the defaults, one stored table that answers every ranking below. ``by_hour``
+    keeps the hour and the vendor-stamped trips too."""
+    keys = [*(ENDS[e] for e in ends), "is_short_trip"]
+    if not by_hour:
+        return totals(trips, keys, columns)
+    stamped = F.count("VendorID").alias("n_vendor")
+    return totals(trips, [*keys, "hour"], columns, stamped)
 
 
 def by_names(
@@ -53,10 +61,12 @@ def by_names(
     ends: tuple[str, ...],
     names: tuple[str, ...],
     means: Mapping[str, str],
+    folded: bool = False,
 ) -> DataFrame:
     """Count and means per zone names: totals per id first, then names, then a merge
-    (several ids may share one name). ``trips`` may also be stored ``zone_totals``."""
-    out = trips if _is_totals(trips) else zone_totals(trips, ends, means.values())
+    (several ids may share one name). With ``folded``, here and below, ``trips`` are
+    stored ``zone_totals``."""
+    out = trips if folded else zone_totals(trips, ends, means.values())
     for end in ends:
         out = join_zone(out, zones, end)
     return out.groupBy(*names).agg(
@@ -64,13 +74,9 @@ def by_names(
     )
 
 
-def _is_totals(df: DataFrame) -> bool:
-    return "n" in df.columns
-
-
-def match_rate(trips: DataFrame, zones: DataFrame) -> DataFrame:
+def match_rate(trips: DataFrame, zones: DataFrame, folded: bool = False) -> DataFrame:
     """Trips whose both ends are in the zone table."""
-    pairs = trips if _is_totals(trips) else zone_totals(trips, columns=())
+    pairs = trips if folded else zone_totals(trips, columns=())
     found = F.col("pickup_zone").isNotNull() & F.col("dropoff_zone").isNotNull()
     return (
         join_zones(pairs, zones)
@@ -83,50 +89,65 @@ def match_rate(trips: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def top_zones(
-    trips: DataFrame, zones: DataFrame, end: str, n: int = 20, means: Mapping[str, str] | None = None
+    trips: DataFrame,
+    zones: DataFrame,
+    end: str,
+    n: int = 20,
+    means: Mapping[str, str] | None = None,
+    folded: bool = False,
 ) -> DataFrame:
     """Busiest named zones of one trip end."""
     if means is None:
         means = {"avg_fare": "fare_amount", "avg_km": "trip_distance_km"}
     borough, zone = f"{end}_borough", f"{end}_zone"
     return (
-        by_names(trips, zones, (end,), (borough, zone), means)
+        by_names(trips, zones, (end,), (borough, zone), means, folded)
         .filter(F.col(zone).isNotNull())
         .orderBy(F.desc("n"), borough, zone)
         .limit(n)
     )
 
 
-def top_zones_by_length(trips: DataFrame, zones: DataFrame, end: str, short: bool, n: int = 3) -> DataFrame:
-    return top_zones(trips.filter(F.col("is_short_trip") == short), zones, end, n, means={})
+def top_zones_by_length(
+    trips: DataFrame, zones: DataFrame, end: str, short: bool, n: int = 3, folded: bool = False
+) -> DataFrame:
+    return top_zones(trips.filter(F.col("is_short_trip") == short), zones, end, n, {}, folded)
 
 
-def borough_stats(trips: DataFrame, zones: DataFrame, end: str) -> DataFrame:
+def borough_stats(
+    trips: DataFrame, zones: DataFrame, end: str, folded: bool = False
+) -> DataFrame:
     """Trips, mean fare and percentage of all trips per borough; trips without a
     known zone count in the total only."""
     borough = f"{end}_borough"
-    groups = by_names(trips, zones, (end,), (borough,), {"avg_fare": "fare_amount"})
+    groups = by_names(trips, zones, (end,), (borough,), {"avg_fare": "fare_amount"}, folded)
     return with_share(groups).filter(F.col(borough).isNotNull()).orderBy(F.desc("n"), borough)
 
 
-def borough_flows(trips: DataFrame, zones: DataFrame, n: int = 10) -> DataFrame:
+def borough_flows(
+    trips: DataFrame, zones: DataFrame, n: int = 10, folded: bool = False
+) -> DataFrame:
     """Busiest borough-to-borough flows, within-borough trips included."""
     names = ("pickup_borough", "dropoff_borough")
     means = {"avg_fare": "fare_amount", "avg_minutes": "trip_duration_minutes"}
     return (
-        by_names(trips, zones, ("pickup", "dropoff"), names, means)
+        by_names(trips, zones, ("pickup", "dropoff"), names, means, folded)
         .dropna(subset=list(names))
         .orderBy(F.desc("n"), *names)
         .limit(n)
     )
 
 
-def all_rankings(folded: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
+def all_rankings(totals_table: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
     """Every zone table, from stored ``zone_totals``."""
-    out = {"zone_match_rate": match_rate(folded, zones), "borough_flows": borough_flows(folded, zones)}
+    out = {
+        "zone_match_rate": match_rate(totals_table, zones, folded=True),
+        "borough_flows": borough_flows(totals_table, zones, folded=True),
+    }
     for end in ENDS:
-        out[f"top_{end}_zones"] = top_zones(folded, zones, end)
-        out[f"{end}_borough_stats"] = borough_stats(folded, zones, end)
-        out[f"short_top_{end}"] = top_zones_by_length(folded, zones, end, True)
-        out[f"long_top_{end}"] = top_zones_by_length(folded, zones, end, False)
+        out[f"top_{end}_zones"] = top_zones(totals_table, zones, end, folded=True)
+        out[f"{end}_borough_stats"] = borough_stats(totals_table, zones, end, folded=True)
+        for name, short in (("short", True), ("long", False)):
+            ranked = top_zones_by_length(totals_table, zones, end, short, folded=True)
+            out[f"{name}_top_{end}"] = ranked
     return out

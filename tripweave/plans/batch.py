@@ -1,10 +1,11 @@
 """The whole batch: raw trips in, prepared table, stored results and exports out.
 
-Trips are prepared once and written by date. Results that others build on are written
-next: totals by time and by zone pair, share groups, savings, anomalies and trip scores.
-Forty-six further results then come from these tables and scan no trips. Later steps
-read written tables: a lost executor costs a re-read and not a recomputation, and
-nothing is cached.
+Trips are prepared once and written by date. What follows reads the raw trips twice and
+the prepared ones eight times, whatever the number of results: raw profile and codes;
+folds by time and bands, by zone pair and hour; share groups; figures of the whole table;
+anomalies, categories and trip scores, row by row; and the samples. All other results
+come from these stored tables. Later steps read written tables: a lost executor costs a
+re-read and not a recomputation, and nothing is cached.
 """
 
 from __future__ import annotations
@@ -17,23 +18,28 @@ from pyspark.sql.types import StructType
 
 from tripweave.functions import labels as L
 from tripweave.operators import anomalies, cleaning, profiling, segments, sharing, zones
-from tripweave.operators.grouping import describe
+from tripweave.operators.enrichment import calendar_labels, enrich
+from tripweave.operators.grouping import OneRow, apart, description, together
+from tripweave.operators.totals import merged_count
 from tripweave.plans import charts
-from tripweave.plans.reports import all_reports, time_totals
+from tripweave.plans.reports import all_reports, band_part, fold, time_part
 from tripweave.sources import readers, schemas, writers
 
 CLEANED = "cleaned_trips"
 
 # Results stored as Parquet, for other steps to build on; all others are CSV.
 PARQUET = {
-    "time_totals",
+    "raw_profile",
+    "raw_codes",
+    "folded",
+    "whole_table",
     "zone_totals",
     "share_groups",
     "share_savings",
-    "anomalies",
-    "categorized_trips",
-    "efficiency_trips",
+    "samples",
 }
+# Row-level results, by date as the prepared trips are.
+BY_DATE = {"anomalies", "categorized_trips", "efficiency_trips"}
 
 
 def save(df: DataFrame, out: str, name: str) -> DataFrame:
@@ -42,6 +48,9 @@ def save(df: DataFrame, out: str, name: str) -> DataFrame:
     if name in PARQUET:
         writers.write_parquet(df, path)
         return reader.parquet(path)
+    if name in BY_DATE:
+        writers.write_by_date(df, path, ordered=True)
+        return reader.parquet(path)
     writers.write_csv(df, path)
     return reader.option("header", True).csv(path)
 
@@ -64,60 +73,78 @@ def store_results(
     wording: L.Wording = L.ENGLISH,
 ) -> dict[str, DataFrame]:
     """Store every named result; the values read what was written."""
-    base = {
-        "time_totals": time_totals(trips),
-        "zone_totals": zones.zone_totals(trips),
-        "share_groups": sharing.share_groups(trips),
-        "anomalies": anomalies.anomalies(trips),
-        "categorized_trips": segments.categorize(trips, wording),
-        "efficiency_trips": segments.efficiency(trips),
-    }
-    stored = {name: save(df, out, name) for name, df in base.items()}
-    stored["share_savings"] = save(
-        sharing.savings(stored["share_groups"]), out, "share_savings"
+    stored: dict[str, DataFrame] = {}
+
+    def keep(results: Mapping[str, DataFrame]) -> None:
+        stored.update({name: save(df, out, name) for name, df in results.items()})
+
+    of_raw = profiling.whole_table(raw.schema) | {"clean_report": cleaning.validity()}
+    of_trips = _whole_table()
+    keep(
+        {
+            "raw_profile": together(enrich(raw), of_raw),
+            "raw_codes": profiling.code_totals(raw),
+            "folded": fold(trips, wording),
+            "whole_table": together(trips, of_trips),
+            "zone_totals": zones.zone_totals(trips, by_hour=True),
+            "share_groups": sharing.share_groups(trips),
+            "categorized_trips": segments.categorize(trips, wording),
+            "efficiency_trips": segments.efficiency(trips),
+            "samples": readers.samples(trips, random=0.01, exported=0.001),
+        }
+    )
+    keep(apart(stored["raw_profile"], of_raw) | apart(stored["whole_table"], of_trips))
+    base = stored["anomaly_baseline"]
+    keep(
+        {
+            "share_savings": sharing.savings(stored["share_groups"]),
+            "anomalies": anomalies.anomalies(trips, base=base),
+            "share_candidate_rate": sharing.candidate_rate_from_zones(stored["zone_totals"]),
+        }
     )
-    results = (
-        _profile(raw, wording)
-        | _trip_tables(trips)
-        | _from_stored(stored, wording)
-        | all_reports(trips, stored["time_totals"], wording)
+    by_time, by_band = time_part(stored["folded"]), band_part(stored["folded"])
+    keep(
+        _from_stored(stored, by_time, wording)
+        | all_reports(by_time, by_band, wording)
         | zones.all_rankings(stored["zone_totals"], zone_table)
     )
-    return stored | {name: save(df, out, name) for name, df in results.items()}
-
-
-def _profile(raw: DataFrame, wording: L.Wording) -> dict[str, DataFrame]:
-    return {
-        "profile_summary": profiling.summary(raw),
-        "profile_period": profiling.period(raw),
-        "profile_schema": profiling.schema_listing(raw),
-        "profile_missing": profiling.missing_values(raw),
-        "profile_outliers": profiling.outliers(raw),
-        "profile_describe_raw": profiling.describe_raw(raw),
-        "profile_payment_type": profiling.payment_type_labelled(raw, wording),
-        "profile_ratecode": profiling.ratecode_labelled(raw),
-        "clean_report": cleaning.clean_report(raw),
-    }
+    hourly = stored["hourly_distribution"]
+    keep(
+        {
+            "peak_hours": charts.peak_hours(hourly),
+            "top3_hours": charts.peak_hours(hourly, 3),
+            "kpi_dashboard": charts.kpi_from_totals(by_time, stored["share_savings_total"]),
+        }
+    )
+    return stored
 
 
-def _trip_tables(trips: DataFrame) -> dict[str, DataFrame]:
-    all_groups = sharing.trip_groups(sharing.candidates(trips))
+def _whole_table() -> dict[str, OneRow]:
     return {
-        "cleaned_sample": readers.sample_trips(trips, 0.01),
-        "describe_trips": describe(trips, ["trip_distance_km", "trip_duration_minutes"]),
-        "correlation_matrix": segments.correlation_matrix(trips),
-        "anomaly_rate": anomalies.rate(trips),
-        "share_candidate_rate": sharing.candidate_rate(trips),
-        "share_savings_total": sharing.savings_total(all_groups),
-        "hourly_peak_zone": charts.hourly_peak_zone(trips),
-        "kpi_dashboard": charts.kpi_dashboard(trips),
+        "describe_trips": description(["trip_distance_km", "trip_duration_minutes"]),
+        "correlation_matrix": segments.correlations(),
+        "anomaly_baseline": anomalies.base_figures(),
     }
 
 
-def _from_stored(stored: Mapping[str, DataFrame], wording: L.Wording) -> dict[str, DataFrame]:
+def _from_stored(
+    stored: Mapping[str, DataFrame], by_time: DataFrame, wording: L.Wording
+) -> dict[str, DataFrame]:
     groups, flagged = stored["share_groups"], stored["anomalies"]
-    scored = stored["efficiency_trips"]
+    scored, codes = stored["efficiency_trips"], stored["raw_codes"]
+    n_candidates = stored["share_candidate_rate"].select("n_candidates").scalar()
+    labels = calendar_labels(wording)
+    paid = by_time.withColumn("payment_type_label", labels["payment_type_label"])
     return {
+        "profile_payment_type": profiling.payment_type_labelled(codes, wording, merged_count()),
+        "profile_ratecode": profiling.ratecode_labelled(codes, merged_count()),
+        "cleaned_sample": stored["samples"].filter("in_random").drop("in_random", "in_export"),
+        "anomaly_rate": anomalies.rate_from_stored(flagged, by_time),
+        "share_savings_total": sharing.savings_total(groups, n_candidates=n_candidates),
+        "hourly_peak_zone": charts.hourly_peak_from_totals(stored["zone_totals"]),
+        "payment_pivot": charts.payment_pivot(paid, wording, merged_count()),
+        "payment_counts": charts.payment_counts(paid, folded=True),
+        "category_ordered": charts.category_ordered(by_time, wording, folded=True),
         "share_group_stats": sharing.group_stats(groups),
         "share_top_groups": sharing.top_groups(groups),
         "share_top_origins": sharing.top_origins(groups),
@@ -133,17 +160,21 @@ def _from_stored(stored: Mapping[str, DataFrame], wording: L.Wording) -> dict[st
 
 
 def store_exports(
-    trips: DataFrame, results: Mapping[str, DataFrame], out: str, first: date, last: date
+    results: Mapping[str, DataFrame],
+    sample: DataFrame,
+    out: str,
+    first: date | None = None,
+    last: date | None = None,
 ) -> dict[str, DataFrame]:
     """Write the seven chart inputs as CSV. Six hold a handful of rows and become one
-    file each; the row sample grows with the trips and keeps Spark's own files."""
+    file each; the row sample grows with the trips and keeps Spark's own files. Days
+    are limited only by bounds that are given."""
     small = charts.export_tables(results, first, last)
-    sample = readers.sample_export(trips)
     for name, df in small.items():
         writers.write_single_csv(df, f"{out}/{name}")
     writers.write_csv(sample, f"{out}/sample_data")
     return {
-        name: trips.sparkSession.read.schema(df.schema).option("header", True).csv(f"{out}/{name}")
+        name: sample.sparkSession.read.schema(df.schema).option("header", True).csv(f"{out}/{name}")
         for name, df in (small | {"sample_data": sample}).items()
     }
 
@@ -153,8 +184,8 @@ def run(
     trips_path: str,
     zones_path: str,
     out: str,
-    first: date,
-    last: date,
+    first: date | None = None,
+    last: date | None = None,
     wording: L.Wording = L.ENGLISH,
     schema: StructType | None = schemas.TRIPS,
     ordered: bool = False,
@@ -164,4 +195,5 @@ def run(
     zone_table = readers.read_zones(spark, zones_path)
     trips = prepare_table(raw, out, wording, ordered)
     stored = store_results(raw, trips, zone_table, out, wording)
-    store_exports(trips, stored, f"{out}/exports", first, last)
+    sample = stored["samples"].filter("in_export").select(*readers.SAMPLE_COLUMNS)
+    store_exports(stored, sample, f"{out}/exports", first, last)

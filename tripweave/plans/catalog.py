@@ -22,7 +22,7 @@ from tripweave.operators import (
 from tripweave.operators.enrichment import enrich
 from tripweave.operators.grouping import describe
 from tripweave.plans import batch, charts
-from tripweave.plans.reports import REPORTS, report, report_from_totals, time_totals
+from tripweave.plans.reports import REPORTS, fold, report, report_from_totals, time_part
 from tripweave.sources import driver_tables, readers, writers
 
 FIRST_DAY, LAST_DAY = date(2024, 1, 8), date(2024, 1, 21)
@@ -78,14 +78,14 @@ def _export_results(t: Tables) -> DataFrame:
     """Rows of each exported file, read back."""
     out, trips = t.folder(), t.trips
     groups = batch.save(t.groups, out, "share_groups")
-    by_time = batch.save(time_totals(trips), out, "time_totals")
+    by_time = time_part(batch.save(fold(trips), out, "folded"))
     reported = ("hourly_distribution", "payment_distribution", "payment_by_date")
     results = {name: report_from_totals(by_time, name) for name in reported} | {
         "top_pickup_zones": zones.top_zones(trips, t.zones, "pickup"),
         "share_by_hour": sharing.by_hour(groups),
         "share_savings": sharing.savings(groups),
     }
-    written = batch.store_exports(trips, results, f"{out}/exports", FIRST_DAY, LAST_DAY)
+    written = batch.store_exports(results, readers.sample_export(trips), f"{out}/exports")
     counts = [
         df.agg(F.lit(name).alias("result"), F.count(F.lit(1)).alias("n_rows"))
         for name, df in written.items()
@@ -111,9 +111,11 @@ ROW_LEVEL: dict[str, Callable[[Tables], DataFrame]] = {
     "cleaned_roundtrip": lambda t: t.trips,
     "sample_trips": lambda t: readers.hash_sample(t.trips, SAMPLE),
     "sample_export_cols": lambda t: readers.sample_export(t.trips, 0.01),
-    "preview_raw": lambda t: readers.preview(t.raw),
-    "preview_zones": lambda t: readers.preview(t.zones),
-    "preview_enriched": lambda t: readers.preview(t.trips, columns=readers.PREVIEW_COLUMNS),
+    "preview_raw": lambda t: readers.preview(t.raw, ordered=True),
+    "preview_zones": lambda t: readers.preview(t.zones, ordered=True),
+    "preview_enriched": lambda t: readers.preview(
+        t.trips, columns=readers.PREVIEW_COLUMNS, ordered=True
+    ),
     "clean_trips": lambda t: cleaning.clean(t.raw),
     "enrich_trips": lambda t: enrich(cleaning.clean(t.raw)),
     "plausible_trips": lambda t: cleaning.prepare(t.raw),
@@ -154,6 +156,7 @@ AGGREGATED: dict[str, Callable[[Tables], DataFrame]] = {
     "borough_flows": lambda t: zones.borough_flows(t.trips, t.zones),
     "share_candidate_rate": lambda t: sharing.candidate_rate(t.trips),
     "share_groups": lambda t: t.groups,
+    "share_groups_7_minutes": lambda t: sharing.share_groups(t.trips, minutes=7),
     "share_group_stats": lambda t: sharing.group_stats(t.groups),
     "share_top_groups": lambda t: sharing.top_groups(t.groups),
     "share_top_origins": lambda t: sharing.top_origins(t.groups),
@@ -178,7 +181,7 @@ AGGREGATED: dict[str, Callable[[Tables], DataFrame]] = {
     "payment_pivot": lambda t: charts.payment_pivot(t.trips),
     "hourly_peak_zone": lambda t: charts.hourly_peak_zone(t.trips),
     "kpi_dashboard": lambda t: charts.kpi_dashboard(t.trips),
-    "sample_hourly": lambda t: report(readers.hash_sample(t.trips, SAMPLE), "hourly_distribution"),
+    "sample_hourly": lambda t: charts.hourly_counts(readers.hash_sample(t.trips, SAMPLE)),
     "sample_payment": lambda t: charts.payment_counts(readers.hash_sample(t.trips, SAMPLE)),
     "category_ordered": lambda t: charts.category_ordered(t.trips),
     "sink_csv_roundtrip": _csv_roundtrip,
@@ -187,34 +190,44 @@ AGGREGATED: dict[str, Callable[[Tables], DataFrame]] = {
     "export_hourly": _exported(lambda t: report(t.trips, "hourly_distribution")),
     "export_payment": _exported(lambda t: report(t.trips, "payment_distribution")),
     "export_share_hourly": _exported(lambda t: sharing.by_hour(t.groups)),
+    "export_payment_by_date": _exported(lambda t: report(t.trips, "payment_by_date")),
+    "export_savings_summary": _exported(
+        lambda t: charts.top20_savings(sharing.savings(t.groups))
+    ),
+    "export_top_pickup_zones": _exported(
+        lambda t: charts.top15_zones(zones.top_zones(t.trips, t.zones, "pickup"))
+    ),
+    "export_sample_data": _exported(lambda t: readers.sample_export(t.trips, 0.01)),
 } | {name: (lambda t, name=name: report(t.trips, name)) for name in REPORTS}
 
-# Totals over many trips are settled to cents, means and ratios to six digits.
+# Totals over many trips are settled to cents, means, ratios and figures of a single
+# group of trips to six digits.
 TOTALS = {"sum_fare", "sum_total", "money_saved", "minutes_saved", "hours_saved"}
+PER_GROUP = {"share_savings", "share_top_savings", "export_top20_savings", "export_savings_summary"}
 
 
-def settled(df: DataFrame) -> DataFrame:
+def settled(df: DataFrame, per_group: bool = False) -> DataFrame:
     """Doubles at fixed digits. The tail that summation order leaves differs between
     engines; the small offset keeps exact halves on one side."""
 
     def settle(name: str):
-        scale = 1e2 if name in TOTALS else 1e6
+        scale = 1e2 if name in TOTALS and not per_group else 1e6
         return F.floor(F.col(name) * scale + 0.500001) / scale
 
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)]
     return df.withColumns({name: settle(name) for name in doubles}) if doubles else df
 
 
-def _run(make: Callable[[Tables], DataFrame], settle: bool):
+def _run(name: str, make: Callable[[Tables], DataFrame], settle: bool):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = make(Tables(spark, sf_dir))
-        return settled(df) if settle else df
+        return settled(df, name in PER_GROUP) if settle else df
 
     return query
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name: _run(make, settle)
+    name: _run(name, make, settle)
     for table, settle in ((ROW_LEVEL, False), (AGGREGATED, True))
     for name, make in table.items()
 }

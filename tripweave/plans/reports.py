@@ -4,21 +4,21 @@ Some thirty analyses differ in nothing else, so they are rows of one table and r
 through one function. ``run_report`` adds no action; Spark sees one aggregate per
 report and prunes the scan to the columns it names.
 
-A single report reads the trips. To produce them all, ``time_totals`` folds the trips
-once by day, hour, payment type and category; the reports whose keys follow from
-these (25 of 31) then merge that small table instead of scanning the trips again.
+A single report reads the trips. To produce them all, ``fold`` reads the trips once and
+folds them twice, by time and payment (``time_totals``) and by bands and segments
+(``band_totals``); all 31 reports then merge these small tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions import labels as L
-from tripweave.functions.columns import band_order, banded, percent, rows
+from tripweave.functions.columns import band_order, banded, labelled, percent, rows
 from tripweave.operators.enrichment import calendar_labels
 from tripweave.operators.grouping import grouped
 from tripweave.operators.segments import categorize, with_rush_hour
@@ -41,10 +41,67 @@ SUMMED = {"sum_fare": "fare_amount", "sum_total": "total_amount"}
 TIME_KEYS = ("trip_date", "hour", "payment_type", "trip_category", "is_short_trip")
 
 
+# Keys of the second fold: positions of bands, segments, and whether a tip was given.
+BAND_KEYS = (
+    "payment_type",
+    "amount_order",
+    "tip_order",
+    "fare_order",
+    "trip_profile",
+    "revenue_category",
+    "tipped",
+)
+BANDED = {
+    "amount": ("total_amount", L.AMOUNT_BANDS),
+    "tip": ("tip_percentage", L.TIP_BANDS),
+    "fare": ("fare_amount", L.FARE_BANDS),
+}
+
+
+def _time_extras() -> list[Column]:
+    return [
+        F.count_if(F.col("tip_amount") > 0).alias("n_tipped"),
+        F.count("VendorID").alias("n_vendor"),
+        F.min("total_amount").alias("min_total"),
+        F.max("total_amount").alias("max_total"),
+        F.sum(F.col("total_amount") * F.col("total_amount")).alias("sq_total"),
+    ]
+
+
 def time_totals(trips: DataFrame) -> DataFrame:
     """Mergeable totals of every averaged or summed column."""
-    tipped = F.count_if(F.col("tip_amount") > 0).alias("n_tipped")
-    return totals(trips, TIME_KEYS, AVERAGED.values(), tipped)
+    return totals(trips, TIME_KEYS, AVERAGED.values(), *_time_extras())
+
+
+def _with_bands(trips: DataFrame, wording: L.Wording) -> DataFrame:
+    orders = {f"{k}_order": band_order(F.col(c), bands) for k, (c, bands) in BANDED.items()}
+    tipped = F.coalesce(F.col("tip_amount") > 0, F.lit(False))
+    return categorize(trips, wording).withColumns(orders | {"tipped": tipped})
+
+
+def fold(trips: DataFrame, wording: L.Wording = L.ENGLISH) -> DataFrame:
+    """Both folds from one scan: rows with ``is_time`` hold totals by time, the others
+    by bands and segments."""
+    keys = [*TIME_KEYS, *(k for k in BAND_KEYS if k not in TIME_KEYS)]
+    parts = [rows().alias("n")]
+    for c in dict.fromkeys(AVERAGED.values()):
+        parts += [F.sum(c).alias(f"sum_{c}"), F.count(c).alias(f"n_{c}")]
+    marked = _with_bands(trips, wording)
+    grouping = F.grouping("trip_date").alias("not_time")
+    out = marked.groupingSets([list(TIME_KEYS), list(BAND_KEYS)], *keys).agg(
+        *parts, *_time_extras(), grouping
+    )
+    return out.withColumn("is_time", F.col("not_time") == 0).drop("not_time")
+
+
+def time_part(folded: DataFrame) -> DataFrame:
+    other = [k for k in BAND_KEYS if k not in TIME_KEYS]
+    return folded.filter("is_time").drop("is_time", *other)
+
+
+def band_part(folded: DataFrame) -> DataFrame:
+    other = [k for k in TIME_KEYS if k not in BAND_KEYS]
+    return folded.filter("not is_time").drop("is_time", *other)
 
 
 def _relabelled(folded: DataFrame, wording: L.Wording) -> DataFrame:
@@ -58,11 +115,21 @@ def _merged_measure(name: str) -> Column:
     if name in SUMMED:
         return merged_sum(SUMMED[name])
     return {
+        "min_total": lambda: F.min("min_total"),
+        "max_total": lambda: F.max("max_total"),
+        "std_total": _merged_deviation,
         "n_tipped": lambda: F.sum("n_tipped"),
         "pct_tipped": lambda: percent(F.sum("n_tipped"), merged_count()),
     }[name]()
 
 
+def _merged_deviation() -> Column:
+    """Sample deviation from counts, sums and sums of squares."""
+    n, total = F.sum("n_total_amount"), merged_sum("total_amount")
+    spread = F.sum("sq_total") - total * total / n
+    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n - 1)))
+
+
 def _measure(name: str) -> Column:
     if name in AVERAGED:
         return F.avg(AVERAGED[name])
@@ -250,34 +317,45 @@ def report(trips: DataFrame, name: str, wording: L.Wording = L.ENGLISH) -> DataF
     return run_report(trips, REPORTS[name], wording)
 
 
-# Reports on columns that the totals no longer hold.
-ROW_REPORTS = {
-    "amount_stats",
-    "amount_bands",
-    "tip_bands",
-    "tip_by_fare_band",
-    "profile_distribution",
-    "revenue_distribution",
+# Reports by bands and segments: how their keys follow from the second fold.
+BAND_REPORTS = {
+    "amount_bands": "amount",
+    "tip_bands": "tip",
+    "tip_by_fare_band": "fare",
+    "profile_distribution": None,
+    "revenue_distribution": None,
 }
 
 
 def report_from_totals(
     folded: DataFrame, name: str, wording: L.Wording = L.ENGLISH
 ) -> DataFrame:
-    """One report merged from ``time_totals``."""
-    if name in ROW_REPORTS:
-        raise ValueError(f"{name} needs the trips themselves")
-    labelled = _relabelled(folded, wording)
-    return run_report(labelled, REPORTS[name], wording, _merged_measure, merged_count())
+    """One report merged from ``time_totals``, or from the totals by bands for the
+    reports of ``BAND_REPORTS``."""
+    known = REPORTS[name]
+    if name not in BAND_REPORTS:
+        named = _relabelled(folded, wording)
+        return run_report(named, known, wording, _merged_measure, merged_count())
+    named = folded.withColumn(
+        "payment_type_label", labelled(F.col("payment_type"), wording.payments)
+    )
+    if band := BAND_REPORTS[name]:
+        order, bands = F.col(f"{band}_order"), BANDED[band][1]
+        label = F.element_at(F.array(*map(F.lit, bands.labels)), order + 1)
+        named = named.withColumns({"band_order": order, f"{band}_band": label})
+    if name == "tip_bands":
+        named = named.filter(_card() & F.col("tipped"))
+        known = replace(known, where=None)
+    return run_report(
+        named, replace(known, derive=None), wording, _merged_measure, merged_count()
+    )
 
 
 def all_reports(
-    trips: DataFrame, folded: DataFrame, wording: L.Wording = L.ENGLISH
+    by_time: DataFrame, by_band: DataFrame, wording: L.Wording = L.ENGLISH
 ) -> dict[str, DataFrame]:
-    """Every report, from stored ``time_totals`` wherever they suffice."""
+    """Every report, from the two stored folds."""
     return {
-        name: run_report(trips, r, wording)
-        if name in ROW_REPORTS
-        else report_from_totals(folded, name, wording)
-        for name, r in REPORTS.items()
+        name: report_from_totals(by_band if name in BAND_REPORTS else by_time, name, wording)
+        for name in REPORTS
     }

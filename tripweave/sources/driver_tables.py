@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tripweave.operators.cleaning import prepare
 from tripweave.sources.readers import read_cleaned, read_trips
 from tripweave.sources.schemas import TRIPS
-from tripweave.sources.writers import shared_folder, write_by_date, write_parquet
+from tripweave.sources.writers import listing, shared_folder, write_by_date, write_parquet
 
 START = "2024-01-01 00:00:00"
 QUARTER_HOURS = 31 * 96
@@ -48,11 +48,11 @@ def _trip_columns(lines: DataFrame) -> DataFrame:
     )
     pickup_s = (order * 7919 + line * 104729 + part * 31) % QUARTER_HOURS * 900 + (
         order * 13 + line * 17
-    ) % 300
+    ) % 900
     code = (part * 7 + order) % 23
     base = lines.select(
         "*",
-        (line % 2 + 1).cast("int").alias("VendorID"),
+        _null_every(37, line % 2 + 1).cast("int").alias("VendorID"),
         F.timestamp_add("SECOND", pickup_s, F.lit(START).cast("timestamp_ntz")).alias(
             "tpep_pickup_datetime"
         ),
@@ -97,8 +97,8 @@ def _trip_columns(lines: DataFrame) -> DataFrame:
             "tolls_amount": F.lit(0.0),
             "improvement_surcharge": F.lit(1.0),
             "total_amount": fare * (1.0 + F.col("l_tax")) + 2.5 + tip,
-            "PULocationID": _zone_id("c_nationkey", 40),
-            "DOLocationID": _zone_id("s_nationkey", 41),
+            "PULocationID": _null_every(43, _zone_id("c_nationkey", 40)),
+            "DOLocationID": _null_every(47, _zone_id("s_nationkey", 41)),
         }
     )
 
@@ -133,7 +133,8 @@ def derive_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_landed: dict[tuple[str, str, str], str] = {}
+INPUTS = ("lineitem", "orders", "customer", "supplier")
+_landed: dict[tuple, str] = {}
 _landing = threading.RLock()
 
 
@@ -144,8 +145,10 @@ def _land(
     write: Callable[[str], None],
     read: Callable[[SparkSession, str], DataFrame],
 ) -> DataFrame:
-    """Read the landed table, writing it first unless this session already has."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """Read the landed table, writing it first unless this session already has, from
+    the very files that are there now."""
+    files = tuple(listing(spark, f"{sf_dir}/{table}.parquet") for table in INPUTS)
+    key = (spark.sparkContext.applicationId, sf_dir, name, files)
     with _landing:
         if key in _landed:
             try:

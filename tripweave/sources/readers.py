@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,11 +45,33 @@ PREVIEW_COLUMNS = (
 )
 
 
-def read_trips(spark: SparkSession, path: str, schema: StructType | None = schemas.TRIPS) -> DataFrame:
+def read_trips(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = schemas.TRIPS,
+    optional: Collection[str] = (),
+) -> DataFrame:
     """Raw trips from Parquet. Pass ``schema=None`` for files whose own column types
-    differ from the declared ones."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    differ from the declared ones. Columns that the files lack are an error, unless
+    they are named as ``optional``; these read as nulls."""
+    return _read(spark, path, schema, schemas.TRIPS, optional)
+
+
+def _read(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None,
+    needed: StructType,
+    optional: Collection[str],
+) -> DataFrame:
+    found = spark.read.parquet(path)
+    there = {name.lower() for name in found.columns}
+    lacking = [f for f in (schema or needed).fields if f.name.lower() not in there]
+    if missing := [f.name for f in lacking if f.name not in optional]:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    if schema is None:
+        return found.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
@@ -58,10 +80,13 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_cleaned(
-    spark: SparkSession, path: str, schema: StructType | None = schemas.PREPARED
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = schemas.PREPARED,
+    optional: Collection[str] = (),
 ) -> DataFrame:
     """Prepared trips, stored by ``trip_date``; filters on it skip whole folders."""
-    return read_trips(spark, path, schema)
+    return _read(spark, path, schema, schemas.PREPARED, optional)
 
 
 def sample_trips(trips: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -85,13 +110,24 @@ def hash_sample(trips: DataFrame, fraction: float, keys: Sequence[str] = SAMPLE_
     return trips.filter(F.substring(digest, 1, 8) < f"{int(fraction * 16**8):08x}")
 
 
+def samples(trips: DataFrame, random: float, exported: float, seed: int = 42) -> DataFrame:
+    """The rows of a random sample and of the exported one from a single scan, marked
+    by ``in_random`` and ``in_export``. The export takes a fast hash of the keys."""
+    top = int(exported * 2**32)
+    hashed = F.xxhash64(*SAMPLE_KEYS).bitwiseAND(F.lit(2**32 - 1))
+    marked = trips.withColumns({"in_random": F.rand(seed) < random, "in_export": hashed < top})
+    return marked.filter("in_random or in_export")
+
+
 def sample_export(trips: DataFrame, fraction: float = 0.001) -> DataFrame:
     """The ten columns of the exported sample."""
     return hash_sample(trips, fraction).select(*SAMPLE_COLUMNS)
 
 
-def preview(df: DataFrame, n: int = 10, columns: Sequence[str] | None = None) -> DataFrame:
-    """First rows by the shown columns, in a stable order. Spark keeps ``n`` rows per
-    partition; the table is not sorted."""
-    shown = list(columns or df.columns)
-    return df.select(*shown).orderBy(*shown).limit(n)
+def preview(
+    df: DataFrame, n: int = 10, columns: Sequence[str] | None = None, ordered: bool = False
+) -> DataFrame:
+    """Some first rows, from as little of the table as it takes. With ``ordered``, the
+    first by the shown columns: the same rows on every run, for a scan of them all."""
+    shown = df.select(*(columns or df.columns))
+    return (shown.orderBy(*shown.columns) if ordered else shown).limit(n)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +33,22 @@ def write_single_csv(result: DataFrame, path: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``. Where that is unset, a temporary
-    folder serves local sessions only; a cluster needs the setting."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tripweave-")
-    return f"{base.rstrip('/')}/tripweave-{uuid.uuid4().hex}"
+    """A new folder below ``spark.checkpoint.dir``, or below the warehouse where that is
+    unset; both are shared by all executors on a cluster. It is removed when the
+    session's JVM ends."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/tripweave-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return path
+
+
+def listing(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of every file at a path, to notice that a table has changed."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return tuple(
+        sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)
+    )
