@@ -13,6 +13,7 @@ from tripweave.llm import (
     bpe,
     decontaminate,
     maxscore,
+    oracle,
     quality,
     secrets,
     sharding,
@@ -117,4 +118,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.ORACLE)
