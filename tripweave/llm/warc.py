@@ -37,7 +37,7 @@ from tripweave.llm.runtime import land, partitions, ship
 
 FILES = "path string, records long"
 PIECE = 1 << 18
-LEVEL = 3
+LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 RESULT = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
