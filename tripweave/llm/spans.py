@@ -1,7 +1,8 @@
 """Substring deduplication by sliding spans of sentences.
 
-A text is cut after ``. ! ? , ; :`` at the end of a word and at line breaks; a piece
-of more than ``LONGEST`` words is cut again every so many words. From every piece the
+A text is cut after ``. ! ? , ; :`` at the end of a word and at line breaks; a piece of
+more than ``LONGEST`` words is cut again after words whose hash says so (one in eight),
+which does not depend on where the piece begins. From every piece the
 shortest run of at least ``min_pieces`` pieces and ``min_words`` words is hashed (case
 aside), so equal passages give equal runs wherever they stand in a text. A run is
 *repeated* if it occurs more than once in all documents. Of a repeated run the
@@ -36,7 +37,9 @@ _ODD = 0x9E3779B97F4A7C15
 _ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 
 
-def _pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, firsts: np.ndarray):
+def _pieces(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, firsts: np.ndarray, h: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """The first word of each piece, and the offset of each text's first piece."""
     n = len(starts)
     cut = _CUTS[data[ends - 1]]
@@ -48,7 +51,7 @@ def _pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, firsts: np.n
     begins = begins[:n]
     at = np.flatnonzero(begins)
     size = np.diff(np.append(at, n))
-    begins |= (np.arange(n) - np.repeat(at, size)) % LONGEST == 0
+    begins[1:] |= (np.repeat(size, size) > LONGEST)[1:] & (h[:-1] % tx.U64(8) == 0)
     at = np.flatnonzero(begins)
     return at, np.searchsorted(at, firsts)
 
@@ -67,7 +70,7 @@ def _runs(column: pa.Array, min_pieces: int, min_words: int):
     if not len(starts):
         return None
     h = tx.hash_spans(tx.LOWER[data], starts, ends)
-    at, first_piece = _pieces(data, starts, ends, firsts)
+    at, first_piece = _pieces(data, starts, ends, firsts, h)
     n = len(starts)
     bounds = np.append(at, n)
     counts = np.diff(first_piece)
@@ -111,7 +114,7 @@ def repeated_spans(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_pieces: int = 2,
-    min_words: int = 20,
+    min_words: int = 25,
 ) -> DataFrame:
     """doc_id, spans (sorted, merged ranges of code points to remove, end exclusive) and
     first_doc_ids (where they stand first), for every document that loses some."""
