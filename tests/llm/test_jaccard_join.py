@@ -117,6 +117,23 @@ def test_bands_hold_all_similar_sizes():
                     assert blocks > difference and (other == band or blocks == t_own)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_similar_sets_share_a_probe(percent):
+    rng, bands = np.random.default_rng(percent), jj.Bands(percent)
+    for _ in range(1500):
+        s = rng.integers(0, 2**63, rng.integers(4, 400))
+        drop = rng.integers(0, max(1, bands.most(len(s)) // 2 + 1))
+        t = np.concatenate([s[drop:], rng.integers(0, 2**63, rng.integers(0, drop + 1))])
+        common = len(s) - drop
+        if 100 * common < percent * (len(s) + len(t) - common):
+            continue
+        found = []
+        for x in (np.sort(s.astype(np.uint64)), np.sort(t.astype(np.uint64))):
+            kinds = jj._kinds(x, bands)
+            found.append({k for b, m in kinds for k in jj.probes(x, b, m, bands.most(len(x))).tolist()})
+        assert found[0] & found[1] or (drop == 0 and len(s) == len(t))
+
+
 def test_hamming_distance_bounds_the_difference():
     rng = np.random.default_rng(2)
     for _ in range(200):

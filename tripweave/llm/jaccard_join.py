@@ -1,22 +1,26 @@
 """N-gram Jaccard join by parity sketches.
 
 Every text becomes the set of its hashed word shingles. A *parity sketch* deals the set
-into blocks of 64 bits: a shingle picks a block and a bit and flips it. Every element of
-the symmetric difference of two sets flips one bit at most, so the Hamming distance of
-two sketches never exceeds that difference. Sets whose Jaccard similarity reaches p/q
-differ by at most ``(|S| + |T|) (q - p) / (q + p)`` elements; with one block more than
-that, at least one block must agree exactly (pigeonhole). The bound depends on sizes, so
-the sketch layout is fixed per *size band*; a set also gets a sketch in the layout of
-the next band if a set there could be similar to it. Joining on (band, block, bits)
-therefore meets every similar pair.
-
-Exact copies are folded into one class first. Within a bucket of the join not all pairs
-are formed: every member is paired with the smallest one only, the best such pair of
-each class is verified exactly on the texts, and whole groups of near copies collapse
-into components. What remains are buckets that still hold members of different
-components; only pairs across components are compared there, sketch against sketch, in
-bounded chunks, and those within the bound are verified. So no link that joins two
-components can be lost, and work on a large group of near copies stays linear.
+into blocks by hash and XORs the hashes of each block. Every element of the symmetric
+difference of two sets changes one block at most, so the number of blocks that differ
+never exceeds that difference; nor does the Hamming distance of sketches in which an
+element flips one bit. Sets whose Jaccard similarity reaches p/q differ by at most
+``(|S| + |T|) (q - p) / (q + p)`` elements; with one block more than that, at least one
+block must agree exactly (pigeonhole). The bound depends on sizes, so the sketch layout
+is fixed per *size band*; a set also gets a sketch in the layout of the next band if a
+set there could be similar to it. Joining on (band, block, parity) therefore meets every
+similar pair. Layouts have some blocks to spare, so that empty and thin blocks need not
+be joined on (``probes``).
+
+Exact copies are folded into one class by a digest of their sets. Within a bucket of the
+join not all pairs are formed: every member is paired with the smallest one only, and of
+these pairs the nearest of each member is verified exactly on the texts, so whole groups
+of near copies collapse into components. What remains are the other pairs with a smallest
+member, and pairs within buckets that still hold different components; only pairs across
+components are compared there, sketch against sketch in bounded chunks, and those within
+the bound are verified. So no link that joins two components can be lost, and work on a
+large group of near copies stays linear. Rows that travel are narrow: keys with ids, then
+sketches (folded to two bits an element) and texts only of documents that share a key.
 
 Rows that are null or have no words have an empty set and are linked with nothing.
 Repeated rows each get a row of the result. A null id takes no part in links: its
@@ -47,7 +51,6 @@ class _Member(NamedTuple):
     words: np.ndarray
 
 
-SETS = "doc_id long, n_shingles long, sig binary, band int, own array<long>, up array<long>"
 #: Members of a bucket that are compared in one piece.
 CHUNK = 512
 
@@ -86,6 +89,10 @@ class Bands:
         """The largest symmetric difference of similar sets with so many elements together."""
         return total * (100 - self.percent) // (100 + self.percent)
 
+    def most(self, size: int) -> int:
+        """The largest symmetric difference of a set of this size and a similar one."""
+        return self.bound(size + self._reach(size))
+
     def blocks(self, band: int) -> int:
         return self.bound(2 * (self.first(band + 1) - 1)) + 1
 
@@ -120,62 +127,127 @@ def _shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
         yield own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, np.concatenate([*arrays, np.zeros(0, np.int64)]))
+def _kinds(s: np.ndarray, bands: Bands) -> list[tuple[int, int]]:
+    """(band, blocks) of the layouts in which a set has a sketch."""
+    if not len(s):
+        return []
+    band, own, up = bands.layouts(len(s))
+    return [(b, m) for b, m in ((band, own), (band + 1, up)) if m]
+
+
+def fold(words: np.ndarray, size: int) -> np.ndarray:
+    """The sketch folded by XOR to about two bits an element. Folding never raises a
+    Hamming distance, so the bound stays one."""
+    width = size // 32 + 1
+    out = np.zeros(-(-len(words) // width) * width, np.int64)
+    out[: len(words)] = words
+    return np.bitwise_xor.reduce(out.reshape(-1, width), axis=0)
 
 
 def shingle_sets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3
 ) -> DataFrame:
-    """Set size, signature (equal for equal sets), band and sketches of every row."""
+    """Size of the set and signature (equal for equal sets, null for empty) of every row."""
     ship(docs.sparkSession)
 
     def work(batch):
-        bands, sizes, sigs, band_of, own, up = Bands(percent), [], [], [], [], []
-        for s in _shingle_sets(batch.column(1), k):
-            band, m, m_up = bands.layouts(len(s)) if len(s) else (None, 0, 0)
-            sizes.append(len(s))
-            sigs.append(xxhash.xxh128_digest(s.tobytes()) if len(s) else None)
-            band_of.append(band)
-            own.append(sketch(s, m))
-            up.append(sketch(s, m_up))
+        sets = list(_shingle_sets(batch.column(1), k))
+        sigs = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
         return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array(sizes, pa.int64()),
-                pa.array(sigs, pa.binary()),
-                pa.array(band_of, pa.int32()),
-                _lists(own),
-                _lists(up),
-            ],
-            ["doc_id", "n_shingles", "sig", "band", "own", "up"],
+            [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(sigs, pa.binary())],
+            ["doc_id", "n_shingles", "sig"],
         )
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(over_slices(work, 1), SETS)
+    return rows.mapInArrow(over_slices(work, 1), "doc_id long, n_shingles long, sig binary")
 
 
-def _keys(classes: DataFrame) -> DataFrame:
-    """(key, id): one row per class and sketch block, in each layout it has."""
+def block_keys(s: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The blocks that hold elements, the XOR of the 64-bit hashes in each, and their
+    number. A block of two sets agrees only if they hold the same elements there."""
+    spread = tx.mix(s + tx.U64(blocks))
+    block = (spread >> tx.U64(32)) * tx.U64(blocks) >> tx.U64(32)
+    order = np.argsort(block, kind="stable")
+    block = block[order]
+    first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    parity = np.bitwise_xor.reduceat(tx.mix(spread[order]), first)
+    return block[first], parity, np.diff(np.append(first, len(block)))
+
+
+def probes(s: np.ndarray, band: int, blocks: int, most: int) -> np.ndarray:
+    """The join keys of a set in one layout, which has a fifth more blocks than the
+    pigeonhole needs. Similar sets differ in ``most`` blocks at most. If more blocks than
+    that hold elements, the ``most + 1`` fullest (then lowest) suffice: the fullest block
+    that two similar sets share has at most ``most`` blocks before it in either set. So
+    empty and thin blocks, which agree by chance, seldom become keys. Sets that have
+    fewer filled blocks use all blocks, empty ones too."""
+    wide = blocks + blocks // 5 + 2
+    at, parity, count = block_keys(s, wide)
+    if len(at) > most:
+        chosen = np.lexsort((at, -count))[: most + 1]
+        at, parity = at[chosen], parity[chosen]
+    else:
+        filled, at = at, np.arange(wide, dtype=tx.U64)
+        every = np.zeros(wide, tx.U64)
+        every[filled.astype(np.int64)] = parity
+        parity = every
+    return tx.mix(parity ^ tx.mix((at << tx.U64(16)) + tx.U64(band)))
+
+
+def _keys(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(key, id): one row per text and probed block, in each layout it has."""
 
-    def blocks(words: str, band) -> DataFrame:
-        return classes.select("id", band.alias("band"), F.posexplode(words)).select(
-            F.xxhash64("band", "pos", "col").alias("key"), "id"
+    def work(batch):
+        bands, keys, counts = Bands(percent), [], []
+        for s in _shingle_sets(batch.column(1), k):
+            most = bands.most(len(s))
+            own = [probes(s, band, m, most) for band, m in _kinds(s, bands)]
+            keys += own
+            counts.append(sum(map(len, own)))
+        if not keys:
+            return None
+        ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(keys).view(np.int64)), ids], ["key", "id"]
         )
 
-    return blocks("own", F.col("band")).unionByName(blocks("up", F.col("band") + 1))
+    return texts.select("id", "text").mapInArrow(over_slices(work, 1), "key long, id long")
+
+
+SKETCHES = "id long, n_shingles long, band int, own array<long>, up array<long>"
+
+
+def _sketches(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Folded sketches of texts, in both layouts (empty where there is none). Folds are
+    as wide as the band's largest set asks for, so they compare word by word."""
+
+    def work(batch):
+        bands, sizes, band_of, sides = Bands(percent), [], [], ([], [])
+        for s in _shingle_sets(batch.column(1), k):
+            band = bands.of(max(1, len(s)))
+            made = dict(_kinds(s, bands))
+            sizes.append(len(s))
+            band_of.append(band)
+            for side, b in zip(sides, (band, band + 1)):
+                wide = bands.first(b + 1) - 1
+                side.append(fold(sketch(s, made[b]), wide) if b in made else np.zeros(0, np.int64))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(band_of, pa.int32()),
+             *map(_lists, sides)],
+            ["id", "n_shingles", "band", "own", "up"],
+        )
+
+    return texts.select("id", "text").mapInArrow(over_slices(work, 1), SKETCHES)
 
 
-_PAIR = (
-    "a long, b long, a_size long, b_size long, a_band int, b_band int, "
-    "a_own array<long>, a_up array<long>, b_own array<long>, b_up array<long>"
-)
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate([*arrays, np.zeros(0, np.int64)]))
 
 
-def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _with_sketches(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     def side(name: str) -> DataFrame:
-        return classes.select(
+        return sketches.select(
             F.col("id").alias(name),
             F.col("n_shingles").alias(f"{name}_size"),
             F.col("band").alias(f"{name}_band"),
@@ -203,8 +275,6 @@ def _within(pairs: DataFrame, percent: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar indeed, by their whole texts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = texts.join(wanted, "id", "left_semi").distinct()
     with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a")
     both = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("b_text")), "b")
 
@@ -292,85 +362,95 @@ def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _labels(pairs: DataFrame, grown: DataFrame) -> DataFrame:
+    """The pairs with their ends replaced by the components they are in so far."""
+    known = grown.withColumnRenamed("node", "id")
+    for end in ("a", "b"):
+        pairs = (
+            pairs.withColumn("id", F.col(end))
+            .join(known, "id", "left")
+            .withColumn(f"{end}_in", F.coalesce("component", "id"))
+            .drop("id", "component")
+        )
+    return pairs
+
+
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90
 ) -> DataFrame:
     """doc_id, n_shingles (size of the set) and component_id, the smallest id reachable
     over links, for every row of ``docs``."""
-    spark = docs.sparkSession
-    sets = land(shingle_sets(docs, id_col, text_col, k, percent), "sets")
-    whole = sets.filter("sig is not null and doc_id is not null")
-    folded = whole.groupBy("sig").agg(F.min("doc_id").alias("id"))
-    described = F.min_by(F.struct("n_shingles", "band", "own", "up"), "doc_id")
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
+    ).filter("id is not null")
+    sets = land(shingle_sets(docs, id_col, text_col, k), "sets")
     classes = land(
-        whole.groupBy("sig")
-        .agg(F.min("doc_id").alias("id"), described.alias("s"))
-        .select("id", "s.*"),
+        sets.filter("sig is not null and doc_id is not null")
+        .groupBy("sig")
+        .agg(F.min("doc_id").alias("id")),
         "classes",
     )
-    keys = _keys(classes)
+    # Copies share all their keys, so the smallest id of a bucket is always that of a
+    # class. Copies go once their buckets are known, by a join of narrow rows.
     bucket = Window.partitionBy("key").orderBy("id")
-    met = land(
-        keys.withColumns({
-            "pivot": F.first("id").over(bucket),
-            "next": F.lead("id").over(bucket),
-        }).filter("id <> pivot or next is not null"),
-        "met",
-    )
+    shared = (
+        _keys(texts, k, percent)
+        .withColumns({"pivot": F.first("id").over(bucket), "next": F.lead("id").over(bucket)})
+        .filter("id <> pivot or next <> id")
+        .select("key", "id", "pivot")
+    )
+    met = land(shared.join(classes.select("id"), "id", "left_semi"), "met")
+    involved = met.select("id").distinct()
+    # The ids grow with the corpus, so they are not to be broadcast at any size. This is
+    # the only time that texts meet them; what follows reads the written part.
+    texts = land(
+        texts.join(involved.hint("merge"), "id", "left_semi").dropDuplicates(["id", "text"]),
+        "texts",
+    )
+    sketches = land(_sketches(texts, k, percent), "sketches")
     pivots = met.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-    near = _within(_with_sketches(pivots.distinct(), classes), percent)
+    near = land(_within(_with_sketches(pivots.distinct(), sketches), percent), "near")
     best = near.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a"))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    stars = land(_verified(best.select("a", "b"), texts, k, percent), "stars")
-    grown = components(stars)
+    grown = components(land(_verified(best.select("a", "b"), texts, k, percent), "stars"))
 
-    labelled = met.select("key", "id").join(
-        grown.withColumnRenamed("node", "id"), "id", "left"
-    ).withColumn("component", F.coalesce("component", "id"))
+    # Pairs with a pivot have been compared; others only where components differ.
+    members = met.filter("id <> pivot").select("key", "id").distinct()
+    labelled = members.join(grown.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id")
+    )
     mixed = labelled.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
-    ).filter("low <> high").select("key")
-    members = labelled.join(mixed, "key").join(classes, "id")
-    layouts = members.groupBy("key").agg(F.max("band").alias("top"))
+    )
+    mixed = land(mixed.filter("low <> high").select("key"), "mixed")
+    members = labelled.join(mixed, "key").join(sketches, "id")
+    layouts = land(members.groupBy("key").agg(F.max("band").alias("top")), "layouts")
     members = members.join(layouts, "key").select(
         "key", "id", "component", "n_shingles",
         F.when(F.col("band") < F.col("top"), F.col("up")).otherwise(F.col("own")).alias("words"),
     )
-    rest = _verified(land(_across(members, percent), "across"), texts, k, percent)
-    label = F.coalesce("component", "id")
-    small = grown.withColumnRenamed("node", "id")
-    bridges = rest
-    for end in ("a", "b"):
-        bridges = (
-            bridges.withColumnRenamed(end, "id")
-            .join(small, "id", "left")
-            .withColumn(end, label)
-            .drop("id", "component")
-        )
-    merged = components(bridges.select("a", "b"))
+    left_over = _labels(near.select("a", "b"), grown).filter("a_in <> b_in").select("a", "b")
+    open_pairs = land(_across(members, percent).unionByName(left_over).distinct(), "open")
+    bridges = _labels(_verified(open_pairs, texts, k, percent), grown)
+    merged = components(bridges.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
     final = (
         grown.join(
             merged.select(F.col("node").alias("component"), F.col("component").alias("top")),
-            "component", "left",
+            "component",
+            "left",
         )
         .select(F.col("node").alias("id"), F.coalesce("top", "component").alias("c"))
-        .unionByName(
-            merged.select(F.col("node").alias("id"), F.col("component").alias("c"))
-        )
+        .unionByName(merged.select(F.col("node").alias("id"), F.col("component").alias("c")))
         .groupBy("id")
         .agg(F.min("c").alias("component"))
-    )
-    by_class = folded.join(final, "id", "left").select(
-        "sig", F.coalesce("component", "id").alias("component")
     )
-    return (
-        sets.select("doc_id", "n_shingles", "sig")
-        .join(by_class, "sig", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias(
-                "component_id"
-            ),
-        )
+    by_class = land(
+        classes.join(final, "id", "left").select(
+            "sig", F.coalesce("component", "id").alias("component")
+        ),
+        "by_class",
+    )
+    return sets.join(by_class, "sig", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
     )
