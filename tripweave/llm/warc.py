@@ -177,26 +177,25 @@ def write_monolithic(
         F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).cast("string").alias("url"),
         payload.alias("payload"),
-        F.when(F.octet_length(payload) >= min_bytes, F.sha1(payload)).alias("same"),
+        F.xxhash64(payload).alias("mark"),
     )
-    # One small row per payload that occurs more than once; partial counts fold hot ones.
-    kept = (
-        rows.filter("same is not null")
-        .groupBy("same")
-        .agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .drop("n")
+    # Which payloads are equal is settled on rows without payloads: one small row per
+    # payload that occurs more than once (partial counts fold hot ones), then one per
+    # revisit. Both are written, so a hot payload is split when joined and a short list
+    # of revisits spares the payloads a shuffle.
+    narrow = rows.filter(F.octet_length("payload") >= min_bytes).select(
+        "page_id", "mark", F.unhex(F.sha1("payload")).alias("same")
     )
-    columns = "page_id", "url", "payload", "response"
-    planned = (
-        rows.filter("same is not null")
-        .join(kept, "same", "left")
-        .select(*columns)
-        .unionByName(
-            rows.filter("same is null")
-            .withColumn("response", F.lit(None).cast("long"))
-            .select(*columns)
-        )
+    counted = narrow.groupBy("same").agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
+    kept = land(counted.filter("n > 1 and response is not null").drop("n"), "kept")
+    later = narrow.join(kept, "same").filter(~F.col("page_id").eqNullSafe(F.col("response")))
+    revisits = land(later.select("page_id", "mark", "response").distinct(), "revisits")
+    own, other = rows.alias("own"), revisits.alias("other")
+    same_row = (F.col("own.mark") == F.col("other.mark")) & F.col("own.page_id").eqNullSafe(
+        F.col("other.page_id")
+    )
+    planned = own.join(other, same_row, "left").select(
+        "own.page_id", "own.url", "own.payload", "other.response"
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
