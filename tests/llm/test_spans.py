@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 
 from __spark_entry__ import queries
 from tripweave.llm import spans
@@ -131,3 +134,97 @@ def test_repeated_rows_of_an_id_are_one_document(docs_of):
     assert spans.repeated_spans(docs_of((1, text), (1, text))).count() == 0
     got = spans.repeated_spans(docs_of((1, text), (1, text), (2, text))).collect()
     assert [(r.doc_id, r.first_doc_ids) for r in got] == [(2, [1])]
+
+
+def kept_by_second(passage, around):
+    """The passage's words that stay in the second of two texts that hold it."""
+    runs = []
+    texts = [" ".join([*before, *passage, *after]) for before, after in around]
+    for text in texts:
+        _, run, start, end = spans._runs(pa.array([text]), 2, 25)
+        runs.append(list(zip(run.tolist(), start.tolist(), end.tolist())))
+    known = {run for run, _, _ in runs[0]}
+    cut = [(a, b) for run, a, b in runs[1] if run in known]
+    at, kept = len(" ".join(around[1][0])) + 1, []
+    for i, word in enumerate(passage):
+        if not any(a <= at and at + len(word) <= b for a, b in cut):
+            kept.append(i)
+        at += len(word) + 1
+    return kept
+
+
+def test_random_passages_are_found_but_for_a_few_words_at_their_ends():
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])
+    texts = [t.split() for t in table["text"].to_pylist() if t]
+    long = [t for t in texts if len(t) > 120]
+    rng = random.Random(7)
+    for trial in range(400):
+        plain = trial % 2
+        ws = [rng.choice(long) for _ in range(3)]
+        if plain:
+            ws = [[re.sub(r"[.!?,;:]+$", "", w) or "x" for w in own] for own in ws]
+        i = rng.randrange(len(ws[0]) - 51)
+        around = []
+        for own in ws[1:]:
+            j, k = rng.randrange(len(own) - 40), rng.randrange(len(own) - 40)
+            around.append((own[j : j + 40], own[k : k + 40]))
+        kept = kept_by_second(ws[0][i : i + 51], around)
+        inside = [n for n in kept if 5 <= n <= 46]
+        assert not inside, (trial, kept)
+
+
+def test_the_last_short_piece_of_a_passage_goes_too():
+    passage = [f"p{i}" + ("." if i in (15, 29, 37) else "") for i in range(38)]
+    before = [words("a", 29) + ["a."], words("b", 29) + ["b."]]
+    assert not kept_by_second(passage, [(b, words(f"c{i}x", 30)) for i, b in enumerate(before)])
+
+
+def test_cuts_do_not_depend_on_the_other_texts_of_a_batch():
+    texts = ["", " ".join(words("q", 40)), None, "one", " ".join(words("r", 33))]
+    _, together, *_ = spans._runs(pa.array(texts), 2, 25)
+    alone = [spans._runs(pa.array([t]), 2, 25)[1].tolist() for t in texts if t and " " in t]
+    assert sorted(together.tolist()) == sorted(sum(alone, []))
+
+
+def pieces_by_words(text, gap=5):
+    """Pieces by the rule in the module's docstring, word by word."""
+    ws = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text or "")]
+    h = []
+    for a, b in ws:
+        word = np.frombuffer(lowered(text[a:b]).encode(), np.uint8)
+        h.append(int(tx.hash_spans(word, np.array([0]), np.array([len(word)]))[0]))
+    ends = set()
+    for i in range(len(h) - gap + 1):
+        ends |= {j for j in range(i, i + gap) if h[j] == min(h[i : i + gap])}
+    out, own = [], []
+    for i, (a, b) in enumerate(ws):
+        if own and (text[ws[i - 1][1] - 1] in ".!?,;:" or "\n" in text[ws[i - 1][1] : a] or i - 1 in ends):
+            out.append(own)
+            own = []
+        own.append((a, b))
+    return out + ([own] if own else [])
+
+
+def test_query_equals_brute_force_from_both_sides(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    places = {}
+    for doc_id, text in docs:
+        low, ps, found = lowered(text), pieces_by_words(text), set()
+        for i in range(len(ps)):
+            near = range(i, min(i + 26, len(ps))), range(i, max(i - 26, -1), -1)
+            after, before = ([j for j in js if j != i and sum(map(len, ps[min(i, j) : max(i, j) + 1])) >= 25]
+                             for js in near)
+            found |= {(i, j + 1) for j in after[:1]} | {(j, i + 1) for j in before[:1]}
+        for i, j in found:
+            key = tuple(low[a:b] for p in ps[i:j] for a, b in p)
+            places.setdefault(key, []).append((doc_id, ps[i][0][0], ps[j - 1][-1][1]))
+    want = {}
+    for found in places.values():
+        for doc_id, a, b in sorted(found)[1:]:
+            want.setdefault(doc_id, set()).update(range(a, b))
+    rows = queries()["op10_sentence_spans"](spark, sf_dir).collect()
+    assert {r.doc_id for r in rows} == set(want)
+    for r in rows:
+        ranges = [tuple(map(int, s.split(":"))) for s in r.spans.split(",")]
+        assert {i for a, b in ranges for i in range(a, b)} == want[r.doc_id]

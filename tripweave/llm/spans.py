@@ -1,10 +1,13 @@
 """Substring deduplication by sliding spans of sentences.
 
-A text is cut after ``. ! ? , ; :`` at the end of a word and at line breaks; a piece of
-more than ``LONGEST`` words is cut again after words whose hash says so (one in eight),
-which does not depend on where the piece begins. From every piece the
-shortest run of at least ``min_pieces`` pieces and ``min_words`` words is hashed (case
-aside), so equal passages give equal runs wherever they stand in a text. A run is
+A text is cut after ``. ! ? , ; :`` at the end of a word, at line breaks, and after the
+word of the smallest hash (all of them, if several are equal) of every ``GAP`` consecutive
+words, so no piece is longer. The shortest run of at least ``min_pieces`` pieces and
+``min_words`` words that starts at a piece, and the shortest one that ends at it, are
+hashed (case aside) for every piece. Within a passage the cuts between its first and its
+last whole stretch of ``GAP`` words depend on the passage alone, so it gives equal runs
+wherever it stands: one of ``min_words + 2 * GAP - 1`` words or more is always found,
+and all of it but ``GAP`` words at its start and ``GAP - 1`` at its end at most. A run is
 *repeated* if it occurs more than once in all documents. Of a repeated run the
 occurrence with the smallest (id, position) is kept; pieces covered by any other
 occurrence are removed.
@@ -30,7 +33,8 @@ from pyspark.sql import functions as F
 from tripweave.llm import text as tx
 from tripweave.llm.runtime import land, over_slices, ship
 
-LONGEST = 16
+#: Words of which one at least ends a piece.
+GAP = 5
 _CUTS = np.zeros(256, dtype=bool)
 _CUTS[[ord(c) for c in ".!?,;:"]] = True
 _ODD = 0x9E3779B97F4A7C15
@@ -42,20 +46,33 @@ def _pieces(
 ) -> tuple[np.ndarray, np.ndarray]:
     """The first word of each piece, and the offset of each text's first piece."""
     n = len(starts)
-    cut = _CUTS[data[ends - 1]]
+    cut = _CUTS[data[ends - 1]] | _least(h, firsts)
     lines = np.concatenate([[0], np.cumsum(data == 10)])
     begins = np.zeros(n + 1, dtype=bool)
     begins[1:] = cut
     begins[1:n] |= lines[starts[1:]] > lines[ends[:-1]]
     begins[firsts] = True
-    begins = begins[:n]
-    at = np.flatnonzero(begins)
-    size = np.diff(np.append(at, n))
-    begins[1:] |= (np.repeat(size, size) > LONGEST)[1:] & (h[:-1] % tx.U64(8) == 0)
-    at = np.flatnonzero(begins)
+    at = np.flatnonzero(begins[:n])
     return at, np.searchsorted(at, firsts)
 
 
+def _least(h: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Whether a word has the smallest hash of any ``GAP`` consecutive words of a text."""
+    out = np.zeros(len(h), dtype=bool)
+    n = len(h) - GAP + 1
+    if n <= 0:
+        return out
+    least = h[:n].copy()
+    for j in range(1, GAP):
+        np.minimum(least, h[j : j + n], out=least)
+    whole = np.ones(len(h) + GAP, dtype=bool)
+    for j in range(1, GAP):
+        whole[firsts[1:] - j + GAP] = False
+    for j in range(GAP):
+        out[j : j + n] |= (h[j : j + n] == least) & whole[GAP : GAP + n]
+    return out
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=tx.U64)
     if n:
@@ -78,13 +95,20 @@ def _runs(column: pa.Array, min_pieces: int, min_words: int):
     index = np.arange(len(at))
     stop = np.maximum(np.searchsorted(bounds, at + min_words), index + min_pieces)
     whole = stop <= first_piece[1:][owner]
-    first, last = at[whole], bounds[stop[whole]]
+    begin = np.searchsorted(bounds, bounds[1:] - min_words, side="right") - 1
+    begin = np.minimum(begin, index + 1 - min_pieces)
+    fits = begin >= first_piece[:-1][owner]
+    # A run that is the shortest from both sides is taken once.
+    fits[fits] &= stop[begin[fits]] != index[fits] + 1
+    run_first = np.concatenate([index[whole], begin[fits]])
+    run_stop = np.concatenate([stop[whole], index[fits] + 1])
+    owner, first, last = owner[run_first], at[run_first], bounds[run_stop]
     total = np.concatenate([np.zeros(1, tx.U64), np.cumsum(h * _powers(_ODD, n))])
     run = tx.mix((total[last] - total[first]) * _powers(_ODD_INVERSE, n)[first])
     run = tx.mix(run ^ (last - first).astype(tx.U64))
     chars = tx.char_offsets(data)
-    base = chars[offsets[:-1]][owner[whole]]
-    return owner[whole], run.view(np.int64), chars[starts[first]] - base, chars[ends[last - 1]] - base
+    base = chars[offsets[:-1]][owner]
+    return owner, run.view(np.int64), chars[starts[first]] - base, chars[ends[last - 1]] - base
 
 
 def occurrences(
