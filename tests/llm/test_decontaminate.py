@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
@@ -113,3 +114,20 @@ def test_index_misses_nothing_within_the_radius():
         flip = np.uint64(sum(1 << int(b) for b in bits))
         windows, entries = index.look_up(width, own["prints"][:1] ^ flip)
         assert 0 in entries[windows == 0]
+
+
+def test_a_worker_that_moves_between_parts_uses_the_index_of_each():
+    class Held:
+        def __init__(self, data):
+            self.value = pickle.loads(data)
+
+    old, new = (pickle.dumps([(n, " ".join(made(n, 40)))]) for n in (1, 2))
+    held = Held(old)
+    assert [item.item_id for item in dc._index_of(held).items] == [1]
+    address = id(held.value)
+    del held
+    others = []
+    while len(others) < 2000 and id((other := Held(new)).value) != address:
+        others.append(other)
+    assert [item.item_id for item in dc._index_of(other).items] == [2]
+    assert dc._index_of(other) is dc._index_of(other)

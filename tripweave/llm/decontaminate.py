@@ -268,13 +268,13 @@ def contaminated(
     return hits.groupBy("doc_id", "item_id").agg(most.alias("m")).select("doc_id", "item_id", "m.*")
 
 
-_indexes: dict[int, Index] = {}
+_indexes: list[tuple[list, Index]] = []
 
 
 def _index_of(held) -> Index:
-    """The index of a broadcast part, built once per worker."""
-    key = id(held.value)
-    if key not in _indexes:
-        _indexes.clear()
-        _indexes[key] = build_index(held.value)
-    return _indexes[key]
+    """The index of a broadcast part, built once per worker. The part is kept beside it:
+    Spark may drop its own reference, and another part may then get the same address."""
+    items = held.value
+    if not _indexes or _indexes[0][0] is not items:
+        _indexes[:] = [(items, build_index(items))]
+    return _indexes[0][1]
