@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from __spark_entry__ import queries
@@ -124,10 +125,38 @@ def test_a_worker_that_moves_between_parts_uses_the_index_of_each():
     old, new = (pickle.dumps([(n, " ".join(made(n, 40)))]) for n in (1, 2))
     held = Held(old)
     assert [item.item_id for item in dc._index_of(held).items] == [1]
-    address = id(held.value)
+    address, others = id(held.value), []
     del held
-    others = []
     while len(others) < 2000 and id((other := Held(new)).value) != address:
         others.append(other)
     assert [item.item_id for item in dc._index_of(other).items] == [2]
     assert dc._index_of(other) is dc._index_of(other)
+
+
+def test_items_that_a_text_cuts_off_are_found():
+    rng = random.Random(11)
+    for trial in range(60):
+        n = rng.choice([23, 47, 60, 90, 1400])
+        item = [f"w{trial}x{rng.randrange(10**6):06x}" for _ in range(n)]
+        index = dc.build_index([(7, " ".join(item))])
+        m = n * 87 // 100 + 1
+        foreign = [f"f{trial}x{rng.randrange(10**6):06x}" for _ in range(150)]
+        texts = {
+            "ends in it": foreign + item[:m],
+            "begins in it": item[n - m :] + foreign,
+            "its beginning": item[:m],
+            "its ending": item[n - m :],
+            "its middle": item[(n - m) // 2 : (n - m) // 2 + m],
+        }
+        column = pa.array([" ".join(t) for t in texts.values()] + [" ".join(foreign)])
+        got = {text: score for text, _, score, _, _ in dc.search(index, column, 0.8)}
+        assert set(got) == set(range(len(texts))), (trial, n, got)
+        assert all(score == pytest.approx((m - 4) / (n - 4), abs=0.06) for score in got.values())
+
+
+def test_the_reviewed_cases_of_cut_off_items():
+    item = [f"w{i:04d}" for i in range(47)]
+    index = dc.build_index([(7, " ".join(item))])
+    texts = [[f"f{i}" for i in range(99)] + item[:41], item[:40]]
+    got = dc.search(index, pa.array([" ".join(t) for t in texts]), 0.8)
+    assert [round(score, 2) for _, _, score, _, _ in got] == [0.86, 0.84]

@@ -11,6 +11,11 @@ become candidates, and each is verified on words: the item is compared with ever
 stretch of its own length around the window, by the exact weighted Jaccard similarity of
 their five-word shingles (weight: the bytes of the shingle's words, times its count).
 
+A text may begin or end within an item. Every part of an item that is similar enough to
+the whole holds the item's *core*, the words from the beginning of its shortest similar
+ending to the end of its shortest similar beginning, so the core has a fingerprint too;
+a stretch that reaches over an end of the text is compared as far as the text goes.
+
 A document's windows are made and looked up in one pass where its text is read; no
 window is shuffled. Benchmark items are few but their number is not assumed: they are
 dealt into parts of at most ``PART`` items, each small enough to be sent to every task,
@@ -132,13 +137,31 @@ class Index:
 def _window_sizes(n_words: int) -> int:
     """The largest window of the fixed grid that leaves out a ninth of the item at least,
     so that the first or the last words of an item are free of an edit near an end."""
+    return _grid(n_words * 8 // 9)
+
+
+def _grid(n_words: int) -> int:
+    """The largest window of the fixed grid that is no longer than so many words."""
     size = 1
-    while (following := max(size + 1, int(size * RATIO))) <= min(n_words * 8 // 9, WIDEST):
+    while (following := max(size + 1, int(size * RATIO))) <= min(n_words, WIDEST):
         size = following
     return size
 
 
-def build_index(items: list[tuple[int, str | None]]) -> Index:
+def _core(weights: np.ndarray, similarity: float) -> tuple[int, int]:
+    """The words of an item that every similar enough part of it holds; all of them if
+    there is no such part, none if two parts need not meet."""
+    n = len(weights)
+    if n <= SHINGLE:
+        return 0, n
+    sums = np.cumsum(np.convolve(weights.astype(np.int64), np.ones(SHINGLE, np.int64), "valid"))
+    least = similarity * sums[-1] * (1 - 1e-9)
+    end = int(np.searchsorted(sums, least))
+    first = int(np.searchsorted(sums, sums[-1] - least, side="right"))
+    return first, end + SHINGLE if first <= end else first
+
+
+def build_index(items: list[tuple[int, str | None]], similarity: float = 0.8) -> Index:
     data, offsets = tx.utf8(pa.array([t for _, t in items], pa.string()))
     starts, ends, firsts = tx.words(data, offsets)
     h, weights = tx.hash_spans(tx.LOWER[data], starts, ends), _weights(starts, ends)
@@ -150,9 +173,15 @@ def build_index(items: list[tuple[int, str | None]]) -> Index:
         own = _shingle_weights(h[a:b], weights[a:b])
         index.items.append(Item(item_id, int(b - a), own))
         width = _window_sizes(int(b - a))
-        prints = fingerprints(_bit_sums(h[a:b], weights[a:b]), width)
-        for shift in {0, int(b - a) - width}:
-            by_width.setdefault(width, []).append((int(prints[shift]), len(index.items) - 1, shift))
+        places = {(width, 0), (width, int(b - a) - width)}
+        low, high = _core(weights[a:b], similarity)
+        if low < high and (low, high) != (0, int(b - a)):
+            width = _grid(high - low)
+            places.add((width, low + (high - low - width) // 2))
+        sums = _bit_sums(h[a:b], weights[a:b])
+        for width, shift in sorted(places):
+            own = fingerprints(sums[shift : shift + width + 1], width)
+            by_width.setdefault(width, []).append((int(own[0]), len(index.items) - 1, shift))
     flips = np.array([0, *(1 << i for i in range(16))], np.int64)
     for width, entries in by_width.items():
         prints = np.array([e[0] for e in entries], np.uint64)
@@ -192,7 +221,7 @@ def search(index: Index, column: pa.Array, similarity: float):
         return []
     h, weights = tx.hash_spans(tx.LOWER[data], starts, ends), _weights(starts, ends)
     best: dict[tuple[int, int], tuple] = {}
-    seen: set[tuple[int, int]] = set()
+    seen: set[tuple[int, int, int]] = set()
     for width, windows, entries in _near(index, h, weights):
         own = index.widths[width]
         texts = np.searchsorted(firsts, windows, side="right") - 1
@@ -204,12 +233,15 @@ def search(index: Index, column: pa.Array, similarity: float):
             item = index.items[number]
             low, high = int(firsts[text]), int(firsts[text + 1])
             begin = window - int(own["shift"][entry])
+            stretches = set()
             for a in range(begin - 2, begin + 3):
-                a = min(max(a, low), max(low, high - item.n_words))
-                if (number, a) in seen:
+                whole = min(max(a, low), max(low, high - item.n_words))
+                stretches.add((whole, min(high, whole + item.n_words)))
+                stretches.add((max(a, low), min(high, a + item.n_words)))
+            for a, b in sorted(stretches):
+                if a >= b or (number, a, b) in seen:
                     continue
-                seen.add((number, a))
-                b = min(high, a + item.n_words)
+                seen.add((number, a, b))
                 found = weighted_jaccard(_shingle_weights(h[a:b], weights[a:b]), item.shingles)
                 if found >= similarity and found > best.get((text, number), (0,))[0]:
                     best[text, number] = (found, a, b)
@@ -248,7 +280,7 @@ def contaminated(
         held = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in table])
 
         def work(batch):
-            found = search(_index_of(held), batch.column(1), similarity)
+            found = search(_index_of(held, similarity), batch.column(1), similarity)
             if not found:
                 return None
             text, item, score, start, end = zip(*found)
@@ -268,13 +300,13 @@ def contaminated(
     return hits.groupBy("doc_id", "item_id").agg(most.alias("m")).select("doc_id", "item_id", "m.*")
 
 
-_indexes: list[tuple[list, Index]] = []
+_indexes: list[tuple[list, float, Index]] = []
 
 
-def _index_of(held) -> Index:
+def _index_of(held, similarity: float = 0.8) -> Index:
     """The index of a broadcast part, built once per worker. The part is kept beside it:
     Spark may drop its own reference, and another part may then get the same address."""
     items = held.value
-    if not _indexes or _indexes[0][0] is not items:
-        _indexes[:] = [(items, build_index(items))]
-    return _indexes[0][1]
+    if not _indexes or _indexes[0][0] is not items or _indexes[0][1] != similarity:
+        _indexes[:] = [(items, similarity, build_index(items, similarity))]
+    return _indexes[0][2]
