@@ -152,3 +152,17 @@ def test_components_of_long_chains_and_stars(spark):
     real = [(a, b) for a, b in links if a is not None and a != b]
     assert {r.node: r.component for r in got.collect()} == roots({x for l in real for x in l}, real)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_no_bucket_goes_through_a_window(spark, docs_of):
+    """A group of equal texts is not gathered in one task for each of its keys."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(i, text) for i in range(40)] + [(90, text + " more"), (91, "something else here")]
+    got = {r.doc_id: r.component_id for r in jj.jaccard_components(docs_of(*rows)).collect()}
+    assert got == dict.fromkeys([*range(40), 90], 0) | {91: 91}
+    runs = store.executionsList(int(before), 1000)
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    assert any("SortMergeJoin" in p for p in plans)
+    assert not any("Window" in p for p in plans)

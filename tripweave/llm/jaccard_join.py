@@ -35,7 +35,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm import text as tx
@@ -391,15 +391,20 @@ def jaccard_components(
         "classes",
     )
     # Copies share all their keys, so the smallest id of a bucket is always that of a
-    # class. Copies go once their buckets are known, by a join of narrow rows.
-    bucket = Window.partitionBy("key").orderBy("id")
-    shared = (
+    # class. Buckets are found by partial counts and joined back, as a hot key that a
+    # join meets can be split over tasks; copies go there, by a join of narrow rows.
+    buckets = (
         _keys(texts, k, percent)
-        .withColumns({"pivot": F.first("id").over(bucket), "next": F.lead("id").over(bucket)})
-        .filter("id <> pivot or next <> id")
-        .select("key", "id", "pivot")
+        .groupBy("key")
+        .agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
+        .filter("pivot <> last")
+        .select("key", "pivot")
+    )
+    buckets = land(buckets, "buckets")
+    shared = _keys(texts, k, percent).join(buckets.hint("merge"), "key")
+    met = land(
+        shared.join(classes.select("id"), "id", "left_semi").select("key", "id", "pivot"), "met"
     )
-    met = land(shared.join(classes.select("id"), "id", "left_semi"), "met")
     involved = met.select("id").distinct()
     # The ids grow with the corpus, so they are not to be broadcast at any size. This is
     # the only time that texts meet them; what follows reads the written part.
