@@ -72,3 +72,10 @@ def test_descent_separates_and_reaches_the_margin():
 def test_one_class_gives_the_prior():
     model = quality.fit([np.array([1, 2]), np.array([3])], np.array([1, 1]))
     assert model.score(np.array([1])) == model.score(np.zeros(0, int)) > 0.7
+
+
+def test_features_of_a_text_do_not_depend_on_the_rows_around_it():
+    texts = ["a b c d", "d d e f g", "", "g", "g h g i", "i g h g i", "i g h g i"]
+    together = [sorted(s.tolist()) for s in quality.Features().of(pa.array(texts))]
+    alone = [sorted(next(quality.Features().of(pa.array([t]))).tolist()) for t in texts]
+    assert together == alone

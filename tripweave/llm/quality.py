@@ -49,9 +49,10 @@ class Features:
         starts, ends, firsts = tx.words(data, offsets)
         h = tx.hash_spans(tx.LOWER[data], starts, ends)
         grams = [(self._slot(h, 1), firsts, 1), (self._slot(tx.combine(h, 2), 2), firsts, 2)]
+        place = np.arange(len(h)) - np.repeat(firsts[:-1], np.diff(firsts))
         again = np.zeros(len(h), tx.U64)
-        again[1:] += h[1:] == h[:-1]
-        again[2:] += tx.U64(2) * (h[2:] == h[:-2])
+        again[1:] += (h[1:] == h[:-1]) & (place[1:] > 0)
+        again[2:] += tx.U64(2) * ((h[2:] == h[:-2]) & (place[2:] > 1))
         grams.append((self._slot(tx.combine(again, 3), 3), firsts, 3))
         code = data.astype(np.uint32)
         for n in (2, 3, 4):
