@@ -1,9 +1,8 @@
-"""One local session for all tests, and literal trips to test rules on."""
+"""One local session for all tests, and tables of literal rows."""
 
 from __future__ import annotations
 
 import sys
-from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -12,10 +11,10 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
+from support import trip  # noqa: E402
 from tripweave.sources.schemas import TRIPS, ZONES  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
-NOON = datetime(2024, 1, 17, 12, 0, 0)
 
 
 @pytest.fixture(scope="session")
@@ -41,34 +40,6 @@ def sf_dir():
     return SF_DIR
 
 
-def trip(**changes) -> dict:
-    """A valid ten-minute card trip of two miles; ``minutes`` sets the dropoff."""
-    minutes = changes.pop("minutes", 10)
-    row = {
-        "VendorID": 1,
-        "tpep_pickup_datetime": NOON,
-        "passenger_count": 1,
-        "trip_distance": 2.0,
-        "RatecodeID": 1,
-        "store_and_fwd_flag": "N",
-        "PULocationID": 1,
-        "DOLocationID": 2,
-        "payment_type": 1,
-        "fare_amount": 10.0,
-        "extra": 0.0,
-        "mta_tax": 0.5,
-        "tip_amount": 2.0,
-        "tolls_amount": 0.0,
-        "improvement_surcharge": 1.0,
-        "total_amount": 15.0,
-        "congestion_surcharge": 2.5,
-        "Airport_fee": 0.0,
-    } | changes
-    if "tpep_dropoff_datetime" not in row:
-        row["tpep_dropoff_datetime"] = row["tpep_pickup_datetime"] + timedelta(minutes=minutes)
-    return row
-
-
 @pytest.fixture
 def trips_of(spark):
     """Literal raw trips, one keyword dict each."""

@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import NOON
+from support import NOON
 from tripweave.functions.columns import band_order, banded, bucket_of, bucket_start
 from tripweave.functions.labels import ENGLISH, FRENCH, Bands
 from tripweave.operators.cleaning import clean, clean_report, plausible, prepare

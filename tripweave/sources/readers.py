@@ -65,13 +65,18 @@ def _read(
     optional: Collection[str],
 ) -> DataFrame:
     found = spark.read.parquet(path)
-    there = {name.lower() for name in found.columns}
-    lacking = [f for f in (schema or needed).fields if f.name.lower() not in there]
+    own = {f.name.lower(): f for f in found.schema.fields}
+    lacking = [f for f in (schema or needed).fields if f.name.lower() not in own]
     if missing := [f.name for f in lacking if f.name not in optional]:
         raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
     if schema is None:
         return found.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
-    return spark.read.schema(schema).parquet(path)
+    # Files of exactly these types serve the very frame that was inspected, so they are
+    # listed once and one footer is read; others are read again in the declared types.
+    if any(own[f.name.lower()].dataType != f.dataType for f in schema.fields if f not in lacking):
+        return spark.read.schema(schema).parquet(path)
+    nulls = {f.name: F.lit(None).cast(f.dataType) for f in lacking}
+    return found.withColumns(nulls).select(*(F.col(f.name).alias(f.name) for f in schema.fields))
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
