@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tripweave.llm import (
     bpe,
+    codebooks,
     decontaminate,
     maxscore,
     oracle,
@@ -22,6 +23,7 @@ from tripweave.llm import (
     wavelet,
 )
 from tripweave.llm.jaccard_join import jaccard_components
+from tripweave.llm.runtime import land
 from tripweave.sources.writers import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -104,6 +106,13 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_value_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codebooks.compressed(_table(spark, sf_dir, "embeddings"))
+    whole = codebooks.label_errors(land(coded, "codes")).drop("label")
+    sha = F.lit(None if books is None else codebooks.digest(books)).cast("string")
+    return whole.withColumn("codebooks_sha256", sha)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nbsvm_quality": op1_nbsvm_quality,
     "op2_simhash_decontamination": op2_simhash_decontamination,
@@ -115,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_normaliser": op8_warc_normaliser,
     "op9_bpe_tree": op9_bpe_tree,
     "op10_sentence_spans": op10_sentence_spans,
+    "op13_value_dictionaries": op13_value_dictionaries,
     "pipeline": corpus_pipeline.run,
 }
 
