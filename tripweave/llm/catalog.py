@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tripweave.llm import (
+    alignment,
     bpe,
     codebooks,
     decontaminate,
@@ -28,6 +29,7 @@ from tripweave.sources.writers import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+PAIR = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,6 +108,11 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.scored(alignment.summaries(docs, *map(public_tokenizers.path, PAIR)))
+
+
 def op13_value_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = codebooks.compressed(_table(spark, sf_dir, "embeddings"))
     whole = codebooks.label_errors(land(coded, "codes")).drop("label")
@@ -124,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_normaliser": op8_warc_normaliser,
     "op9_bpe_tree": op9_bpe_tree,
     "op10_sentence_spans": op10_sentence_spans,
+    "op12_lockstep_alignment": op12_lockstep_alignment,
     "op13_value_dictionaries": op13_value_dictionaries,
     "pipeline": corpus_pipeline.run,
 }

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,7 +52,7 @@ def partitions(spark: SparkSession) -> int:
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts hold about ``SLICE_BYTES`` together;
     a longer text is a run of its own."""
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy()
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy()
     first = total = 0
     for row, size in enumerate(sizes.tolist()):
         if row > first and total + size > SLICE_BYTES:
