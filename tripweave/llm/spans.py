@@ -1,16 +1,18 @@
 """Substring deduplication by sliding spans of sentences.
 
-A text is cut after ``. ! ? , ; :`` at the end of a word, at line breaks, and after the
-word of the smallest hash (all of them, if several are equal) of every ``GAP`` consecutive
-words, so no piece is longer. The shortest run of at least ``min_pieces`` pieces and
-``min_words`` words that starts at a piece, and the shortest one that ends at it, are
-hashed (case aside) for every piece. Within a passage the cuts between its first and its
-last whole stretch of ``GAP`` words depend on the passage alone, so it gives equal runs
-wherever it stands: one of ``min_words + 2 * GAP - 1`` words or more is always found,
-and all of it but ``GAP`` words at its start and ``GAP - 1`` at its end at most. A run is
-*repeated* if it occurs more than once in all documents. Of a repeated run the
-occurrence with the smallest (id, position) is kept; pieces covered by any other
-occurrence are removed.
+Sentences end after ``. ! ?`` at the end of a word and at line breaks. A sentence of more
+than ``LONG`` words is cut further, after the word of the smallest hash (all of them, if
+several are equal) of every ``GAP`` consecutive words, so that long passages without a
+full stop line up too wherever they stand. Runs are at least ``min_pieces`` such pieces
+and ``min_words`` words long. The shortest run that starts at a piece and the shortest one
+that ends at it are hashed (case aside) for every piece; together they cover whatever any
+longer run would, so removals are those of *every* run of that size or more. A run is
+*repeated* if it occurs more than once in all documents, by two independent hashes of 64
+bits, of its words and of its bytes. Of a repeated run the occurrence with the smallest
+(id, position) is kept; pieces covered by any other occurrence are removed.
+
+With the defaults a repeated passage of 51 words always holds a run, whatever surrounds it:
+at most 15 words at either end belong to a short sentence that begins or ends outside.
 
 Runs are counted before anything is joined, so that only repeated ones travel with
 their places, and a passage that a third of all documents share is folded by partial
@@ -33,12 +35,14 @@ from pyspark.sql import functions as F
 from tripweave.llm import text as tx
 from tripweave.llm.runtime import land, over_slices, ship
 
-#: Words of which one at least ends a piece.
-GAP = 5
+#: Words of a sentence that is not cut further.
+LONG = 16
+#: Consecutive words of a longer sentence of which one at least ends a piece.
+GAP = 8
 _CUTS = np.zeros(256, dtype=bool)
-_CUTS[[ord(c) for c in ".!?,;:"]] = True
+_CUTS[[ord(c) for c in ".!?"]] = True
 _ODD = 0x9E3779B97F4A7C15
-_ODD_INVERSE = pow(_ODD, -1, 1 << 64)
+_OTHER = 0xC2B2AE3D27D4EB4F
 
 
 def _pieces(
@@ -46,12 +50,15 @@ def _pieces(
 ) -> tuple[np.ndarray, np.ndarray]:
     """The first word of each piece, and the offset of each text's first piece."""
     n = len(starts)
-    cut = _CUTS[data[ends - 1]] | _least(h, firsts)
     lines = np.concatenate([[0], np.cumsum(data == 10)])
     begins = np.zeros(n + 1, dtype=bool)
-    begins[1:] = cut
+    begins[1:] = _CUTS[data[ends - 1]]
     begins[1:n] |= lines[starts[1:]] > lines[ends[:-1]]
     begins[firsts] = True
+    sentences = np.flatnonzero(begins)
+    size = np.diff(np.append(sentences, n)) if sentences[-1] < n else np.diff(sentences)
+    long = np.repeat(size > LONG, size)
+    begins[1:] |= _least(h, firsts) & long
     at = np.flatnonzero(begins[:n])
     return at, np.searchsorted(at, firsts)
 
@@ -80,13 +87,21 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def _rolled(values: np.ndarray, base: int, first: np.ndarray, last: np.ndarray, length: np.ndarray):
+    """A hash of each of the value runs [first, last) that does not depend on their place."""
+    total = np.concatenate([np.zeros(1, tx.U64), np.cumsum(values * _powers(base, len(values)))])
+    own = (total[last] - total[first]) * _powers(pow(base, -1, 1 << 64), len(values) + 1)[first]
+    return tx.mix(tx.mix(own) ^ length.astype(tx.U64)).view(np.int64)
+
+
 def _runs(column: pa.Array, min_pieces: int, min_words: int):
-    """Text number, hash, start and end character of every run of a batch."""
+    """Text number, both hashes, start and end character of every run of a batch."""
     data, offsets = tx.utf8(column)
     starts, ends, firsts = tx.words(data, offsets)
     if not len(starts):
         return None
-    h = tx.hash_spans(tx.LOWER[data], starts, ends)
+    lower = tx.LOWER[data]
+    h = tx.hash_spans(lower, starts, ends)
     at, first_piece = _pieces(data, starts, ends, firsts, h)
     n = len(starts)
     bounds = np.append(at, n)
@@ -103,34 +118,37 @@ def _runs(column: pa.Array, min_pieces: int, min_words: int):
     run_first = np.concatenate([index[whole], begin[fits]])
     run_stop = np.concatenate([stop[whole], index[fits] + 1])
     owner, first, last = owner[run_first], at[run_first], bounds[run_stop]
-    total = np.concatenate([np.zeros(1, tx.U64), np.cumsum(h * _powers(_ODD, n))])
-    run = tx.mix((total[last] - total[first]) * _powers(_ODD_INVERSE, n)[first])
-    run = tx.mix(run ^ (last - first).astype(tx.U64))
+    run = _rolled(h, _ODD, first, last, last - first)
+    # The second hash is of the bytes of the words, without what stands between them.
+    in_words = tx.WORD_BYTES[data]
+    before = np.concatenate([[0], np.cumsum(in_words)])
+    low, high = before[starts[first]], before[ends[last - 1]]
+    proof = _rolled(lower[in_words].astype(tx.U64) + tx.U64(1), _OTHER, low, high, high - low)
     chars = tx.char_offsets(data)
     base = chars[offsets[:-1]][owner]
-    return owner, run.view(np.int64), chars[starts[first]] - base, chars[ends[last - 1]] - base
+    return owner, run, proof, chars[starts[first]] - base, chars[ends[last - 1]] - base
 
 
 def occurrences(
     docs: DataFrame, id_col: str, text_col: str, min_pieces: int, min_words: int
 ) -> DataFrame:
-    """(run, doc_id, start, end): every run with its place in code points."""
+    """(run, proof, doc_id, start, end): every run with its place in code points."""
     ship(docs.sparkSession)
 
     def work(batch):
         found = _runs(batch.column(1), min_pieces, min_words)
         if found is None:
             return None
-        owner, run, start, end = found
+        owner, run, proof, start, end = found
         ids = batch.column(0).take(pa.array(owner))
+        places = [pa.array(start, pa.int32()), pa.array(end, pa.int32())]
         return pa.RecordBatch.from_arrays(
-            [pa.array(run), ids, pa.array(start, pa.int32()), pa.array(end, pa.int32())],
-            ["run", "doc_id", "start", "end"],
+            [pa.array(run), pa.array(proof), ids, *places], ["run", "proof", "doc_id", "start", "end"]
         )
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     rows = rows.filter(F.col(id_col).isNotNull())
-    return rows.mapInArrow(over_slices(work, 1), "run long, doc_id long, start int, end int")
+    return rows.mapInArrow(over_slices(work, 1), "run long, proof long, doc_id long, start int, end int")
 
 
 def repeated_spans(
@@ -138,20 +156,21 @@ def repeated_spans(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_pieces: int = 2,
-    min_words: int = 25,
+    min_words: int = 20,
 ) -> DataFrame:
     """doc_id, spans (sorted, merged ranges of code points to remove, end exclusive) and
     first_doc_ids (where they stand first), for every document that loses some."""
     places = occurrences(docs, id_col, text_col, min_pieces, min_words)
     # Written before they are joined: a join of two plain tables can split a hot run,
     # one that an aggregation feeds in the same stage cannot.
-    repeated = land(places.groupBy("run").count().filter("count > 1").select("run"), "repeated")
-    repeats = land(places.join(repeated, "run"), "repeats")
+    key = ["run", "proof"]
+    repeated = land(places.groupBy(key).count().filter("count > 1").select(key), "repeated")
+    repeats = land(places.join(repeated, key), "repeats")
     firsts = land(
-        repeats.groupBy("run").agg(F.min(F.struct("doc_id", "start")).alias("first")), "firsts"
+        repeats.groupBy(key).agg(F.min(F.struct("doc_id", "start")).alias("first")), "firsts"
     )
     later = (
-        repeats.join(firsts, "run")
+        repeats.join(firsts, key)
         .filter(F.struct("doc_id", "start") != F.col("first"))
         .select("doc_id", "start", "end", F.col("first.doc_id").alias("first_doc_id"))
         .distinct()
