@@ -20,6 +20,7 @@ from tripweave.llm import (
     secrets,
     sharding,
     spans,
+    toxicity,
     warc,
     wavelet,
 )
@@ -108,6 +109,11 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.scored(docs.select("doc_id", "text"), labels).drop("text")
+
+
 def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return alignment.scored(alignment.summaries(docs, *map(public_tokenizers.path, PAIR)))
@@ -131,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_normaliser": op8_warc_normaliser,
     "op9_bpe_tree": op9_bpe_tree,
     "op10_sentence_spans": op10_sentence_spans,
+    "op11_cnn_toxicity": op11_cnn_toxicity,
     "op12_lockstep_alignment": op12_lockstep_alignment,
     "op13_value_dictionaries": op13_value_dictionaries,
     "pipeline": corpus_pipeline.run,
