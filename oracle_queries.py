@@ -6,6 +6,8 @@ code, so that a mistake in one does not hide in the other.
 
 from __future__ import annotations
 
+import oracle_further
+
 
 def r(value: str, digits: int = 6) -> str:
     """Settle a double at fixed digits, halves always upwards."""
@@ -722,4 +724,4 @@ ORACLE: dict[str, str] = {
     name: f"{TRIPS}{extra}\n{body}"
     for extra, bodies in (("", PLAIN), (SHARING, SHARED), (ANOMALIES, SCORED))
     for name, body in bodies.items()
-}
+} | oracle_further.queries(TRIPS, SHARING, r, FEATURES.split())

@@ -86,20 +86,21 @@ def time_buckets(short_trips: DataFrame, minutes: int = L.BUCKET_MINUTES) -> Dat
 
 def trip_groups(short_trips: DataFrame, minutes: int = L.BUCKET_MINUTES) -> DataFrame:
     """Trips folded by bucket, origin and destination, single trips included."""
+    return time_buckets(short_trips, minutes).groupBy(*GROUP_KEYS).agg(*measures())
+
+
+def measures() -> list[Column]:
+    """What is kept of a group of trips."""
     pickup = F.col("tpep_pickup_datetime")
-    return (
-        time_buckets(short_trips, minutes)
-        .groupBy(*GROUP_KEYS)
-        .agg(
-            rows().alias("n_trips"),
-            F.avg("trip_distance_km").alias("avg_km"),
-            F.avg("fare_amount").alias("avg_fare"),
-            F.avg("trip_duration_minutes").alias("avg_minutes"),
-            F.sum("passenger_count").alias("total_passengers"),
-            F.min(pickup).alias("first_pickup"),
-            F.max(pickup).alias("last_pickup"),
-        )
-    )
+    return [
+        rows().alias("n_trips"),
+        F.avg("trip_distance_km").alias("avg_km"),
+        F.avg("fare_amount").alias("avg_fare"),
+        F.avg("trip_duration_minutes").alias("avg_minutes"),
+        F.sum("passenger_count").alias("total_passengers"),
+        F.min(pickup).alias("first_pickup"),
+        F.max(pickup).alias("last_pickup"),
+    ]
 
 
 def shareable(groups: DataFrame, at_least: int = L.MIN_GROUP) -> DataFrame:

@@ -21,7 +21,7 @@ from tripweave.operators import (
 )
 from tripweave.operators.enrichment import enrich
 from tripweave.operators.grouping import describe
-from tripweave.plans import batch, charts
+from tripweave.plans import batch, charts, further
 from tripweave.plans.reports import REPORTS, fold, report, report_from_totals, time_part
 from tripweave.sources import driver_tables, readers, writers
 
@@ -48,6 +48,10 @@ class Tables:
     def zones(self) -> DataFrame:
         return driver_tables.zones(self.spark, self.sf_dir)
 
+    @property
+    def events(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
+
     @property
     def all_groups(self) -> DataFrame:
         return sharing.trip_groups(sharing.candidates(self.trips))
@@ -125,7 +129,7 @@ ROW_LEVEL: dict[str, Callable[[Tables], DataFrame]] = {
     "share_time_buckets": lambda t: sharing.time_buckets(sharing.candidates(t.trips)),
     "categorized_trips": lambda t: segments.categorize(t.trips),
     "efficiency_trips": lambda t: segments.efficiency(t.trips),
-}
+} | further.ROW_LEVEL
 
 # Aggregated or scored results: doubles are settled to fixed digits before comparison.
 AGGREGATED: dict[str, Callable[[Tables], DataFrame]] = {
@@ -198,7 +202,7 @@ AGGREGATED: dict[str, Callable[[Tables], DataFrame]] = {
         lambda t: charts.top15_zones(zones.top_zones(t.trips, t.zones, "pickup"))
     ),
     "export_sample_data": _exported(lambda t: readers.sample_export(t.trips, 0.01)),
-} | {name: (lambda t, name=name: report(t.trips, name)) for name in REPORTS}
+} | {name: (lambda t, name=name: report(t.trips, name)) for name in REPORTS} | further.AGGREGATED
 
 # Totals over many trips are settled to cents, means, ratios and figures of a single
 # group of trips to six digits.

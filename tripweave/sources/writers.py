@@ -45,6 +45,15 @@ def shared_folder(spark: SparkSession) -> str:
     return path
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Written to a folder of its own in the shared place and read back, so that later steps
+    neither compute it again nor depend on an executor that may be lost."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def listing(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
     """Name, size and time of every file at a path, to notice that a table has changed."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
