@@ -11,6 +11,10 @@ leave the vector. A document enters as one lane per ``LANE`` bytes, since the to
 at a byte follow from the byte alone, so the number of steps has a bound and a very long
 text does not run on by itself.
 
+Neither tokenizer joins anything across a space that follows a sign other than white space,
+so texts are cut there and every distinct piece is encoded once per worker, in a table of
+bounded size; a B vocabulary with pieces that hold such a space is given whole texts.
+
 Counts of id pairs over all documents are folded per task, then by Spark. The ``COMMON``
 most frequent pairs (a bounded table) are sent to the tasks, which settle most links where
 they are; the links of all other pairs meet their counts in a join. So a pair that stands in
@@ -26,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,9 +43,16 @@ from tripweave.llm.runtime import land, over_slices, ship
 
 LANE = 1024
 COMMON = 1 << 18
-#: Characters handed to a tokenizer at a time, and entries folded at a time.
-CHUNK = 1 << 18
+#: Bytes of text that are aligned at a time.
+SLICE = 1 << 20
+#: Characters handed to a tokenizer at a time, unless one piece has more.
+CHUNK = 1 << 16
+#: Entries that a task folds at a time.
 FOLD = 1 << 21
+#: Characters of pieces that a worker's table holds before it starts anew.
+TABLE = 1 << 22
+#: Where a piece is not cut off: a space that follows white space, in anyone's view of it.
+_SPACES = re.compile("[\\s\u0085\u180e\u200b\ufeff] ")
 
 SUMMARY = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, "
@@ -84,27 +96,120 @@ class Tokenizers:
             raw = bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else None
             self.b_bytes[i] = piece.replace("▁", " ").encode() if raw is None else raw
         self.a_sizes, self.b_sizes = _sizes(self.a_bytes), _sizes(self.b_bytes)
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a, b, first = [], [], 0
-        while first < len(texts):
+        pieces = (self.b.id_to_piece(i) for i in range(self.b.get_piece_size()))
+        self.cut = not any("▁" in piece.lstrip("▁") for piece in pieces)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.table: dict[str, int] = {}
+        self.held = 0
+        self.flat = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        self.ends = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.whole = np.zeros(0, bool)
+        self.total = [0, 0]
+        self._start()
+
+    def _start(self) -> None:
+        """What is encoded next waits in lists, to be added to the arrays at once."""
+        self.new_whole: list[bool] = []
+        self.new_ids: list[list[np.ndarray]] = [[], []]
+        self.new_ends: list[list[np.ndarray]] = [[], []]
+
+    def _pieces(self, text: str) -> list[str]:
+        """The text's pieces without the one space that each begins with."""
+        if not self.cut:
+            return [text]
+        parts = text.split(" ")
+        if not _SPACES.search(" " + text):
+            return parts
+        out = [parts[0]]
+        for part in parts[1:]:
+            if _SPACES.search((out[-1][-1:] or " ") + " "):
+                out[-1] += " " + part
+            else:
+                out.append(part)
+        return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Pieces that may stand side by side are encoded as one text and cut apart again."""
+        plain = [p for p in pieces if self.cut and p and "▁" not in p and not _SPACES.search(p[-1] + " ")]
+        odd = sorted(set(pieces).difference(plain))
+        first = 0
+        while first < len(plain):
             last, size = first, 0
-            while last < len(texts) and (last == first or size + len(texts[last]) <= CHUNK):
-                size += len(texts[last])
+            while last < len(plain) and (last == first or size + len(plain[last]) <= CHUNK):
+                size += len(plain[last])
                 last += 1
-            some = texts[first:last]
-            encoded = self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)
-            a += [e.ids for e in encoded]
-            b += self.b.encode(some, num_threads=1)
+            if not self._add(plain[first:last]):
+                odd += plain[first:last]
             first = last
-        return a, b
-
-    def whole(self, text: str, a: list[int], b: list[int]) -> bool:
-        raw = b" " + text.encode()
-        return (
-            b"".join([self.a_bytes[i] for i in a]) == raw
-            and b"".join([self.b_bytes[i] for i in b]) == raw
-        )
+        for piece in odd:
+            self._add([piece], always=True)
+        self.whole = np.append(self.whole, self.new_whole)
+        for side in (0, 1):
+            self.flat[side] = np.concatenate([self.flat[side], *self.new_ids[side]])
+            self.ends[side] = np.concatenate([self.ends[side], *self.new_ends[side]])
+        self._start()
+
+    def _add(self, pieces: list[str], always: bool = False) -> bool:
+        """Encode neighbours and add them to the table, unless tokens do not give their bytes
+        back or reach across pieces; of ``always`` the one piece is then known as broken."""
+        text = " ".join(pieces)
+        raw = (" " + text).encode()
+        ends = np.cumsum([len(piece.encode()) + 1 for piece in pieces])
+        a_ids = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        # Nothing after its space: the sign for the space alone.
+        b_ids = self.b.encode(text, num_threads=1) or [self.b.piece_to_id("▁")]
+        found, whole = [], True
+        for ids, raws, sizes in ((a_ids, self.a_bytes, self.a_sizes), (b_ids, self.b_bytes, self.b_sizes)):
+            whole = whole and b"".join([raws[i] for i in ids]) == raw
+            ids = np.array(ids, np.int32)
+            reached = np.cumsum(sizes[ids])
+            if whole and len(pieces) > 1:
+                cuts = np.searchsorted(reached, ends)
+                whole = bool((reached[cuts] == ends).all())
+                found.append((ids, cuts + 1))
+            else:
+                found.append((ids, np.array([len(ids)])))
+        if not whole and not always:
+            return False
+        first = len(self.table)
+        self.table.update(zip(pieces, range(first, first + len(pieces))))
+        self.new_whole += [whole] * len(pieces)
+        self.held += len(text)
+        for side, (ids, cuts) in enumerate(found):
+            self.new_ids[side].append(ids)
+            self.new_ends[side].append(self.total[side] + cuts)
+            self.total[side] += len(ids)
+        return True
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of both sides the ids of all texts, and where each text's begin. A text that is
+        empty, or that either side does not give back, has none."""
+        if self.held > TABLE:
+            self._forget()
+        pieces: list[str] = []
+        bounds = [0]
+        for text in texts:
+            if text:
+                pieces += self._pieces(text)
+            bounds.append(len(pieces))
+        new = set(pieces) - self.table.keys()
+        if new:
+            self._learn(sorted(new))
+        at = np.fromiter(map(self.table.__getitem__, pieces), np.int64, len(pieces))
+        bounds = np.array(bounds)
+        broken = np.append(0, np.cumsum(~self.whole[at]))[bounds]
+        kept = np.repeat(np.diff(broken) == 0, np.diff(bounds))
+        before = np.append(0, np.cumsum(kept))[bounds]
+        at = at[kept]
+        out = []
+        for flat, ends in zip(self.flat, self.ends):
+            size = ends[at + 1] - ends[at]
+            total = np.append(0, np.cumsum(size))
+            place = np.repeat(ends[at] - total[:-1], size) + np.arange(total[-1])
+            out.append((flat[place].astype(np.int64), total[before]))
+        return out
 
 
 def _sizes(table: dict[int, bytes]) -> np.ndarray:
@@ -169,14 +274,7 @@ def lockstep(
 
 def align(tokenizers: Tokenizers, texts: list[str | None], lane: int = LANE) -> Aligned:
     """Texts without tokens take no place on the axis of bytes."""
-    a, b = tokenizers.encode([t or "" for t in texts])
-    for i, text in enumerate(texts):
-        if not text or not tokenizers.whole(text, a[i], b[i]):
-            a[i], b[i] = [], []
-    first_a = np.concatenate([[0], np.cumsum([len(ids) for ids in a])]).astype(np.int64)
-    first_b = np.concatenate([[0], np.cumsum([len(ids) for ids in b])]).astype(np.int64)
-    all_a = np.array([i for ids in a for i in ids], np.int64)
-    all_b = np.array([i for ids in b for i in ids], np.int64)
+    (all_a, first_a), (all_b, first_b) = tokenizers.encode(texts)
     ends_a, ends_b = np.cumsum(tokenizers.a_sizes[all_a]), np.cumsum(tokenizers.b_sizes[all_b])
     bounds = np.append(0, ends_a)[first_a]
     return Aligned(all_a, all_b, first_a, first_b, *lockstep(ends_a, ends_b, bounds, lane))
@@ -246,7 +344,7 @@ def alignments(
         names = [field.split()[0] for field in ARRAYS.split(", ")]
         return pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
-    return _rows(docs, id_col, text_col).mapInArrow(over_slices(work, 1), ARRAYS)
+    return _rows(docs, id_col, text_col).mapInArrow(over_slices(work, 1, SLICE), ARRAYS)
 
 
 def summaries(
@@ -281,7 +379,7 @@ def summaries(
         names = [field.split()[0] for field in SUMMARY.split(", ")]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    return _rows(docs, id_col, text_col).mapInArrow(over_slices(work, 1), SUMMARY)
+    return _rows(docs, id_col, text_col).mapInArrow(over_slices(work, 1, SLICE), SUMMARY)
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

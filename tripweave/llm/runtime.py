@@ -49,13 +49,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts hold about ``SLICE_BYTES`` together;
+def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts hold about ``most`` bytes together;
     a longer text is a run of its own."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy()
     first = total = 0
     for row, size in enumerate(sizes.tolist()):
-        if row > first and total + size > SLICE_BYTES:
+        if row > first and total + size > most:
             yield batch.slice(first, row - first)
             first, total = row, 0
         total += size
@@ -64,13 +64,13 @@ def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
 
 
 def over_slices(
-    work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: int
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: int, most: int = SLICE_BYTES
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``work`` on every slice of every batch, for ``mapInArrow``."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, most):
                 out = work(part)
                 if out is not None and out.num_rows:
                     yield out
