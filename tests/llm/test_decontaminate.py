@@ -23,7 +23,7 @@ def words(text):
 def weights(ws):
     k, out = min(5, len(ws)), Counter()
     for i in range(len(ws) - k + 1 if ws else 0):
-        out[tuple(ws[i : i + k])] += sum(min(15, len(w.encode())) for w in ws[i : i + k])
+        out[tuple(ws[i : i + k])] += sum(len(w.encode()) for w in ws[i : i + k])
     return out
 
 
@@ -160,3 +160,25 @@ def test_the_reviewed_cases_of_cut_off_items():
     texts = [[f"f{i}" for i in range(99)] + item[:41], item[:40]]
     got = dc.search(index, pa.array([" ".join(t) for t in texts]), 0.8)
     assert [round(score, 2) for _, _, score, _, _ in got] == [0.86, 0.84]
+
+
+def test_words_without_spaces_weigh_their_bytes(spark, docs_of):
+    """A long foreign word in place of an item's own weighs as much as it is long."""
+    item = made(21, 12)
+    item[5] = "日" * 40
+    near = item[:11] + ["other"]
+    far = [*item[:5], "月" * 40, *item[6:]]
+    docs = docs_of((1, " ".join(item)), (2, " ".join(near)), (3, " ".join(far)))
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.similarity for r in dc.contaminated(docs, items, similarity=0.5).collect()}
+    want = {i: dc.weighted_jaccard(weights(t), weights(item)) for i, t in ((2, near[:11]), (3, far))}
+    assert got == pytest.approx({1: 1.0, 2: want[2]}) and want[3] < 0.5
+
+
+def test_equal_items_are_looked_up_once_and_reported_by_every_id(spark, docs_of):
+    item = " ".join(made(31, 30))
+    rows = [(i, item.upper() if i % 2 else f" {item.replace(' ', '  ')}") for i in range(3000)] + [(None, item)]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    got = dc.contaminated(docs_of((1, f"before {item} after"), (2, "nothing")), items).collect()
+    assert sorted((r.item_id for r in got if r.item_id is not None)) == list(range(3000)) and len(got) == 3001
+    assert {(r.doc_id, r.similarity, r.start) for r in got} == {(1, 1.0, 7)}

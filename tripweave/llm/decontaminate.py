@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 Every window of a document that is as long as a benchmark item gets a 64-bit SimHash of
-its words, weighted by their length. Lengths of items are grouped by a fixed ratio, so
+its words, weighted by their length (up to ``HEAVIEST`` bytes; verification has no limit). Lengths of items are grouped by a fixed ratio, so
 there are few window sizes; an item is fingerprinted by its first and by its last words
 of the group's size, so an edit near one end leaves the other fingerprint as it was.
 Fingerprints are indexed by four blocks of 16 bits, each with all values at Hamming
@@ -21,7 +21,8 @@ window is shuffled. Benchmark items are few but their number is not assumed: the
 dealt into parts of at most ``PART`` items, each small enough to be sent to every task,
 and there is one pass per part.
 
-Case is ignored; words are separated by white space. Items with fewer words than a
+Items of equal words are one item there; what is found is given to each of their ids by a
+join of the hits. Case is ignored; words are separated by white space. Items with fewer words than a
 shingle are compared as one shingle of all their words. Null and empty texts match
 nothing, nor do empty items. Rows that repeat an id are searched each and reported once
 per item. A null id is reported as null. Other columns are ignored.
@@ -32,6 +33,7 @@ from __future__ import annotations
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import reduce
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm import text as tx
-from tripweave.llm.runtime import over_slices, ship
+from tripweave.llm.runtime import land, over_slices, ship
 
 SHINGLE = 5
 RADIUS = 7
@@ -53,15 +55,15 @@ STRIDE = 4096
 HITS = "doc_id long, item_id long, similarity double, start int, end int"
 
 
-def _weights(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The weight of each word: its bytes, up to 15."""
-    return np.minimum(ends - starts, 15).astype(np.int16)
+#: Weight of a word in a fingerprint at most, so that sums over a window fit 16 bits.
+HEAVIEST = 15
 
 
-def _bit_sums(h: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def _bit_sums(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Running sums of the weighted word bits, a row more than words. They wrap around,
     but their differences over a window do not. Summed in runs of 32 rows, all runs at
     a time, which the processor does many bits at once."""
+    weights = np.minimum(sizes, HEAVIEST).astype(np.int16)
     run = 32
     runs = -(-(len(h) + 1) // run)
     sums = np.zeros((runs * run, 64), np.int16)
@@ -164,7 +166,7 @@ def _core(weights: np.ndarray, similarity: float) -> tuple[int, int]:
 def build_index(items: list[tuple[int, str | None]], similarity: float = 0.8) -> Index:
     data, offsets = tx.utf8(pa.array([t for _, t in items], pa.string()))
     starts, ends, firsts = tx.words(data, offsets)
-    h, weights = tx.hash_spans(tx.LOWER[data], starts, ends), _weights(starts, ends)
+    h, weights = tx.hash_spans(tx.LOWER[data], starts, ends), ends - starts
     index, by_width = Index([]), {}
     for i, (item_id, _) in enumerate(items):
         a, b = firsts[i], firsts[i + 1]
@@ -219,7 +221,7 @@ def search(index: Index, column: pa.Array, similarity: float):
     starts, ends, firsts = tx.words(data, offsets)
     if not len(starts):
         return []
-    h, weights = tx.hash_spans(tx.LOWER[data], starts, ends), _weights(starts, ends)
+    h, weights = tx.hash_spans(tx.LOWER[data], starts, ends), ends - starts
     best: dict[tuple[int, int], tuple] = {}
     seen: set[tuple[int, int, int]] = set()
     for width, windows, entries in _near(index, h, weights):
@@ -268,16 +270,23 @@ def contaminated(
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    items = benchmark.select(
+    # Equal words are one item: numbered once, written, and given back their ids at the end.
+    plain = F.translate(F.col(item_text_col).cast("string"), ascii_uppercase, ascii_lowercase)
+    named = benchmark.select(
         F.col(item_id_col).cast("long").alias("item_id"),
-        F.col(item_text_col).cast("string").alias("text"),
-    ).distinct()
+        F.btrim(F.regexp_replace(plain, r"[\x20\x09-\x0D]+", " ")).alias("text"),
+    ).filter("text <> ''")
+    items = land(
+        named.groupBy("text").agg(F.collect_set(F.struct("item_id")).alias("ids"))
+        .withColumn("number", F.monotonically_increasing_id()),
+        "items",
+    )
     parts = -(-items.count() // part)
 
     def one(number: int) -> DataFrame:
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == number)
-        table = own.orderBy("item_id", "text").collect()
-        held = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in table])
+        own = items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == number)
+        table = own.orderBy("text").select("number", "text").collect()
+        held = spark.sparkContext.broadcast([(r["number"], r["text"]) for r in table])
 
         def work(batch):
             found = search(_index_of(held, similarity), batch.column(1), similarity)
@@ -296,6 +305,8 @@ def contaminated(
     if not parts:
         return spark.createDataFrame([], HITS)
     hits = reduce(DataFrame.unionByName, [one(n) for n in range(parts)])
+    ids = items.select(F.col("number"), F.explode("ids.item_id").alias("item_id"))
+    hits = hits.withColumnRenamed("item_id", "number").join(ids, "number").drop("number")
     most = F.max_by(F.struct("similarity", "start", "end"), F.struct("similarity", -F.col("start")))
     return hits.groupBy("doc_id", "item_id").agg(most.alias("m")).select("doc_id", "item_id", "m.*")
 
