@@ -74,7 +74,45 @@ SELECT page_id, strlen(payload) AS payload_bytes,
 FROM bits
 """
 
+
+
+def _round(n: int) -> str:
+    """Assign every part to the entries of round n - 1, then move the entries."""
+    return f"""
+), near{n} AS (
+  SELECT r, p, CAST(min(d * 256 + e) % 256 AS BIGINT) AS e, CAST(min(d * 256 + e) // 256 AS BIGINT) AS d
+  FROM (SELECT r, p, e, CAST(sum((x - y) * (x - y)) AS BIGINT) AS d
+        FROM parts JOIN books{n - 1} USING (p, i) GROUP BY r, p, e)
+  GROUP BY r, p
+), sums{n} AS (
+  SELECT e, p, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS c
+  FROM parts JOIN near{n} USING (r, p) GROUP BY e, p, i
+), books{n} AS (
+  SELECT e, p, i, coalesce((s - (s % c + c) % c) // c, y) AS y FROM books{n - 1} LEFT JOIN sums{n} USING (e, p, i)"""
+
+
+CODES = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, embedding
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), parts AS (
+  SELECT r, (i - 1) * 4 // len(embedding) AS p, i,
+    CAST(floor(1024 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM kept)
+), books0 AS (
+  SELECT r - 1 AS e, p, i, x AS y FROM parts WHERE r <= 256{"".join(map(_round, (1, 2, 3, 4, 5)))}
+), coded AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near5 GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY p, e, i)) FROM books4) AS codebooks_sha256
+FROM coded JOIN kept USING (r)
+"""
+
 ORACLE = {
+    "op13_value_dictionaries": CODES,
     "op4_maxscore_topk": TOP_K,
     "op5_ngram_jaccard_join": JACCARD,
     "op8_warc_normaliser": WARC,
