@@ -18,7 +18,7 @@ from tripweave.plans import batch, charts
 from tripweave.plans.catalog import QUERIES
 from tripweave.plans.reports import REPORTS, all_reports, band_part, fold, report, time_part
 from tripweave.sources import driver_tables, readers, writers
-from tripweave.sources.schemas import TRIPS
+from tripweave.sources.schemas import PREPARED, TRIPS
 
 
 def plan(df) -> str:
@@ -426,3 +426,17 @@ def test_command_line_names_its_arguments():
         [sys.executable, "-m", "tripweave", "--help"], cwd=root, capture_output=True, text=True, timeout=120
     )
     assert done.returncode == 0 and "--trips" in done.stdout
+
+
+def test_reading_lists_once_and_reads_one_footer(spark, sf_dir, tmp_path):
+    """Nor does a read of declared types look at the files a second time."""
+    path = str(tmp_path / "prepared")
+    writers.write_by_date(driver_tables.prepared_trips(spark, sf_dir), path)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one read", "")
+    trips = readers.read_cleaned(spark, path)
+    jobs = tracker.getJobIdsForGroup("one read")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 1
+    assert trips.schema.names == PREPARED.names
+    assert [f.dataType for f in trips.schema] == [f.dataType for f in PREPARED]

@@ -10,6 +10,7 @@ from support import NOON
 from tripweave.operators.sharing import share_groups
 from tripweave.operators.cleaning import prepare
 from tripweave.streaming import share_groups as streaming
+from tripweave.streaming.__main__ import main
 
 
 def folders(tmp_path):
@@ -95,3 +96,12 @@ def test_stream_equals_batch_where_all_is_final(spark, trips_of, tmp_path):
 
     assert rows(got) == rows(batch)
     assert got.dtypes == batch.dtypes
+
+
+def test_the_command_works_off_what_is_new(spark, trips_of, tmp_path):
+    source, out, checkpoint = folders(tmp_path)
+    arrive(trips_of, source, 0, 1, 60)
+    given = ["--trips", source, "--out", out, "--checkpoint", checkpoint, "--late", "10 minutes", "--files-per-batch", "9"]
+    assert main(given).rows_read == 3
+    assert main(given).rows_read == 0
+    assert starts(spark, out) == [(NOON, 2)]

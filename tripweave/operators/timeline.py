@@ -45,6 +45,7 @@ def slice_width(rows: DataFrame, keys: Sequence[str], time: str, at_most: int =
 
 def carried(folded: DataFrame, keys: Sequence[str], slice_col: str, value: Column, name: str) -> DataFrame:
     """``folded`` (a row per key and slice) with what all earlier slices of the key hand on.
-    ``value`` is an aggregate; the window holds slices, not rows."""
+    ``value`` is an aggregate; the window holds slices, ``MOST_SLICES`` a key at most where
+    the width comes from the data, and not rows."""
     before = Window.partitionBy(*keys).orderBy(slice_col)
     return folded.withColumn(name, value.over(before.rowsBetween(Window.unboundedPreceding, -1)))

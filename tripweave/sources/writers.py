@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,15 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, or below the warehouse where that is
     unset; both are shared by all executors on a cluster. It is removed when the
     session's JVM ends."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            warnings.warn(
+                f"spark.checkpoint.dir is unset and the warehouse is {base}: unless all executors "
+                "share that folder, set spark.checkpoint.dir to storage that they do",
+                stacklevel=2,
+            )
     path = f"{base.rstrip('/')}/tripweave-{uuid.uuid4().hex}"
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
