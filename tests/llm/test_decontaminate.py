@@ -92,6 +92,16 @@ def test_parts_give_what_one_pass_gives(spark):
     one = dc.contaminated(docs, items).orderBy("doc_id", "item_id").collect()
     many = dc.contaminated(docs, items, part=9).orderBy("doc_id", "item_id").collect()
     assert one == many and one
+    plan = dc.contaminated(docs, items, part=9)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # documents are read once for all parts
+
+
+def test_groups_of_batches_keep_every_row():
+    batches = [pa.RecordBatch.from_pydict({"t": ["x" * (i % 50)] * i}) for i in (0, 1, 300, 700)]
+    for most in (0, 100, 10**9):
+        groups = list(dc._groups(iter(batches), most))
+        assert sum(b.num_rows for g in groups for b in g) == 1001 and all(groups)
+    assert len(groups) == 1
 
 
 def test_odd_rows(spark, odd_docs, no_docs):

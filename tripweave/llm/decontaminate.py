@@ -16,10 +16,11 @@ the whole holds the item's *core*, the words from the beginning of its shortest
 ending to the end of its shortest similar beginning, so the core has a fingerprint too;
 a stretch that reaches over an end of the text is compared as far as the text goes.
 
-A document's windows are made and looked up in one pass where its text is read; no
-window is shuffled. Benchmark items are few but their number is not assumed: they are
-dealt into parts of at most ``PART`` items, each small enough to be sent to every task,
-and there is one pass per part.
+A document's windows are made and looked up where its text is read; no window is shuffled,
+and documents are read once. Benchmark items are few but their number is not assumed: they
+are dealt into parts of about ``PART`` items or ``PART_BYTES`` bytes, each small enough to be
+sent to every task. With more than one part a task holds ``HELD_BYTES`` of texts at a time
+and takes them through the parts one after another, with one index in memory.
 
 Items of equal words are one item there; what is found is given to each of their ids by a
 join of the hits. Case is ignored; words are separated by white space. Items with fewer words than a
@@ -31,8 +32,8 @@ per item. A null id is reported as null. Other columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
@@ -48,8 +49,11 @@ RADIUS = 7
 RATIO = 1.25
 #: Longest window in words; longer items are fingerprinted by their ends.
 WIDEST = 1024
-#: Items per pass over the documents.
+#: Items, and bytes of items, that are indexed together.
 PART = 20_000
+PART_BYTES = 8 << 20
+#: Texts that are taken through all parts together.
+HELD_BYTES = 64 << 20
 #: Words whose windows are made at a time, for the processor's cache.
 STRIDE = 4096
 HITS = "doc_id long, item_id long, similarity double, start int, end int"
@@ -281,36 +285,60 @@ def contaminated(
         .withColumn("number", F.monotonically_increasing_id()),
         "items",
     )
-    parts = -(-items.count() // part)
-
-    def one(number: int) -> DataFrame:
+    size = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    if not size.n:
+        return spark.createDataFrame([], HITS)
+    parts = max(-(-size.n // part), -(-size.bytes // PART_BYTES))
+    held = []
+    for number in range(parts):
         own = items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == number)
         table = own.orderBy("text").select("number", "text").collect()
-        held = spark.sparkContext.broadcast([(r["number"], r["text"]) for r in table])
-
-        def work(batch):
-            found = search(_index_of(held, similarity), batch.column(1), similarity)
-            if not found:
-                return None
-            text, item, score, start, end = zip(*found)
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(text)), pa.array(item, pa.int64()),
-                 pa.array(score, pa.float64()), pa.array(start, pa.int32()),
-                 pa.array(end, pa.int32())],
-                ["doc_id", "item_id", "similarity", "start", "end"],
-            )
-
-        return rows.mapInArrow(over_slices(work, 1), HITS)
-
-    if not parts:
-        return spark.createDataFrame([], HITS)
-    hits = reduce(DataFrame.unionByName, [one(n) for n in range(parts)])
+        held.append(spark.sparkContext.broadcast([(r["number"], r["text"]) for r in table]))
+
+    def look(batch: pa.RecordBatch, number: int):
+        found = search(_index_of(held[number], similarity), batch.column(1), similarity)
+        if not found:
+            return None
+        text, item, score, start, end = zip(*found)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(text)), pa.array(item, pa.int64()),
+             pa.array(score, pa.float64()), pa.array(start, pa.int32()), pa.array(end, pa.int32())],
+            ["doc_id", "item_id", "similarity", "start", "end"],
+        )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = list(range(parts))
+        for group in _groups(batches, HELD_BYTES if parts > 1 else 0):
+            for number in order:
+                yield from over_slices(lambda batch, number=number: look(batch, number), 1)(iter(group))
+            order.reverse()  # the part indexed last is the next group's first
+
+    hits = rows.mapInArrow(work, HITS)
     ids = items.select(F.col("number"), F.explode("ids.item_id").alias("item_id"))
     hits = hits.withColumnRenamed("item_id", "number").join(ids, "number").drop("number")
     most = F.max_by(F.struct("similarity", "start", "end"), F.struct("similarity", -F.col("start")))
     return hits.groupBy("doc_id", "item_id").agg(most.alias("m")).select("doc_id", "item_id", "m.*")
 
 
+def _groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of about ``most`` bytes, or one by one; an empty one is in none."""
+    group, total = [], 0
+    for batch in batches:
+        if not most:
+            if batch.num_rows:
+                yield [batch]
+            continue
+        for at in range(0, batch.num_rows, 256):
+            piece = batch.slice(at, 256)
+            group.append(piece)
+            total += piece.nbytes
+            if total >= most:
+                yield group
+                group, total = [], 0
+    if group:
+        yield group
+
+
 _indexes: list[tuple[list, float, Index]] = []
 
 
