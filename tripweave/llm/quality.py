@@ -36,6 +36,8 @@ BITS = 18
 SLOTS = 1 << BITS
 FIT_ROWS = 4096
 HELD_BACK = 5
+#: Bytes of text whose features are made at a time.
+SLICE = 1 << 20
 
 
 class Features:
@@ -201,7 +203,7 @@ def train(
         )
 
     table = texts.select("doc_id", "text", "label").mapInArrow(
-        over_slices(work, 1), "doc_id long, label int, slots array<int>"
+        over_slices(work, 1, SLICE), "doc_id long, label int, slots array<int>"
     )
     # A repeated id is learnt once, so no more than fit_rows rows come here.
     once = table.groupBy("doc_id").agg(F.min(F.struct("label", "slots")).alias("r"))
@@ -222,7 +224,7 @@ def score_with(model: Model, spark, text_col: str = "text") -> Column:
             batch = pa.RecordBatch.from_arrays([pa.array(part, pa.string())], ["text"])
             found = [
                 held.value.score(slots)
-                for piece in slices(batch, 0)
+                for piece in slices(batch, 0, SLICE)
                 for slots in features.of(piece.column(0))
             ]
             yield pd.Series(found, dtype="float64")
