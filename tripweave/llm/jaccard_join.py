@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tripweave.llm import text as tx
 from tripweave.llm.components import components
-from tripweave.llm.runtime import land, over_slices, partitions, ship
+from tripweave.llm.runtime import land, over_slices, partitions, ship, small_batches
 
 class _Member(NamedTuple):
     first: bool
@@ -51,6 +51,8 @@ class _Member(NamedTuple):
     words: np.ndarray
 
 
+#: Bytes of text whose shingles are made at a time.
+SLICE = 1 << 20
 #: Members of a bucket that are compared in one piece.
 CHUNK = 512
 
@@ -159,7 +161,7 @@ def shingle_sets(
         )
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(over_slices(work, 1), "doc_id long, n_shingles long, sig binary")
+    return rows.mapInArrow(over_slices(work, 1, SLICE), "doc_id long, n_shingles long, sig binary")
 
 
 def block_keys(s: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -211,7 +213,7 @@ def _keys(texts: DataFrame, k: int, percent: int) -> DataFrame:
             [pa.array(np.concatenate(keys).view(np.int64)), ids], ["key", "id"]
         )
 
-    return texts.select("id", "text").mapInArrow(over_slices(work, 1), "key long, id long")
+    return texts.select("id", "text").mapInArrow(over_slices(work, 1, SLICE), "key long, id long")
 
 
 SKETCHES = "id long, n_shingles long, band int, own array<long>, up array<long>"
@@ -237,7 +239,7 @@ def _sketches(texts: DataFrame, k: int, percent: int) -> DataFrame:
             ["id", "n_shingles", "band", "own", "up"],
         )
 
-    return texts.select("id", "text").mapInArrow(over_slices(work, 1), SKETCHES)
+    return texts.select("id", "text").mapInArrow(over_slices(work, 1, SLICE), SKETCHES)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -380,6 +382,7 @@ def jaccard_components(
 ) -> DataFrame:
     """doc_id, n_shingles (size of the set) and component_id, the smallest id reachable
     over links, for every row of ``docs``."""
+    small_batches(docs.sparkSession)
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     ).filter("id is not null")

@@ -20,7 +20,7 @@ Repeated rows and rows with a null id are scored each. Extra columns stay.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm import text as tx
-from tripweave.llm.runtime import over_slices, ship, slices
+from tripweave.llm.runtime import over_slices, ship, slices, small_batches
 
 BITS = 18
 SLOTS = 1 << BITS
@@ -96,8 +96,25 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+class Scaled(Sequence):
+    """Rows of slots and their values, ``ratio`` brought to length one. The values are made
+    when a row's turn comes, so the driver never holds them all."""
+
+    def __init__(self, rows: list[np.ndarray], ratio: np.ndarray):
+        self.rows, self.ratio = rows, ratio
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        slots = self.rows[i]
+        values = self.ratio[slots]
+        length = float(values @ values) ** 0.5
+        return slots, values / length if length else values
+
+
 def descend(
-    rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 1.0, rounds: int = 12
+    rows: Sequence[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 1.0, rounds: int = 12
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear model with hinge loss, by dual coordinate descent.
     Rows are (slots, values) of length one; the bias is one more feature of value 1."""
@@ -137,12 +154,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
         if not out:
             counts[int(sign > 0)][slots] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    scaled = []
-    for slots, out in zip(rows, held):
-        values = ratio[slots]
-        length = float(values @ values) ** 0.5
-        if not out:
-            scaled.append((slots, values / length if length else values))
+    scaled = Scaled([slots for slots, out in zip(rows, held) if not out], ratio)
     w, bias = descend(scaled, y[~held])
     model = Model((w * ratio).astype(np.float32), (ratio**2).astype(np.float32), bias, 1.0, 0.0)
     judge = held if held.any() else ~held
@@ -181,6 +193,7 @@ def train(
 ) -> Model:
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     chosen = (
         labels.select(F.col("doc_id").cast("long"), F.col(label_col).cast("int").alias("label"))
         .filter("doc_id is not null and label in (0, 1)")

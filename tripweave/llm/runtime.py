@@ -36,6 +36,14 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(str(target))
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Send texts to Python workers in batches of fewer rows than Spark's own setting, which
+    are tens of megabytes of text each; a setting of the session's own stays."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, str(rows))
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write a table below ``spark.checkpoint.dir`` and read it back, so that later
     steps neither compute it again nor depend on an executor that may be lost."""
