@@ -137,3 +137,46 @@ def test_candidates():
     assert runs("a" * 100) == [(0, 48), (24, 72), (48, 96), (52, 100)]
     assert runs("x" * 30 + "/" + "a1" * 10) == [(0, 30), (0, 48), (3, 51), (31, 51)]
     assert runs("a" * 49) == [(0, 48), (1, 49)] and runs("") == []
+
+
+def keys_and_prose(n, seed=6):
+    """Texts that each hold a distinct key under a name and a distinct run of syllables."""
+    rng, texts = random.Random(seed), []
+    for _ in range(n):
+        key = "".join(rng.choice("0123456789abcdef") for _ in range(31))
+        prose = "".join(rng.choice(["an", "th", "er", "on", "ing", "ble"]) for _ in range(9))
+        texts.append(f"token = {key} and {prose} goes on")
+    return list(enumerate(texts))
+
+
+def test_all_windows_are_learnt_or_judged_by(docs_of, monkeypatch):
+    """More than 2,000 findings, the cut there once was."""
+    docs, seen = keys_and_prose(2500), {}
+    mixed, folded = sc.learning.mixed, sc.learning.folded
+
+    def spy_mixed(rows, *args):
+        seen.setdefault("learnt", []).append(rows.count())
+        return mixed(rows, *args)
+
+    def spy_folded(margins):
+        seen["judged"] = margins.count()
+        return folded(margins)
+
+    monkeypatch.setattr(sc.learning, "mixed", spy_mixed)
+    monkeypatch.setattr(sc.learning, "folded", spy_folded)
+    scanned = sc.scan(docs_of(*docs))
+    assert sc._trained(scanned, 4096, 0.98, epochs=2) is not None
+    rows = scanned.selectExpr("explode(candidates) as c").selectExpr("c.*").toPandas()
+    distinct = rows.window.map(bytes).nunique()
+    assert rows[rows.label == 1].window.map(bytes).nunique() >= 2500
+    assert len(set(seen["learnt"])) == 1 and seen["learnt"][0] + seen["judged"] == distinct
+
+
+def test_shards_learn_one_network(docs_of):
+    net = sc._trained(sc.scan(docs_of(*keys_and_prose(400))), 150, 0.95)
+    _, fresh = sc.scan_texts(pa.array([text for _, text in keys_and_prose(100, seed=9)]))
+    some = [c for own in fresh.to_pylist() for c in own]
+    sure = net.scores([c["window"] for c in some]) >= net.threshold
+    found = [s for s, c in zip(sure, some) if c["label"]]
+    wrong = [s for s, c in zip(sure, some) if not c["label"]]
+    assert len(found) == len(wrong) == 100 and np.mean(found) >= 0.9 and np.mean(wrong) <= 0.02

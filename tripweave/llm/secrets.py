@@ -13,11 +13,11 @@ spans always stay.
 
 The network is trained on labelled findings: candidates inside base spans against all
 others, with the surroundings blanked at random so that it learns the shape of secrets
-and not only the names before them. It is fitted on at most ``fit_rows`` distinct
-windows of either label, the ones with the smallest hash (a bounded, documented sample);
-a quarter of them is held back to calibrate its scores (Platt) and to set the threshold:
-the highest one that still finds ``recall`` of the findings held back. Scanning and
-scoring cover every text to its end. Without findings of both labels nothing is added.
+and not only the names before them. It is fitted on all distinct windows, dealt to shards
+of about ``SHARD`` that learn side by side (``learning``); a quarter of them is held back
+to calibrate its scores (Platt) and to set the threshold: the highest one that still
+finds ``recall`` of the findings held back. Scanning and scoring cover every text to its
+end. With fewer than eight distinct windows of either label nothing is added.
 
 A null or empty text has no spans. Nulls in the id, repeated rows and extra columns do
 no harm: every row is scanned on its own.
@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.llm import learning
 from tripweave.llm import text as tx
 from tripweave.llm.runtime import land, over_slices, ship, slices
 
@@ -52,6 +53,10 @@ CANDIDATE, SHORT = 16, 8
 BEFORE, INSIDE, AFTER = 24, 48, 24
 STRIDE = INSIDE // 2
 WIDTH = BEFORE + INSIDE + AFTER
+#: Windows of a shard that learns on its own.
+SHARD = 8192
+#: Distinct windows that either label needs.
+LEAST_OF_EACH = 8
 _HEX = np.zeros(256, dtype=bool)
 _HEX[[ord(c) for c in "0123456789abcdef"]] = True
 _SECRET = np.zeros(256, dtype=bool)
@@ -261,65 +266,101 @@ class Network:
         return [embed, columns.T @ flat, flat.sum(0), pooled.T @ delta, np.array(delta.sum())]
 
 
+class Adam:
+    """The moves of a network's arrays. Gradients of second order are kept as roots, so
+    that they can be averaged over shards like the arrays themselves."""
+
+    def __init__(self, net: Network):
+        self.net = net
+        self.arrays = [net.embed, net.filters, net.bias, net.out, np.array([net.shift])]
+        self.first = [np.zeros_like(a) for a in self.arrays]
+        self.root = [np.zeros_like(a) for a in self.arrays]
+        self.done = 0.0
+
+    def epoch(self, x_all: np.ndarray, labels: np.ndarray, weight: np.ndarray, rng) -> None:
+        """One pass over the rows, half of them with blanked surroundings."""
+        order = rng.permutation(len(x_all))
+        for i in range(0, len(order), 64):
+            pick = order[i : i + 64]
+            x = x_all[pick].copy()
+            blank = rng.random(len(x)) < 0.5
+            x[blank, :BEFORE] = 0
+            x[blank, BEFORE + INSIDE :] = 0
+            self.done += 1
+            grads = self.net.step(x, labels[pick], weight[pick])
+            for g, a, first, root in zip(grads, self.arrays, self.first, self.root):
+                first += 0.1 * (g - first)
+                root[...] = np.sqrt(root * root + 0.001 * (g * g - root * root))
+                a -= 0.01 * (first / (1 - 0.9**self.done)) / (
+                    root / np.sqrt(1 - 0.999**self.done) + 1e-8
+                )
+            self.net.shift = float(self.arrays[4][0])
+
+    def state(self) -> np.ndarray:
+        """Values, means and roots of all gradients, and the number of steps, as a matrix."""
+        columns = [np.concatenate([a.ravel() for a in own]) for own in (self.arrays, self.first, self.root)]
+        return np.vstack([np.stack(columns, axis=1), [[self.done, 0, 0]]])
+
+    @classmethod
+    def of(cls, state: np.ndarray) -> Adam:
+        out = cls(Network.fresh(np.random.default_rng(7)))
+        for own, column in zip((out.arrays, out.first, out.root), state.T):
+            at = 0
+            for a in own:
+                a[...] = column[at : at + a.size].reshape(a.shape)
+                at += a.size
+        out.net.shift, out.done = float(out.arrays[4][0]), float(state[-1, 0])
+        return out
+
+
+def _weights(positive: float, negative: float) -> tuple[float, float]:
+    """The weight of a row of label 0 and of one of label 1."""
+    share = positive / (positive + negative)
+    return 0.5 / (1 - share), 0.5 / share
+
+
 def fit(samples: list[tuple[bytes, int]], recall: float = 0.98, epochs: int = 6) -> Network | None:
     """A network for labelled windows; None unless there are enough of both labels."""
     labels = np.array([label for _, label in samples], float)
-    if min(labels.sum(), (1 - labels).sum()) < 8:
+    if min(labels.sum(), (1 - labels).sum()) < LEAST_OF_EACH:
         return None
     held = np.array([hashlib.blake2b(w, digest_size=1).digest()[0] % 4 == 0 for w, _ in samples])
     for label in (0, 1):  # both parts need both labels
         own = np.flatnonzero(labels == label)
         held[own[0]], held[own[1]] = True, False
     rng = np.random.default_rng(7)
-    net = Network.fresh(rng)
-    x_all = Network.symbols([w for w, _ in samples])
-    train = np.flatnonzero(~held)
-    share = labels[train].mean()
-    weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
-    moments = None
-    done = 0
+    adam = Adam(Network.fresh(rng))
+    x_all, y = Network.symbols([w for w, _ in samples])[~held], labels[~held]
+    weight = np.array(_weights(y.sum(), (1 - y).sum()))[y.astype(int)]
     for _ in range(epochs):
-        order = rng.permutation(train)
-        for i in range(0, len(order), 64):
-            pick = order[i : i + 64]
-            x = x_all[pick].copy()
-            blank = rng.random(len(x)) < 0.5
-            x[blank, :BEFORE] = 0
-            x[blank, BEFORE + INSIDE :] = 0
-            grads = net.step(x, labels[pick], weight[pick])
-            arrays = [net.embed, net.filters, net.bias, net.out, np.array(net.shift)]
-            if moments is None:
-                moments = [(np.zeros_like(g), np.zeros_like(g)) for g in grads]
-            done += 1
-            for k, (g, a) in enumerate(zip(grads, arrays)):
-                first, second = moments[k]
-                first += 0.1 * (g - first)
-                second += 0.001 * (g * g - second)
-                move = 0.01 * (first / (1 - 0.9**done)) / (
-                    np.sqrt(second / (1 - 0.999**done)) + 1e-8
-                )
-                if k == 4:
-                    net.shift -= float(move)
-                else:
-                    a -= move
+        adam.epoch(x_all, y, weight, rng)
     windows = [w for (w, _), h in zip(samples, held) if h]
-    y = labels[held]
-    _calibrate(net, net.margins(windows), y)
-    found = np.sort(net.scores(windows)[y == 1])
-    net.threshold = float(found[int((1 - recall) * len(found))])
+    margins = adam.net.margins(windows)
+    return _settle(adam.net, margins, labels[held], np.ones(len(margins)), recall)
+
+
+def _settle(net: Network, margin: np.ndarray, y: np.ndarray, count: np.ndarray, recall: float) -> Network:
+    """The network with slope, offset and threshold from margins of rows held back."""
+    _calibrate(net, margin, y, count)
+    own = np.argsort(margin)
+    own = own[y[own] == 1]
+    reached = np.cumsum(count[own])
+    at = int(np.searchsorted(reached, int((1 - recall) * reached[-1]), side="right"))
+    margin = margin[own[at]]
+    net.threshold = float(1 / (1 + np.exp(-np.clip(net.slope * margin + net.offset, -30, 30))))
     return net
 
 
-def _calibrate(net: Network, margin: np.ndarray, y: np.ndarray) -> None:
+def _calibrate(net: Network, margin: np.ndarray, y: np.ndarray, count: np.ndarray) -> None:
     """Platt scaling: slope and offset of the log odds, by damped Newton steps with
     smoothed targets."""
-    positive, negative = y.sum(), (1 - y).sum()
+    positive, negative = (count * y).sum(), (count * (1 - y)).sum()
     target = np.where(y == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
     slope, offset = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(slope * margin + offset, -30, 30)))
-        g = np.array([((p - target) * margin).sum(), (p - target).sum()])
-        w = p * (1 - p) + 1e-6
+        g = np.array([(count * (p - target) * margin).sum(), (count * (p - target)).sum()])
+        w = count * (p * (1 - p) + 1e-6)
         hessian = np.array([[(w * margin**2).sum(), (w * margin).sum()], [(w * margin).sum(), w.sum()]])
         move = np.linalg.solve(hessian + 1e-3 * np.eye(2), g)
         move *= min(1.0, 2.0 / (np.abs(move).max() + 1e-12))
@@ -327,17 +368,45 @@ def _calibrate(net: Network, margin: np.ndarray, y: np.ndarray) -> None:
     net.slope, net.offset = float(max(slope, 1e-3)), float(offset)
 
 
-def _trained(scanned: DataFrame, fit_rows: int, recall: float) -> Network | None:
+def _trained(scanned: DataFrame, shard_rows: int, recall: float, epochs: int = 6) -> Network | None:
+    """A network for all distinct windows; None unless there are enough of both labels."""
     seen = (
         scanned.select(F.explode("candidates").alias("c"))
         .groupBy(F.col("c.window").alias("window"))
         .agg(F.max("c.label").alias("label"))
+        .withColumn("held", F.pmod(F.xxhash64("window"), F.lit(4)) == 0)
     )
-    samples: list[tuple[bytes, int]] = []
-    for label in (0, 1):
-        own = seen.filter(F.col("label") == label).orderBy(F.xxhash64("window"), "window")
-        samples += [(bytes(r["window"]), label) for r in own.limit(fit_rows).collect()]
-    return fit(samples, recall)
+    seen = land(seen, "windows")
+    each, train, judge = learning.parts(seen)
+    if min(each.values()) < LEAST_OF_EACH:
+        return None
+    rows = learning.dealt(train.select("window", "label"), "window", sum(each.values()), shard_rows)
+    rows = land(rows, "dealt")
+    counts = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    weight = np.array(_weights(counts[1], counts[0]))
+    state = Adam(Network.fresh(np.random.default_rng(7))).state()
+    for turn in range(epochs):
+
+        def learn(shard, values, batches, turn=turn):
+            whole = pa.Table.from_batches(list(batches))
+            y = whole.column("label").to_numpy()
+            adam = Adam.of(values)
+            x = Network.symbols(whole.column("window").to_pylist())
+            adam.epoch(x, y.astype(float), weight[y], np.random.default_rng([7, turn, shard]))
+            return adam.state()
+
+        state = learning.mixed(rows, learn, state)
+    net = Adam.of(state).net
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            margin = pa.array(net.margins(batch.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column(1), margin], ["label", "margin"])
+
+    judged = judge.select("window", "label").mapInArrow(margins, "label int, margin double")
+    found = learning.folded(judged)
+    margin, y, count = (found.column(c).to_numpy() for c in ("margin", "label", "count"))
+    return _settle(net, margin, y.astype(float), count.astype(float), recall)
 
 
 def _settled(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -375,12 +444,12 @@ def findings(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    fit_rows: int = 2000,
+    shard_rows: int = SHARD,
     recall: float = 0.98,
 ) -> DataFrame:
     """doc_id and spans (kind:start:end, comma-joined) of every row."""
     scanned = land(scan(docs, id_col, text_col), "scanned")
-    held = docs.sparkSession.sparkContext.broadcast(_trained(scanned, fit_rows, recall))
+    held = docs.sparkSession.sparkContext.broadcast(_trained(scanned, shard_rows, recall))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -411,7 +480,7 @@ def masked(
     docs: DataFrame,
     mask: str = "[secret]",
     text_col: str = "text",
-    fit_rows: int = 2000,
+    shard_rows: int = SHARD,
     recall: float = 0.98,
 ) -> DataFrame:
     """All rows and columns, secrets in the text replaced by ``mask``. Rows are scanned
@@ -419,7 +488,7 @@ def masked(
     there is such a column."""
     sample = docs.select(F.lit(0).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     scanned = land(scan(sample).select("candidates").filter("size(candidates) > 0"), "candidates")
-    held = docs.sparkSession.sparkContext.broadcast(_trained(scanned, fit_rows, recall))
+    held = docs.sparkSession.sparkContext.broadcast(_trained(scanned, shard_rows, recall))
 
     @F.pandas_udf("string")
     def covered(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
