@@ -137,3 +137,41 @@ def test_one_label_none_and_empty_tables(spark):
     assert {r.score for r in toxicity.scored(frame, none).collect()} == {0.5}
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert toxicity.scored(empty, ones).count() == 0
+
+
+def test_all_labelled_rows_are_learnt_or_judged_by(spark, monkeypatch):
+    """More than 3,072 rows of a label, the cut there once was, in several shards."""
+    docs, labels = made_up(8600, languages=("en",))
+    docs.append((3, "a repeated id"))
+    seen = {"learnt": []}
+    mixed, folded = toxicity.learning.mixed, toxicity.learning.folded
+
+    def spy_mixed(rows, *args, **more):
+        seen["learnt"].append(rows.count())
+        return mixed(rows, *args, **more)
+
+    def spy_folded(margins, *by):
+        seen["judged"] = margins.count()
+        return folded(margins, *by)
+
+    monkeypatch.setattr(toxicity.learning, "mixed", spy_mixed)
+    monkeypatch.setattr(toxicity.learning, "folded", spy_folded)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = toxicity.scored(frame, spark.createDataFrame(labels, LABELS), shard_rows=2000).collect()
+    usable = [y for i, _, y in labels if zlib.crc32(str(i).encode()) % 5]
+    assert min(usable.count(0), usable.count(1)) > 3072
+    assert len(seen["learnt"]) == toxicity.ROUNDS and len(set(seen["learnt"])) == 1
+    assert seen["learnt"][0] + seen["judged"] == len(usable)
+    held = [r for r in got if r.held_out]
+    assert np.mean([r.predicted == r.doc_id % 2 for r in held]) > 0.95
+
+
+def test_best_windows_equal_pooling_in_blocks_of_any_size(net, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [rng.integers(0, len(net.embeddings), n) for n in (0, 1, 3, 60, 0, 140)]
+    firsts = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+    want = net.pooled(np.concatenate(words), firsts)
+    for block in (1, 7, 64, 1 << 15):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        pooled, won = toxicity._best(net, words)
+        assert np.allclose(pooled, want, atol=1e-5) and won.shape == (6, len(net.weights), 3)

@@ -17,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.runtime import land
+from tripweave.llm.runtime import give_back, land, partitions
 
 #: One in fixed-point numbers.
 ONE = float(1 << 36)
+#: Rows of parameters that travel together.
+BLOCK = 1024
 #: Margins are folded in steps of one part of this, up to ``FAR`` on either side.
 STEPS = 1024
 FAR = 64.0
@@ -105,43 +107,70 @@ def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator
 Learn = Callable[[int, np.ndarray, Iterator[pa.RecordBatch]], np.ndarray]
 
 
-def mixed(rows: DataFrame, learn: Learn, start: np.ndarray, by_all: bool = False) -> np.ndarray:
+def mixed(
+    rows: DataFrame, learn: Learn, start: np.ndarray, one: float = ONE, shards: int | None = None
+) -> np.ndarray:
     """The parameters (a matrix) after one round. ``learn`` gets a shard's number, a copy of
     the parameters and the shard's batches, and returns what they became. A row of the
-    matrix moves by the mean change over the shards that moved it, or ``by_all`` shards."""
-    held = rows.sparkSession.sparkContext.broadcast(start)
-    names = [f"v{i}" for i in range(start.shape[1])]
+    matrix moves by the mean change over the shards that moved it, or over ``shards``.
+    Changes are whole multiples of 1 / ``one``; a task sums those of all its shards."""
+    spark = rows.sparkSession
+    held = spark.sparkContext.broadcast(start)
+    kind, width = start.dtype, start.shape[1]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin = held.value
-        total, moved, shards = np.zeros(begin.shape, np.int64), np.zeros(len(begin), np.int64), 0
+        total, moved = np.zeros(begin.shape, np.int64), np.zeros(len(begin), np.int64)
         for shard, own in shards_of(batches):
-            change = learn(shard, begin.copy(), own) - begin.astype(np.float64)
-            change = np.rint(change * ONE).astype(np.int64)
+            change = learn(shard, begin.copy(), own) - begin
+            change = np.rint(change.astype(np.float64) * one).astype(np.int64)
             total += change
             moved += change.any(axis=1)
-            shards += 1
-        at = np.flatnonzero(moved)
-        columns = [pa.array(at, pa.int64()), pa.array(moved[at]), *(pa.array(c) for c in total[at].T)]
-        yield pa.RecordBatch.from_arrays(columns, ["row", "n", *names])
-        # One more row beyond the last tells the number of shards.
-        last = [pa.array([v], pa.int64()) for v in (len(begin), shards, *[0] * len(names))]
-        yield pa.RecordBatch.from_arrays(last, ["row", "n", *names])
-
-    schema = ", ".join(f"{name} long" for name in ["row", "n", *names])
-    sums = rows.mapInArrow(work, schema).groupBy("row").agg(*(F.sum(c).alias(c) for c in ["n", *names]))
-    found = sums.toArrow()
+        for low in range(0, len(begin), BLOCK):
+            part = slice(low, low + BLOCK)
+            if moved[part].any():
+                sums = np.concatenate([moved[part, None], total[part]], axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([low], pa.int64()), pa.array([_planes(sums)], pa.binary())], ["low", "sums"]
+                )
+        give_back()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for low, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = _numbers(data.as_buffer()).reshape(-1, width + 1)
+                sums[low] = sums[low] + own if low in sums else own
+        for low, own in sums.items():
+            by = np.maximum(own[:, :1], 1) if shards is None else shards
+            mean = (own[:, 1:] / one / by).astype(kind)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([low], pa.int64()), pa.array([mean.tobytes()], pa.binary())], ["low", "mean"]
+            )
+
+    blocks = rows.mapInArrow(work, "low long, sums binary")
+    tasks = min(partitions(spark), -(-len(start) // BLOCK))
+    found = blocks.repartition(tasks, "low").mapInArrow(add, "low long, mean binary").toArrow()
     held.destroy()
-    row, n = (found.column(c).to_numpy() for c in (0, 1))
-    change = np.stack([found.column(name).to_numpy() for name in names], axis=1) / ONE
-    real = row < len(start)
-    shards = n[~real].sum()
     out = start.copy()
-    if real.any():
-        out[row[real]] += change[real] / (shards if by_all else n[real, None])
+    for low, mean in zip(found.column("low").to_pylist(), found.column("mean")):
+        out[low : low + BLOCK] += np.frombuffer(mean.as_buffer(), kind).reshape(-1, width)
     return out
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers by planes of their bytes, the sign in the lowest bit, so that the
+    empty planes of small numbers take no room in a compressed shuffle."""
+    flat = values.ravel()
+    return ((flat << 1) ^ (flat >> 63)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _numbers(data) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    coded = np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+    return ((coded >> np.uint64(1)) ^ (~(coded & np.uint64(1)) + np.uint64(1))).view(np.int64)
+
+
 def folded(margins: DataFrame, *by: str) -> pa.Table:
     """Margins, down to a whole step, of judged rows by label (and ``by``), with their
     numbers."""

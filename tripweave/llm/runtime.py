@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
 from collections.abc import Callable, Iterator
@@ -57,6 +58,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task, as Python workers live on."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts hold about ``most`` bytes together;
     a longer text is a run of its own."""
@@ -82,5 +91,6 @@ def over_slices(
                 out = work(part)
                 if out is not None and out.num_rows:
                     yield out
+        give_back()
 
     return run

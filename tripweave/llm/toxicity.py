@@ -5,10 +5,10 @@ slot has an embedding. Filters of several widths run over the embeddings of a te
 filter the highest response anywhere in the text is kept (max pooling), and a linear layer
 weighs them. Since only winning windows carry a gradient, training is cheap. A slot keeps
 the signature of the word it was trained for, so a word that only shares its hash slot,
-and every word met in fewer than ``KNOWN`` sampled documents, has the zero vector.
+and every word met in fewer than ``KNOWN`` documents learnt from, has the zero vector.
 
-The network is fitted on at most ``fit_rows`` labelled rows of either label, those whose id
-has the smallest hash: a bounded, documented sample. A fifth of it is held back and never
+The network is fitted on all labelled rows, dealt to shards of about ``SHARD`` that learn
+side by side (``learning``). A fifth of them is held back and never
 trained on; it sets the threshold on the network's margin, one for every language that
 brings at least ``ENOUGH`` held-back rows of either label, one in all for the rest. The
 language is told from the text itself by common function words; no column but the text
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -33,14 +34,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.llm import learning
 from tripweave.llm import text as tx
-from tripweave.llm.runtime import over_slices, ship, slices
+from tripweave.llm.runtime import land, over_slices, ship, slices, small_batches
 
 BITS = 18
 DIM = 16
 WIDTHS = (1, 2, 3)
 FILTERS = 24
-FIT_ROWS = 3072
+#: Rows of a shard that learns on its own, and words of it that are held at a time.
+SHARD = 16384
+HELD_WORDS = 1 << 22
+#: Changes of shards are whole multiples of one part of this.
+MOVES = float(1 << 20)
 KNOWN = 3
 HELD_BACK = 5
 ENOUGH = 12
@@ -71,6 +77,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return tx.hash_spans(tx.LOWER[data], starts, ends), firsts
 
 
+@cache
 def _language_table() -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of all function words, and per word the languages it belongs to."""
     words = sorted({w for own in LANGUAGES.values() for w in own.split()})
@@ -164,14 +171,35 @@ def _sigmoid(x):
 
 
 class _Adagrad:
-    def __init__(self, *values: np.ndarray):
-        self.values = values
-        self.squares = [np.full(v.shape, 1e-3, np.float32) for v in values]
+    """A network's arrays with the sums of their squared gradients."""
+
+    def __init__(self, net: Network):
+        self.net, self.offset = net, np.zeros(1, np.float32)
+        self.values = [net.embeddings, net.bias, net.weights, self.offset, *net.filters]
+        self.squares = [np.full(v.shape, 1e-3, np.float32) for v in self.values]
 
     def step(self, at: int, gradient: np.ndarray, where=...) -> None:
         self.squares[at][where] += gradient * gradient
         self.values[at][where] -= RATE * gradient / np.sqrt(self.squares[at][where])
 
+    def state(self) -> np.ndarray:
+        """All values and squares as one matrix, a row of an embedding to a row."""
+
+        def tall(arrays):
+            padded = [np.pad(a.ravel(), (0, -a.size % DIM)) for a in arrays]
+            return np.concatenate(padded).reshape(-1, DIM)
+
+        return np.hstack([tall(self.values), tall(self.squares)])
+
+    def take(self, state: np.ndarray) -> None:
+        for arrays, half in ((self.values, state[:, :DIM]), (self.squares, state[:, DIM:])):
+            at = 0
+            for a in arrays:
+                rows = -(-a.size // DIM)
+                a[...] = half[at : at + rows].ravel()[: a.size].reshape(a.shape)
+                at += rows
+        self.net.offset = float(self.offset[0])
+
 
 def _vocabulary(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
     """Rows and signatures of the slots; a slot goes to the word in most texts (ties: the
@@ -188,50 +216,91 @@ def _vocabulary(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
     return rows, signs, len(slot) + 1
 
 
-def train_network(texts: list[np.ndarray], labels: np.ndarray) -> Network:
-    """A network for texts given as word hashes, without thresholds yet."""
-    rng = np.random.default_rng(7)
-    rows, signs, size = _vocabulary(texts)
+def fresh_network(rows: np.ndarray, signs: np.ndarray, size: int, rng) -> Network:
+    """A network that has learnt nothing, without thresholds yet."""
     embeddings = rng.normal(0, 0.1, (size, DIM)).astype(np.float32)
     embeddings[0] = 0
     filters = [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS]
     weights = rng.normal(0, 0.3, len(WIDTHS) * FILTERS).astype(np.float32)
-    net = Network(rows, signs, embeddings, filters, np.zeros(len(weights), np.float32), weights,
-                  np.zeros(len(LANGUAGES) + 1))
+    return Network(rows, signs, embeddings, filters, np.zeros(len(weights), np.float32), weights,
+                   np.zeros(len(LANGUAGES) + 1))
+
+
+def _blank(size: int) -> Network:
+    """A network for parameters of its own, without words."""
+    none = np.zeros(0, np.int32)
+    shapes = [np.zeros((w, DIM, FILTERS), np.float32) for w in WIDTHS]
+    bias, weights = np.zeros((2, len(WIDTHS) * FILTERS), np.float32)
+    return Network(none, none, np.zeros((size, DIM), np.float32), shapes, bias, weights, none)
+
+
+def _group_weights(count: np.ndarray) -> np.ndarray:
+    """The weight of a row of each group of language and label: by the root of the group's
+    rows, so rare ones are learnt too; 1 on average."""
+    weight = 1 / np.sqrt(np.maximum(count, 1))
+    return (weight / max(1e-9, (weight * count).sum() / max(1, count.sum()))).astype(np.float32)
+
+
+def _round(learn: _Adagrad, known: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, rng) -> None:
+    """One pass over texts given as rows of the embeddings."""
+    order = rng.permutation(len(known))
+    for low in range(0, len(order), BATCH):
+        batch = order[low : low + BATCH]
+        words = [known[i] for i in batch]
+        words = [np.where(rng.random(len(w), np.float32) < HIDDEN, 0, w) for w in words]
+        _learn(learn.net, learn, words, labels[batch], weight[batch] / len(batch), learn.offset)
+    learn.net.offset = float(learn.offset[0])
+
+
+def train_network(texts: list[np.ndarray], labels: np.ndarray) -> Network:
+    """A network for texts given as word hashes, without thresholds yet."""
+    rng = np.random.default_rng(7)
+    rows, signs, size = _vocabulary(texts)
+    net = fresh_network(rows, signs, size, rng)
     known = [net.words(t) for t in texts]
-    offset = np.zeros(1, np.float32)
-    learn = _Adagrad(embeddings, net.bias, weights, offset, *filters)
-    # Every language and label weighs by the root of its rows, so rare ones are learnt too.
+    learn = _Adagrad(net)
     group = np.array([languages(t, np.array([0, len(t)]))[0] for t in texts], np.int64) * 2 + labels
-    weight = 1 / np.sqrt(np.bincount(group))[group] if len(group) else np.zeros(0)
-    weight = (weight / weight.mean() if len(weight) else weight).astype(np.float32)
+    weight = _group_weights(np.bincount(group))[group] if len(group) else np.zeros(0)
     for _ in range(ROUNDS):
-        order = rng.permutation(len(known))
-        for low in range(0, len(order), BATCH):
-            batch = order[low : low + BATCH]
-            words = [known[i] for i in batch]
-            words = [np.where(rng.random(len(w)) < HIDDEN, 0, w) for w in words]
-            _learn(net, learn, words, labels[batch], weight[batch] / len(batch), offset)
-    net.offset = float(offset[0])
+        _round(learn, known, labels, weight, rng)
     return net
 
 
+def _best(net: Network, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The highest response of each filter in each text, at least 0, and the words of the
+    window that gives it."""
+    wide, filters = max(WIDTHS), len(net.weights)
+    # Zero vectors follow every text, so no window sees two texts.
+    gap = np.zeros(wide, np.int64)
+    flat = np.concatenate([part for own in words for part in (own, gap)])
+    ends = np.cumsum([len(own) + wide for own in words]) - wide
+    begins = ends - [len(own) for own in words]
+    packed = np.zeros((wide * DIM, filters), np.float32)
+    for i, own in enumerate(net.filters):
+        packed[: own.shape[0] * DIM, i * FILTERS : (i + 1) * FILTERS] = own.reshape(-1, FILTERS)
+    most = np.full((len(words), filters), -np.inf, np.float32)
+    where = np.repeat(begins[:, None], filters, axis=1)
+    each = np.arange(filters)
+    for low in range(0, len(flat) - wide, BLOCK):
+        high = min(len(flat) - wide, low + BLOCK)
+        seen = net.embeddings[flat[low : high + wide - 1]].ravel()
+        # Every row of this view is a window: its words' embeddings side by side.
+        view = np.lib.stride_tricks.sliding_window_view(seen, wide * DIM)[::DIM]
+        response = view @ packed
+        for t in np.flatnonzero((begins < high) & (ends > low)).tolist():
+            a, b = max(begins[t], low), min(ends[t], high)
+            if a < b:
+                own = response[a - low : b - low]
+                at = own.argmax(axis=0)
+                value = own[at, each]
+                better = value > most[t]
+                most[t][better], where[t][better] = value[better], at[better] + a
+    won = flat[where[:, :, None] + np.arange(wide)]
+    return np.maximum(most + net.bias, 0), won
+
+
 def _learn(net: Network, learn: _Adagrad, words, labels, scale, offset) -> None:
-    # Only the rows of this batch are multiplied; row 0, the zero vector, stays first.
-    rows = np.unique(np.concatenate([np.zeros(1, np.int64), *words]))
-    tables = net._tables(rows)
-    pooled = np.zeros((len(words), len(net.weights)), np.float32)
-    won = np.zeros((len(words), len(net.weights), max(WIDTHS)), np.int64)
-    for t, own in enumerate(words):
-        if not len(own):
-            continue
-        local = np.searchsorted(rows, own)
-        response = net._responses(tables, local, 0, len(own), len(own) - np.arange(len(own)))
-        best = response.argmax(axis=0)
-        pooled[t] = np.maximum(response[best, np.arange(len(best))], 0)
-        padded = np.append(own, np.zeros(max(WIDTHS), np.int64))
-        for j in range(max(WIDTHS)):
-            won[t, :, j] = padded[best + j]
+    pooled, won = _best(net, words)
     error = (_sigmoid(pooled @ net.weights + offset[0]) - labels) * scale
     error = error.astype(np.float32)
     back = error[:, None] * net.weights * (pooled > 0)
@@ -256,13 +325,17 @@ def _learn(net: Network, learn: _Adagrad, words, labels, scale, offset) -> None:
         learn.step(0, gradient, winners)
 
 
-def best_threshold(margins: np.ndarray, labels: np.ndarray, prior: float) -> float:
+def best_threshold(
+    margins: np.ndarray, labels: np.ndarray, prior: float, counts: np.ndarray | None = None
+) -> float:
     """Where misses and false alarms together are rarest, label 1 having the share
-    ``prior``; the middle of the first gap that does so."""
+    ``prior``; the middle of the first gap that does so. ``counts``: rows of each margin."""
     order = np.argsort(margins)
     m, y = margins[order], labels[order]
-    missed = np.concatenate([[0], np.cumsum(y == 1)]) / max(1, (y == 1).sum()) * prior
-    alarms = (1 - np.concatenate([[0], np.cumsum(y == 0)]) / max(1, (y == 0).sum())) * (1 - prior)
+    n = np.ones(len(m)) if counts is None else counts[order]
+    ones, zeros = n * (y == 1), n * (y == 0)
+    missed = np.concatenate([[0], np.cumsum(ones)]) / max(1, ones.sum()) * prior
+    alarms = (1 - np.concatenate([[0], np.cumsum(zeros)]) / max(1, zeros.sum())) * (1 - prior)
     cost = missed + alarms
     cost[1:-1][m[1:] == m[:-1]] = np.inf
     at = int(np.argmin(cost))
@@ -270,6 +343,22 @@ def best_threshold(margins: np.ndarray, labels: np.ndarray, prior: float) -> flo
     return float((low + high) / 2)
 
 
+def _set_thresholds(net: Network, margin, y, tongue, share: float, counts: np.ndarray) -> None:
+    net.thresholds[:] = best_threshold(margin, y, share, counts)
+    for language in range(len(LANGUAGES) + 1):
+        own = tongue == language
+        if min(counts[own & (y == 1)].sum(), counts[own & (y == 0)].sum()) >= ENOUGH:
+            net.thresholds[language] = best_threshold(margin[own], y[own], share, counts[own])
+
+
+def _constant(positive: int, negative: int) -> Network:
+    """A network whose scores are all the smoothed share of label 1."""
+    net = train_network([], np.zeros(0, np.int64))
+    net.weights[:] = 0
+    net.offset = float(np.log((positive + 1) / (negative + 1)))
+    return net
+
+
 def fit(texts: list[np.ndarray], labels: np.ndarray, prior: float | None = None) -> Network:
     """A network with thresholds, for texts as word hashes and labels 0 and 1."""
     labels = labels.astype(np.int64)
@@ -277,22 +366,14 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, prior: float | None = None)
     if len(set(labels[held])) < 2 or len(set(labels[~held])) < 2:
         held[:] = False
     if len(set(labels)) < 2:
-        net = train_network([], labels[:0])
-        net.weights[:] = 0
-        net.offset = float(np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1)))
-        return net
+        return _constant(int(labels.sum()), int(len(labels) - labels.sum()))
     net = train_network([t for t, h in zip(texts, held) if not h], labels[~held])
     judge = held if held.any() else ~held
     some = [t for t, j in zip(texts, judge) if j]
     hashes, firsts = np.concatenate(some), np.concatenate([[0], np.cumsum([len(t) for t in some])])
     margin, y = net.margins(net.words(hashes), firsts), labels[judge]
     share = float((labels == 1).mean()) if prior is None else prior
-    net.thresholds[:] = best_threshold(margin, y, share)
-    tongue = languages(hashes, firsts)
-    for language in range(len(LANGUAGES) + 1):
-        own = tongue == language
-        if min((y[own] == 1).sum(), (y[own] == 0).sum()) >= ENOUGH:
-            net.thresholds[language] = best_threshold(margin[own], y[own], share)
+    _set_thresholds(net, margin, y, languages(hashes, firsts), share, np.ones(len(y)))
     return net
 
 
@@ -307,10 +388,11 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    fit_rows: int = FIT_ROWS,
+    shard_rows: int = SHARD,
 ) -> Network:
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     usable = (
         labels.select(F.col("doc_id").cast("long"), F.col(label_col).cast("int").alias("label"))
         .filter("doc_id is not null and label in (0, 1)")
@@ -318,35 +400,113 @@ def train(
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
+    # Written, so that Spark knows its size when it plans the join with the texts.
+    usable = land(usable, "usable")
     counts = {r.label: r["count"] for r in usable.groupBy("label").count().collect()}
-    chosen = [
-        usable.filter(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-        for y in (0, 1)
-    ]
-    known = spark.createDataFrame(
-        [tuple(r) for part in chosen for r in part.collect()], "doc_id long, label int"
+    rows = learning.labelled(
+        docs, usable, sum(counts.values()), ~held_out(id_col), id_col, text_col, shard_rows, HELD_BACK
     )
-    texts = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    ).join(F.broadcast(known), "doc_id")  # 2 * fit_rows rows at most
+    each, some, judge = learning.parts(rows)
+    if not min(each.values()):
+        return _constant(each[1], each[0])
+    net = fresh_network(*vocabulary(some), np.random.default_rng(7))
+    encoded = land(_encoded(rows, net), "encoded")
+    # The same parts of the rows, now with their words.
+    _, some, judge = learning.parts(encoded)
+    groups = np.zeros(2 * len(LANGUAGES) + 2)
+    for r in some.groupBy("language", "label").count().collect():
+        groups[2 * r.language + r.label] = r["count"]
+    weights = _group_weights(groups)
+    state, size = _Adagrad(net).state(), len(net.embeddings)
+    for turn in range(ROUNDS):
+
+        def learn(shard, values, batches, turn=turn):
+            own = _Adagrad(_blank(size))
+            own.take(values)
+            rng = np.random.default_rng([7, turn, shard])
+            for known, labels, tongue in _gathered(batches):
+                _round(own, known, labels, weights[2 * tongue + labels], rng)
+            return own.state()
+
+        state = learning.mixed(some, learn, state, one=MOVES)
+    _Adagrad(net).take(state)
+    held = spark.sparkContext.broadcast(net)
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for known, labels, tongue in _gathered([batch]):
+                firsts = np.concatenate([[0], np.cumsum([len(k) for k in known])])
+                margin = held.value.margins(np.concatenate(known), firsts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tongue), pa.array(labels), pa.array(margin, pa.float64())],
+                    ["language", "label", "margin"],
+                )
+
+    judged = judge.mapInArrow(margins, "language long, label long, margin double")
+    found = learning.folded(judged, "language")
+    tongue, y, margin, n = (
+        found.column(c).to_numpy() for c in ("language", "label", "margin", "count")
+    )
+    _set_thresholds(net, margin, y, tongue, counts.get(1, 0) / sum(counts.values()), n)
+    return net
+
+
+def vocabulary(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Rows and signatures of the slots for the texts of a table; a slot goes to the word in
+    most texts (ties: the smaller hash)."""
+
+    def met(batch):
+        hashes, firsts = word_hashes(batch.column(0))
+        each = [np.unique(hashes[s:e]) for s, e in zip(firsts[:-1], firsts[1:])]
+        words, count = np.unique(np.concatenate(each), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(count)], ["word", "n"])
+
+    words = rows.select("text").mapInArrow(over_slices(met, 0), "word long, n long")
+    words = words.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= KNOWN)
+    best = F.max_by("word", F.struct("n", F.bitwise_not("word"))).alias("word")
+    slot = F.shiftrightunsigned("word", 64 - BITS)
+    found = words.groupBy(slot.alias("slot")).agg(best).orderBy("slot").toArrow()
+    slots = found.column("slot").to_numpy()
+    places, signs = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, tx.U64)
+    places[slots] = np.arange(1, len(slots) + 1)
+    signs[slots] = found.column("word").to_numpy().view(tx.U64)
+    return places, signs, len(slots) + 1
+
+
+def _encoded(rows: DataFrame, net: Network) -> DataFrame:
+    """The rows with their texts as language and rows of the embeddings."""
+    held = rows.sparkSession.sparkContext.broadcast(net)
 
     def work(batch):
-        hashes, firsts = word_hashes(batch.column(1))
-        own = [hashes[s:e].tobytes() for s, e in zip(firsts[:-1], firsts[1:])]
+        hashes, firsts = word_hashes(batch.column(3))
+        known = held.value.words(hashes).astype(np.int32)
+        own = [known[s:e].tobytes() for s, e in zip(firsts[:-1], firsts[1:])]
+        tongue = pa.array(languages(hashes, firsts), pa.int32())
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(own, pa.binary())],
-            ["doc_id", "label", "words"],
+            [*batch.columns[:3], tongue, pa.array(own, pa.binary())],
+            ["shard", "label", "held", "language", "words"],
         )
 
-    table = texts.select("doc_id", "text", "label").mapInArrow(
-        over_slices(work, 1), "doc_id long, label int, words binary"
+    return rows.mapInArrow(
+        over_slices(work, 3), "shard int, label int, held boolean, language int, words binary"
     )
-    # A repeated id is learnt once, so no more than 2 * fit_rows rows come here.
-    once = table.groupBy("doc_id").agg(F.min(F.struct("label", "words")).alias("r"))
-    found = once.orderBy(F.xxhash64("doc_id"), "doc_id").select("r.*").toArrow()
-    rows = [np.frombuffer(w.as_py(), tx.U64) for w in found.column("words")]
-    prior = counts.get(1, 0) / max(1, sum(counts.values()))
-    return fit(rows, found.column("label").to_numpy(), prior)
+
+
+def _gathered(batches) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Words, labels and languages of encoded rows, about ``HELD_WORDS`` words at a time."""
+    known, labels, tongues, total = [], [], [], 0
+    for batch in batches:
+        plain = (batch.column(c).to_pylist() for c in (1, 3, 4))
+        for label, tongue, words in zip(*plain):
+            if known and total + len(words) // 4 > HELD_WORDS:
+                yield known, np.array(labels), np.array(tongues)
+                known, labels, tongues, total = [], [], [], 0
+            known.append(np.frombuffer(words, np.int32))
+            labels.append(label)
+            tongues.append(tongue)
+            total += len(words) // 4
+    if known:
+        yield known, np.array(labels), np.array(tongues)
 
 
 def score_with(net: Network, spark, text_col: str = "text") -> Column:
@@ -370,10 +530,10 @@ def scored(
     id_col: str = "doc_id",
     text_col: str = "text",
     threshold: float = 0.5,
-    fit_rows: int = FIT_ROWS,
+    shard_rows: int = SHARD,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with held_out, score and predicted."""
-    net = train(docs, labels, id_col, text_col, fit_rows=fit_rows)
+    net = train(docs, labels, id_col, text_col, shard_rows=shard_rows)
     return (
         docs.withColumn("held_out", held_out(id_col))
         .withColumn("score", score_with(net, docs.sparkSession, text_col))
