@@ -79,3 +79,34 @@ def test_features_of_a_text_do_not_depend_on_the_rows_around_it():
     together = [sorted(s.tolist()) for s in quality.Features().of(pa.array(texts))]
     alone = [sorted(next(quality.Features().of(pa.array([t]))).tolist()) for t in texts]
     assert together == alone
+
+
+def test_all_labelled_rows_are_counted_fitted_or_judged_by(spark, docs_of, monkeypatch):
+    """More than 4,096 rows, the cut there once was, in several shards."""
+    rows = [(i, ("good words here %d" if i % 2 else "bad!! %%%% %d") % i) for i in range(7000)]
+    seen = {}
+
+    def spy(module, name):
+        own = getattr(module, name)
+
+        def run(table, *args, **more):
+            seen[name] = table.count()
+            return own(table, *args, **more)
+
+        monkeypatch.setattr(module, name, run)
+
+    spy(quality, "_counts")
+    spy(quality.learning, "mixed")
+    spy(quality.learning, "folded")
+    labels = labels_of(spark, [(i, i % 2, 0) for i, _ in rows])
+    got = quality.scored(docs_of(*rows, (3, "a repeated id")), labels, shard_rows=1000).collect()
+    usable = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i, _ in rows)
+    assert usable > 4096 and seen["_counts"] == seen["mixed"]
+    assert seen["mixed"] + seen["folded"] == usable
+    held = [r for r in got if r.held_out]
+    assert np.mean([r.predicted == r.doc_id % 2 for r in held]) > 0.99
+
+
+def test_byte_planes_give_the_numbers_back():
+    numbers = np.array([0, 1, -1, 2**40, -(2**40), 7], np.int64)
+    assert (quality.learning._numbers(quality.learning._planes(numbers)) == numbers).all()

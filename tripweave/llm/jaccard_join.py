@@ -289,7 +289,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
         return chosen.filter(pa.array(keep, pa.bool_()))
 
     rows = both.select("a", "b", "a_text", "b_text")
-    return rows.mapInArrow(over_slices(work, 2), "a long, b long")
+    return rows.mapInArrow(over_slices(work, 2, SLICE), "a long, b long")
 
 
 def _across(members: DataFrame, percent: int) -> DataFrame:

@@ -4,13 +4,13 @@ Features are indicators of hashed n-grams: words and pairs of words (case aside)
 triples of marks that tell whether a word repeats one of the two before it, and strings
 of two to four bytes (case kept). Each is scaled by its class log-count ratio,
 rows are brought to length one, and a linear model with hinge loss is fitted by dual
-coordinate descent. A part of the sample that the model has not seen turns its margins
+coordinate descent. A part of the labelled rows that the model has not seen turns its margins
 into probabilities (Platt).
 
-The model is fitted on at most ``fit_rows`` labelled rows, those whose id has the
-smallest hash: a bounded, documented sample. Their ids are few enough to be sent to the
-tasks that read the texts, so training shuffles no text. Scoring reads every whole text
-once. Only texts and training labels enter a score.
+The model is fitted on all labelled rows. Counts are summed over all of them; the linear
+model is fitted on shards of about ``SHARD`` rows side by side and the weights are averaged
+(``learning``); every fifth row is held back and scales the margins. Scoring reads every whole
+text once. Only texts and training labels enter a score.
 
 Null and empty texts get the score of a text without features. Labels that are null or
 neither 0 nor 1 are ignored; a document labelled twice counts by its smaller label.
@@ -29,13 +29,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.llm import learning
 from tripweave.llm import text as tx
-from tripweave.llm.runtime import over_slices, ship, slices, small_batches
+from tripweave.llm.runtime import give_back, land, over_slices, ship, slices, small_batches
 
 BITS = 18
 SLOTS = 1 << BITS
-FIT_ROWS = 4096
+#: Rows of a shard that is fitted on its own.
+SHARD = 2048
 HELD_BACK = 5
+#: Weights that stand in one row of the parameters.
+WIDE = 16
 #: Bytes of text whose features are made at a time.
 SLICE = 1 << 20
 
@@ -143,9 +147,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     y = np.where(labels == 1, 1.0, -1.0)
     positive, negative = float((y > 0).sum()), float((y < 0).sum())
     if not positive or not negative:
-        odds = np.log((positive + 1) / (negative + 1))
-        zero = np.zeros(SLOTS, np.float32)
-        return Model(zero, zero, 0.0, 1.0, float(odds))
+        return _constant(positive, negative)
     counts = np.ones((2, SLOTS))
     held = np.arange(len(rows)) % HELD_BACK == 0
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
@@ -153,26 +155,38 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     for slots, sign, out in zip(rows, y, held):
         if not out:
             counts[int(sign > 0)][slots] += 1
-    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    ratio = _ratio(counts)
     scaled = Scaled([slots for slots, out in zip(rows, held) if not out], ratio)
     w, bias = descend(scaled, y[~held])
     model = Model((w * ratio).astype(np.float32), (ratio**2).astype(np.float32), bias, 1.0, 0.0)
     judge = held if held.any() else ~held
     margins = np.array([model.margin(s) for s, h in zip(rows, judge) if h])
-    model.slope, model.offset = _platt(margins, y[judge] > 0)
+    model.slope, model.offset = _platt(margins, y[judge] > 0, np.ones(len(margins)))
     return model
 
 
-def _platt(margin: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the log odds, by Newton steps on smoothed targets."""
-    n, m = positive.sum(), (~positive).sum()
+def _constant(positive: float, negative: float) -> Model:
+    """Scores that are all the smoothed share of label 1."""
+    zero = np.zeros(SLOTS, np.float32)
+    return Model(zero, zero, 0.0, 1.0, float(np.log((positive + 1) / (negative + 1))))
+
+
+def _ratio(counts: np.ndarray) -> np.ndarray:
+    """The log-count ratio of every slot, from smoothed counts of labels 0 and 1."""
+    return np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+
+
+def _platt(margin: np.ndarray, positive: np.ndarray, count: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the log odds, by Newton steps on smoothed targets. ``count``:
+    rows of each margin."""
+    n, m = count[positive].sum(), count[~positive].sum()
     target = np.where(positive, (n + 1) / (n + 2), 1 / (m + 2))
     at = np.array([1.0, 0.0])
     x = np.stack([margin, np.ones(len(margin))])
     for _ in range(100):
         p = _sigmoid(at @ x)
-        g = x @ (p - target)
-        hessian = (x * (p * (1 - p) + 1e-9)) @ x.T + 1e-3 * np.eye(2)
+        g = x @ (count * (p - target))
+        hessian = (x * count * (p * (1 - p) + 1e-9)) @ x.T + 1e-3 * np.eye(2)
         move = np.linalg.solve(hessian, g)
         at = at - move * min(1.0, 2.0 / (np.abs(move).max() + 1e-12))
     return float(max(at[0], 1e-3)), float(at[1])
@@ -189,40 +203,78 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
-    fit_rows: int = FIT_ROWS,
+    shard_rows: int = SHARD,
 ) -> Model:
     spark = docs.sparkSession
     ship(spark)
     small_batches(spark)
-    chosen = (
+    usable = (
         labels.select(F.col("doc_id").cast("long"), F.col(label_col).cast("int").alias("label"))
         .filter("doc_id is not null and label in (0, 1)")
         .filter(~held_out())
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(fit_rows)
     )
-    known = spark.createDataFrame(chosen.collect(), "doc_id long, label int")
-    texts = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    ).join(F.broadcast(known), "doc_id")  # fit_rows rows at most
-
-    def work(batch):
-        slots = list(Features().of(batch.column(1)))
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(slots, pa.list_(pa.int32()))],
-            ["doc_id", "label", "slots"],
-        )
-
-    table = texts.select("doc_id", "text", "label").mapInArrow(
-        over_slices(work, 1, SLICE), "doc_id long, label int, slots array<int>"
+    # Written, so that Spark knows its size when it plans the join with the texts.
+    usable = land(usable, "usable")
+    count = usable.count()
+    rows = learning.labelled(
+        docs, usable, count, ~held_out(id_col), id_col, text_col, shard_rows, HELD_BACK
     )
-    # A repeated id is learnt once, so no more than fit_rows rows come here.
-    once = table.groupBy("doc_id").agg(F.min(F.struct("label", "slots")).alias("r"))
-    found = once.orderBy(F.xxhash64("doc_id"), "doc_id").select("r.*").toArrow()
-    rows = [np.asarray(s.values.to_numpy(), np.int32) for s in found.column("slots")]
-    return fit(rows, found.column("label").to_numpy())
+    each, some, judge = learning.parts(rows)
+    if not min(each.values()):
+        return _constant(each[1], each[0])
+    ratio = _ratio(_counts(some))
+    held = spark.sparkContext.broadcast(ratio)
+
+    def learn(shard, values, batches):
+        features, slots, labels = Features(), [], []
+        for batch in batches:
+            labels += batch.column(1).to_pylist()
+            for piece in slices(batch, 3, SLICE):
+                slots += features.of(piece.column(3))
+        w, bias = descend(Scaled(slots, held.value), np.where(np.array(labels) == 1, 1.0, -1.0))
+        values[:-1], values[-1, 0] = w.reshape(-1, WIDE), bias
+        return values
+
+    # Every shard starts from nothing, and the mean of what they find is the model.
+    shards = max(1, -(-count // shard_rows))
+    state = learning.mixed(some, learn, np.zeros((SLOTS // WIDE + 1, WIDE)), shards=shards)
+    weights, bias = state[:-1].ravel() * ratio, float(state[-1, 0])
+    model = Model(weights.astype(np.float32), (ratio**2).astype(np.float32), bias, 1.0, 0.0)
+    given = spark.sparkContext.broadcast(model)
+
+    def margins(batch):
+        found = [given.value.margin(slots) for slots in Features().of(batch.column(3))]
+        return pa.RecordBatch.from_arrays([batch.column(1), pa.array(found)], ["label", "margin"])
+
+    judged = judge.mapInArrow(over_slices(margins, 3, SLICE), "label int, margin double")
+    found = learning.folded(judged)
+    margin, label, n = (found.column(c).to_numpy() for c in ("margin", "label", "count"))
+    model.slope, model.offset = _platt(margin, label == 1, n.astype(float))
+    return model
+
+
+def _counts(rows: DataFrame) -> np.ndarray:
+    """Of labels 0 and 1, how many rows have each slot, and one more."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features, counts = Features(), np.zeros((2, SLOTS), np.int64)
+        for batch in batches:
+            for piece in slices(batch, 3, SLICE):
+                for label, slots in zip(piece.column(1).to_pylist(), features.of(piece.column(3))):
+                    counts[label][slots] += 1
+        met = np.flatnonzero(counts.any(axis=0))
+        arrays = [pa.array(met), pa.array(counts[0][met]), pa.array(counts[1][met])]
+        yield pa.RecordBatch.from_arrays(arrays, ["slot", "n0", "n1"])
+        give_back()
+
+    each = rows.mapInArrow(work, "slot long, n0 long, n1 long")
+    found = each.groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    counts = np.ones((2, SLOTS))
+    for label, name in enumerate(("n0", "n1")):
+        counts[label][found.column("slot").to_numpy()] += found.column(name).to_numpy()
+    return counts
 
 
 def score_with(model: Model, spark, text_col: str = "text") -> Column:
@@ -241,6 +293,7 @@ def score_with(model: Model, spark, text_col: str = "text") -> Column:
                 for slots in features.of(piece.column(0))
             ]
             yield pd.Series(found, dtype="float64")
+        give_back()
 
     return score(F.col(text_col).cast("string"))
 
@@ -251,10 +304,10 @@ def scored(
     id_col: str = "doc_id",
     text_col: str = "text",
     threshold: float = 0.7,
-    fit_rows: int = FIT_ROWS,
+    shard_rows: int = SHARD,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with held_out, score and predicted."""
-    model = train(docs, labels, id_col, text_col, fit_rows=fit_rows)
+    model = train(docs, labels, id_col, text_col, shard_rows=shard_rows)
     return (
         docs.withColumn("held_out", held_out(id_col))
         .withColumn("score", score_with(model, docs.sparkSession, text_col))
