@@ -6,9 +6,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from tripweave.llm import quality
+from tripweave.llm.runtime import screened
 
 
 def labels_of(spark, rows):
@@ -110,3 +112,36 @@ def test_all_labelled_rows_are_counted_fitted_or_judged_by(spark, docs_of, monke
 def test_byte_planes_give_the_numbers_back():
     numbers = np.array([0, 1, -1, 2**40, -(2**40), 7], np.int64)
     assert (quality.learning._numbers(quality.learning._planes(numbers)) == numbers).all()
+
+
+def test_labels_too_large_to_broadcast_do_not_shuffle_texts_twice(spark, docs_of, monkeypatch):
+    """Nor do texts without a label travel, but for a few."""
+    rows = [(i, f"text {i}") for i in range(3000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 3000, 10)], "doc_id long, label int")
+    plans, own = [], quality.learning.land
+
+    def spy(table, name):
+        plans.append(table._jdf.queryExecution().executedPlan().toString())
+        return own(table, name)
+
+    monkeypatch.setattr(quality.learning, "land", spy)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = docs_of(*rows, (10, "a second text"), (None, "none"))
+        got = quality.learning.labelled(docs, labels, 300, F.lit(True), "doc_id", "text", 100, 5).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plans[0]
+    want = [(i % 2, "a second text" if i == 10 else f"text {i}") for i in range(0, 3000, 10)]
+    assert sorted((r.label, r.text) for r in got) == sorted(want)
+    assert len({r.shard for r in got}) == 3 and 50 <= sum(r.held for r in got) <= 70
+
+
+def test_screened_rows_hold_all_that_are_wanted(spark):
+    ids = spark.range(0, 40_000, 4).select(F.col("id").alias("doc_id"))
+    rows = spark.range(40_000).select("id", F.when(F.col("id") > 0, F.col("id")).alias("key"))
+    got = screened(rows, "key", ids, 10_000).collect()
+    assert len(got) == 40_000 and all(r.perhaps for r in got if r.id and r.id % 4 == 0)
+    assert sum(r.perhaps for r in got) < 10_000 + 0.1 * 30_000
+    assert not any(r.perhaps for r in screened(rows, "key", ids.limit(0), 0).collect())

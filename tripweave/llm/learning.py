@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.runtime import give_back, land, partitions
+from tripweave.llm.runtime import give_back, land, let_go, partitions, screened
 
 #: One in fixed-point numbers.
 ONE = float(1 << 36)
@@ -26,6 +26,8 @@ BLOCK = 1024
 #: Margins are folded in steps of one part of this, up to ``FAR`` on either side.
 STEPS = 1024
 FAR = 64.0
+#: What marks a text where a label's row has the label; it comes after all labels.
+TEXT = 2
 
 
 def dealt(rows: DataFrame, key: str, count: int, shard_rows: int) -> DataFrame:
@@ -56,27 +58,37 @@ def labelled(
     texts = docs.filter(learnt).select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
+    # Texts travel once, to their shard, and few that have no label; there they meet it.
+    some = screened(texts, "doc_id", usable.select("doc_id"), count).filter("perhaps")
+    both = some.select("doc_id", F.lit(TEXT).alias("mark"), "text").unionByName(
+        usable.select("doc_id", F.col("label").cast("int").alias("mark"), F.lit(None).cast("string").alias("text"))
+    )
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, seen, before = None, 0, None
+        wanted, label, seen, before = None, None, 0, None
         for batch in batches:
-            shards, ids = (batch.column(c).to_numpy() for c in (0, 1))
-            keep, held = [], []
-            for row, (shard, doc) in enumerate(zip(shards.tolist(), ids.tolist())):
+            keep, labels, held = [], [], []
+            plain = (batch.column(c).to_pylist() for c in range(3))
+            for row, (shard, doc, mark) in enumerate(zip(*plain)):
                 if shard != before:
-                    last, seen, before = None, 0, shard
-                if doc != last:
+                    seen, before = 0, shard
+                if mark != TEXT:
+                    wanted, label = doc, mark
+                elif doc == wanted:
                     keep.append(row)
+                    labels.append(label)
                     held.append(seen % every == 0)
-                    last, seen = doc, seen + 1
+                    wanted, seen = None, seen + 1
             kept = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [kept.column(0), kept.column(3), pa.array(held, pa.bool_()), kept.column(2)],
+                [kept.column(0), pa.array(labels, pa.int32()), pa.array(held, pa.bool_()), kept.column(3)],
                 ["shard", "label", "held", "text"],
             )
 
-    rows = dealt(texts.join(usable, "doc_id").select("doc_id", "text", "label"), "doc_id", count, shard_rows)
-    return land(rows.mapInArrow(once, "shard int, label int, held boolean, text string"), "labelled")
+    rows = dealt(both, "doc_id", count, shard_rows)
+    rows = land(rows.mapInArrow(once, "shard int, label int, held boolean, text string"), "labelled")
+    let_go(docs.sparkSession)
+    return rows
 
 
 def parts(rows: DataFrame) -> tuple[dict[int, int], DataFrame, DataFrame]:

@@ -12,11 +12,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripweave.sources.writers import shared_folder
 
 #: Bytes of text that a task works on at a time.
 SLICE_BYTES = 4 << 20
+#: Bits that screen rows by key: so many a key, but 8 MB in all at most.
+KEY_BITS = 16
+MOST_BITS = 1 << 26
 
 
 def ship(spark: SparkSession) -> None:
@@ -54,6 +58,35 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have the shuffle files of finished steps removed. Spark's cleaner does so once the
+    driver's JVM has collected what refers to them, which a driver with memory to spare
+    seldom does by itself."""
+    spark._jvm.System.gc()
+
+
+def screened(rows: DataFrame, key: str, ids: DataFrame, count: int) -> DataFrame:
+    """The rows with a last column ``perhaps``: true wherever ``ids`` (one column of about
+    ``count`` values) holds the key, and for few others. The bits behind it are broadcast;
+    they stay within ``MOST_BITS``, and beyond some millions of ids more rows are true."""
+    bits = 1 << 15
+    while bits < min(MOST_BITS, KEY_BITS * count):
+        bits *= 2
+
+    def slot(column):
+        return F.pmod(F.xxhash64(column, F.lit("screen")), F.lit(bits))
+
+    places = ids.select(slot(ids.columns[0]).alias("_slot"))
+    maps = places.groupBy(F.bitmap_bucket_number("_slot").alias("_map")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits")
+    )
+    at = rows.withColumn("_slot", slot(key)).withColumn("_map", F.bitmap_bucket_number("_slot"))
+    byte = "conv(hex(substring(_bits, int(bitmap_bit_position(_slot) div 8) + 1, 1)), 16, 10)"
+    held = F.expr(f"getbit(bigint({byte}), int(bitmap_bit_position(_slot) % 8)) = 1")
+    found = at.join(F.broadcast(maps), "_map", "left")
+    return found.select(*rows.columns, F.coalesce(held, F.lit(False)).alias("perhaps"))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
