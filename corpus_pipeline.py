@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tripweave.llm import bpe, decontaminate, quality, secrets
 from tripweave.llm.jaccard_join import jaccard_components
-from tripweave.llm.runtime import land
+from tripweave.llm.runtime import land, let_go, without
 
 TOKENIZER = "word_bpe_49k.json"
 MASK = "[secret]"
@@ -35,8 +35,9 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Of each group of near copies (five words, similarity 0.8) the document with the
     smallest id stays; documents without an id stay too."""
     groups = jaccard_components(docs, k=5, percent=80)
-    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = land(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "copies")
+    let_go(spark)
+    return without(docs, "doc_id", gone, gone.count())
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from tests_llm_paths import TOKENIZER
-from tripweave.llm import catalog
+from tripweave.llm import catalog, runtime
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -53,3 +53,26 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
             docs = stage(spark, docs, SF_DIR)
         ids = [r.doc_id for r in docs.collect()]
         assert 4 not in ids and len(ids) <= len(given)
+
+
+def test_documents_without_copies_are_not_shuffled_to_drop_copies(spark, tmp_path, monkeypatch):
+    """However many copies there are: only rows that may be one are joined."""
+    schema = spark.read.parquet(f"{SF_DIR}/documents.parquet").schema
+    rows = [(i, f"the same words for every fifth {i % 5 or i}, and so on", "en", "s", 1) for i in range(1, 400)]
+    rows += [(1000 + i, " ".join(f"w{i}x{j}" for j in range(30)), "en", "s", 1) for i in range(400)]
+    rows += [(None, "no id", "en", "s", 1)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    joined = []
+    own = corpus_pipeline.without
+
+    def spy(table, key, ids, count):
+        marked = runtime.screened(table, key, ids, count)
+        joined.append((marked.filter("_perhaps").count(), ids.count(), count))
+        return own(table, key, ids, count)
+
+    monkeypatch.setattr(corpus_pipeline, "without", spy)
+    kept = [r.doc_id for r in corpus_pipeline.ngram_jaccard_join(spark, docs, SF_DIR).collect()]
+    met, copies, count = joined[0]
+    assert copies == count == 800 - len(kept) and copies <= met < copies + 60
+    assert set(kept) >= {None, *range(1000, 1400), 1, 2, 3, 4, 5} and 6 not in kept

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tripweave.llm import text as tx
 from tripweave.llm.components import components
-from tripweave.llm.runtime import land, over_slices, partitions, ship, small_batches
+from tripweave.llm.runtime import land, let_go, over_slices, partitions, ship, small_batches
 
 class _Member(NamedTuple):
     first: bool
@@ -382,7 +382,8 @@ def jaccard_components(
 ) -> DataFrame:
     """doc_id, n_shingles (size of the set) and component_id, the smallest id reachable
     over links, for every row of ``docs``."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     ).filter("id is not null")
@@ -404,10 +405,12 @@ def jaccard_components(
         .select("key", "pivot")
     )
     buckets = land(buckets, "buckets")
+    let_go(spark)
     shared = _keys(texts, k, percent).join(buckets.hint("merge"), "key")
     met = land(
         shared.join(classes.select("id"), "id", "left_semi").select("key", "id", "pivot"), "met"
     )
+    let_go(spark)
     involved = met.select("id").distinct()
     # The ids grow with the corpus, so they are not to be broadcast at any size. This is
     # the only time that texts meet them; what follows reads the written part.
@@ -415,11 +418,14 @@ def jaccard_components(
         texts.join(involved.hint("merge"), "id", "left_semi").dropDuplicates(["id", "text"]),
         "texts",
     )
+    let_go(spark)
     sketches = land(_sketches(texts, k, percent), "sketches")
     pivots = met.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
     near = land(_within(_with_sketches(pivots.distinct(), sketches), percent), "near")
+    let_go(spark)
     best = near.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a"))
     grown = components(land(_verified(best.select("a", "b"), texts, k, percent), "stars"))
+    let_go(spark)
 
     # Pairs with a pivot have been compared; others only where components differ.
     members = met.filter("id <> pivot").select("key", "id").distinct()

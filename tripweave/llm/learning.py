@@ -59,7 +59,7 @@ def labelled(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
     # Texts travel once, to their shard, and few that have no label; there they meet it.
-    some = screened(texts, "doc_id", usable.select("doc_id"), count).filter("perhaps")
+    some = screened(texts, "doc_id", usable.select("doc_id"), count).filter("_perhaps")
     both = some.select("doc_id", F.lit(TEXT).alias("mark"), "text").unionByName(
         usable.select("doc_id", F.col("label").cast("int").alias("mark"), F.lit(None).cast("string").alias("text"))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import io
+import time
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -61,12 +62,14 @@ def land(df: DataFrame, name: str) -> DataFrame:
 def let_go(spark: SparkSession) -> None:
     """Have the shuffle files of finished steps removed. Spark's cleaner does so once the
     driver's JVM has collected what refers to them, which a driver with memory to spare
-    seldom does by itself."""
-    spark._jvm.System.gc()
+    seldom does by itself. Listeners refer to a finished step for a moment more."""
+    for _ in range(2):
+        time.sleep(0.3)
+        spark._jvm.System.gc()
 
 
 def screened(rows: DataFrame, key: str, ids: DataFrame, count: int) -> DataFrame:
-    """The rows with a last column ``perhaps``: true wherever ``ids`` (one column of about
+    """The rows with a last column ``_perhaps``: true wherever ``ids`` (one column of about
     ``count`` values) holds the key, and for few others. The bits behind it are broadcast;
     they stay within ``MOST_BITS``, and beyond some millions of ids more rows are true."""
     bits = 1 << 15
@@ -74,7 +77,8 @@ def screened(rows: DataFrame, key: str, ids: DataFrame, count: int) -> DataFrame
         bits *= 2
 
     def slot(column):
-        return F.pmod(F.xxhash64(column, F.lit("screen")), F.lit(bits))
+        # Of one type on both sides, or equal values had different hashes.
+        return F.pmod(F.xxhash64(F.col(column).cast(ids.schema[0].dataType), F.lit("screen")), F.lit(bits))
 
     places = ids.select(slot(ids.columns[0]).alias("_slot"))
     maps = places.groupBy(F.bitmap_bucket_number("_slot").alias("_map")).agg(
@@ -84,7 +88,16 @@ def screened(rows: DataFrame, key: str, ids: DataFrame, count: int) -> DataFrame
     byte = "conv(hex(substring(_bits, int(bitmap_bit_position(_slot) div 8) + 1, 1)), 16, 10)"
     held = F.expr(f"getbit(bigint({byte}), int(bitmap_bit_position(_slot) % 8)) = 1")
     found = at.join(F.broadcast(maps), "_map", "left")
-    return found.select(*rows.columns, F.coalesce(held, F.lit(False)).alias("perhaps"))
+    return found.select(*rows.columns, F.coalesce(held, F.lit(False)).alias("_perhaps"))
+
+
+def without(rows: DataFrame, key: str, ids: DataFrame, count: int) -> DataFrame:
+    """The rows whose key ``ids`` (one column of about ``count`` values) does not hold. Only
+    rows that it may hold are joined, so the others need no shuffle."""
+    marked = screened(rows, key, ids, count)
+    held = ids.toDF(key)
+    left = marked.filter("_perhaps").join(held, key, "left_anti").select(*rows.columns)
+    return marked.filter("not _perhaps").select(*rows.columns).unionByName(left)
 
 
 def partitions(spark: SparkSession) -> int:
