@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -212,3 +214,22 @@ def test_runs_of_equal_first_hash_are_told_apart_by_the_second():
     texts = ["a b c d. " * 6, "a b c d.\n" * 6, "A B C D. " * 6]
     _, run, proof, *_ = spans._runs(pa.array(texts), 2, 20)
     assert len(set(zip(run.tolist(), proof.tolist()))) == len(set(run.tolist())) == len(set(proof.tolist()))
+
+
+def shuffle_bytes(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = (p for d in folders for p in Path(d.getPath()).rglob("shuffle_*.data"))
+    return {p: p.stat().st_size for p in files}
+
+
+def test_finished_steps_leave_no_shuffle_files(spark, docs_of):
+    """Nor does the join with the ranges shuffle texts that lose nothing."""
+    text = " ".join(words("q", 60))
+    docs = docs_of(*((i, " ".join(words(f"d{i}x", 40)) + " " + text * (i % 50 == 0)) for i in range(500)))
+    before = shuffle_bytes(spark)
+    left = spans.cut(docs, spans.repeated_spans(docs))
+    time.sleep(1)
+    # All that may be there is that of the last count.
+    assert sum(n for p, n in shuffle_bytes(spark).items() if p not in before) < 1000
+    assert "_bits" in left._jdf.queryExecution().executedPlan().toString()
+    assert [r.doc_id for r in left.orderBy("doc_id").collect()] == list(range(50, 500, 50))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.llm import text as tx
-from tripweave.llm.runtime import land, over_slices, ship
+from tripweave.llm.runtime import land, let_go, over_slices, screened, ship
 
 #: Words of a sentence that is not cut further.
 LONG = 16
@@ -160,15 +160,19 @@ def repeated_spans(
 ) -> DataFrame:
     """doc_id, spans (sorted, merged ranges of code points to remove, end exclusive) and
     first_doc_ids (where they stand first), for every document that loses some."""
+    spark = docs.sparkSession
     places = occurrences(docs, id_col, text_col, min_pieces, min_words)
     # Written before they are joined: a join of two plain tables can split a hot run,
     # one that an aggregation feeds in the same stage cannot.
     key = ["run", "proof"]
     repeated = land(places.groupBy(key).count().filter("count > 1").select(key), "repeated")
+    let_go(spark)
     repeats = land(places.join(repeated, key), "repeats")
+    let_go(spark)
     firsts = land(
         repeats.groupBy(key).agg(F.min(F.struct("doc_id", "start")).alias("first")), "firsts"
     )
+    let_go(spark)
     later = (
         repeats.join(firsts, key)
         .filter(F.struct("doc_id", "start") != F.col("first"))
@@ -213,6 +217,10 @@ def cut(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str
     def kept(texts: pd.Series, ranges: pd.Series) -> pd.Series:
         return pd.Series([_without(t, r) for t, r in zip(texts, ranges)], dtype=object)
 
-    found = spans.withColumnRenamed("doc_id", "_id")
-    hit = docs.join(found, F.col(id_col).cast("long") == F.col("_id")).drop("_id")
+    # Written, so that only texts that may lose something are shuffled for the join.
+    found = land(spans.withColumnRenamed("doc_id", "_id"), "spans")
+    count = found.count()
+    let_go(docs.sparkSession)
+    some = screened(docs, id_col, found.select("_id"), count).filter("_perhaps").drop("_perhaps")
+    hit = some.join(found, F.col(id_col).cast("long") == F.col("_id")).drop("_id")
     return hit.withColumn(text_col, kept(F.col(text_col).cast("string"), "spans"))
