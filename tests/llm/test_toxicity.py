@@ -175,3 +175,26 @@ def test_best_windows_equal_pooling_in_blocks_of_any_size(net, monkeypatch):
         monkeypatch.setattr(toxicity, "BLOCK", block)
         pooled, won = toxicity._best(net, words)
         assert np.allclose(pooled, want, atol=1e-5) and won.shape == (6, len(net.weights), 3)
+
+
+def test_labels_too_large_to_broadcast_do_not_shuffle_texts_twice(spark, monkeypatch):
+    docs, labels = made_up(200, languages=("en",))
+    plans, own = [], toxicity.learning.land
+
+    def spy(table, name):
+        plans.append(table._jdf.queryExecution().executedPlan().toString())
+        return own(table, name)
+
+    def no_more(rows):
+        return {0: 0, 1: rows.count()}, rows, rows
+
+    monkeypatch.setattr(toxicity.learning, "land", spy)
+    monkeypatch.setattr(toxicity.learning, "parts", no_more)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = spark.createDataFrame(docs, "doc_id long, text string")
+        toxicity.train(frame, spark.createDataFrame(labels, LABELS))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 1 and "SortMergeJoin" not in plans[0]
