@@ -135,6 +135,48 @@ def test_overlaps_have_no_nested_loop_and_allow_empty_tables(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("run", [1, 3, 64])
+def test_overlapping_pairs_of_cut_runs_with_ties_equal_plain(spark, monkeypatch, run):
+    monkeypatch.setattr(overlaps, "RUN", run)
+    rng = random.Random(5)
+    rows = [(1, at(s), at(s + rng.choice([1, 3, 40])), rng.choice([None, 1, 2])) for s in (rng.randrange(12) for _ in range(90))]
+    frame = spark.createDataFrame(rows, "k int, s timestamp_ntz, e timestamp_ntz, v int")
+    want = []
+    for i, a in enumerate(rows):
+        for b in rows[i + 1 :]:
+            first, second = sorted((a, b), key=lambda r: (r[1], r[2], r[3] or 0))
+            if second[1] < first[2]:
+                want.append((first[3], second[3], round((min(first[2], second[2]) - second[1]).total_seconds() / 60, 6)))
+    for width, piece in ((10**6, 4096), (5, 4)):
+        got = overlaps.overlapping_pairs(frame, ["k"], "s", "e", ["v"], width=width, piece=piece)
+        assert sorted(((r.first_v, r.second_v, round(r.overlap_minutes, 6)) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def joined_rows(df):
+    """Rows that the joins of a plan that has run gave out."""
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if "Join" in kind:
+            found += node.metrics().apply("numOutputRows").value()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_overlapping_pairs_are_no_rows_of_a_join(spark):
+    n = 1000
+    frame = spark.createDataFrame([(1, at(i), at(i + 2 * n), i) for i in range(n)], "k int, s timestamp_ntz, e timestamp_ntz, v int")
+    found = overlaps.overlapping_pairs(frame, ["k"], "s", "e", ["v"], width=10**6).agg(F.count("*").alias("n"))
+    assert found.collect()[0].n == n * (n - 1) // 2
+    assert 0 < joined_rows(found) <= 10 * n
+
+
 # Under way at once
 
 

@@ -5,6 +5,11 @@ every interval is laid over the time bins it touches, every start lies in one bi
 pair meets in exactly one place: the bin of its later start. That is an equi-join on keys
 and bin; nothing has to be made distinct afterwards and no condition is looped over.
 
+What intervals are joined with are not single starts but runs of them: a row of arrays,
+sorted by start, so a run that lies outside an interval is passed over as a whole. Pairs are
+laid out from the arrays afterwards, so the join moves a row per interval and run and
+not one per pair.
+
 Bins are as wide as the mean interval, so an interval touches two bins or three. A bin of
 more than ``piece`` starts is cut: its starts are dealt over pieces by hash and its
 intervals are sent to each, so no task has to hold a hot bin's starts together.
@@ -22,6 +27,8 @@ from tripweave.sources.writers import landed
 
 #: Starts of a key and bin that stay together.
 PIECE = 4096
+#: Starts of a piece that are paired at once.
+RUN = 256
 #: Bins that one interval is laid over at most, on average.
 SPREAD = 64
 
@@ -70,26 +77,48 @@ def overlapping_pairs(
         .select(*on, "_bin", F.ceil(F.col("_n") / piece).cast("int").alias("_pieces"))
     )
     deal = F.pmod(F.xxhash64("_id"), F.coalesce("_pieces", F.lit(1))).cast("int")
-    later = starts.join(crowded, [*on, "_bin"], "left").select(
-        *on, "_bin", deal.alias("_piece"), F.struct("_start", "_end", "_row", "_id").alias("b")
-    )
+    places = [*on, "_bin", "_piece"]
+    later = starts.join(crowded, [*on, "_bin"], "left").withColumn("_piece", deal)
     last_bin = F.floor((F.col("_end") - 1) / step)
     pieces = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
     earlier = (
         table.withColumn("_bin", F.explode(F.sequence(first_bin, last_bin)))
         .join(crowded, [*on, "_bin"], "left")
-        .select(*on, "_bin", F.explode(pieces).alias("_piece"), F.struct("_start", "_end", "_row", "_id").alias("a"))
-    )
-    in_order = F.struct("a._start", "a._end", "a._row", "a._id") < F.struct(
-        "b._start", "b._end", "b._row", "b._id"
-    )
-    met = earlier.join(later, [*on, "_bin", "_piece"]).filter(
-        (F.col("b._start") < F.col("a._end")) & in_order
+        .withColumn("_piece", F.explode(pieces))
+        .drop("_pieces")
     )
-    shared = F.least("a._end", "b._end") - F.col("b._start")
-    return met.select(
+    near = (F.col("_least") < F.col("_end")) & (F.col("_most") >= F.col("_start"))
+    # Written, or Spark would lay out the runs anew for each condition on them.
+    runs = landed(_runs(later, places, columns), "runs")
+    met = earlier.join(runs, places).filter(near)
+    met = met.select("*", F.posexplode("_starts").alias("_place", "_later"))
+    second = [F.get(f"_second_{i}", "_place") for i in range(len(columns))]
+    until = F.get("_ends", "_place")
+    row = F.struct(*(v.alias(c) for v, c in zip(second, columns)))
+    tied = F.struct("_end", "_row", "_id") < F.struct(until, row, F.get("_ids", "_place"))
+    in_order = (F.col("_later") > F.col("_start")) | ((F.col("_later") == F.col("_start")) & tied)
+    shared = F.least("_end", until) - F.col("_later")
+    return met.filter((F.col("_later") < F.col("_end")) & in_order).select(
         *on,
-        *(F.col(f"a._row.{c}").alias(f"first_{c}") for c in columns),
-        *(F.col(f"b._row.{c}").alias(f"second_{c}") for c in columns),
+        *(F.col("_row").getField(c).alias(f"first_{c}") for c in columns),
+        *(v.alias(f"second_{c}") for v, c in zip(second, columns)),
         (shared / 60_000_000).alias("overlap_minutes"),
     )
+
+
+def _runs(starts: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The rows of each of ``keys`` in order, as arrays of ``RUN`` at most: _starts, _ends,
+    _ids, and _second_0 and so on of the columns; with the _least and the _most start."""
+    run = F.sort_array(F.collect_list(F.struct("_start", "_end", "_row", "_id")))
+    runs = starts.groupBy(*keys).agg(run.alias("_run"))
+    cut = F.explode(F.sequence(F.lit(1), F.size("_run"), F.lit(RUN)))
+    parts = runs.withColumn("_cut", cut).withColumn("_run", F.slice("_run", F.col("_cut"), F.lit(RUN)))
+    return parts.select(
+        *keys,
+        F.element_at("_run._start", 1).alias("_least"),
+        F.element_at("_run._start", -1).alias("_most"),
+        F.col("_run._start").alias("_starts"),
+        F.col("_run._end").alias("_ends"),
+        F.col("_run._id").alias("_ids"),
+        *(F.col("_run._row").getField(c).alias(f"_second_{i}") for i, c in enumerate(columns)),
+    )
